@@ -1,8 +1,10 @@
-"""Session settings and the shared checkpoint folder."""
+"""Session settings, the shared checkpoint folder and staged frames."""
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime re-planning is what keeps hot keys and wrong size guesses harmless, so
 # it is stated here instead of relying on a cluster's defaults.
@@ -43,3 +45,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         named = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
     context.setCheckpointDir(named)
     return context.getCheckpointDir()
+
+
+def staged(df: DataFrame) -> DataFrame:
+    """``df`` written once to the shared checkpoint folder and read back.
+
+    For a frame that several later steps read: they scan the columns they need
+    instead of repeating the work, and a lost executor repeats only a scan.
+    """
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/staged-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

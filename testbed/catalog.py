@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from linewatch.functions import calendar, casts, keys, sql, texts, weather
 from linewatch.operators import clean, context, delivery, lookup, reliability, riders, temporal, upsert, windows
 from linewatch.plans import dispatch, gold, silver
-from linewatch.schemas import TABLES, conform
+from linewatch.schemas import conform
+from linewatch.session import staged
 from linewatch.sources.lookups import rider_preferences
 from linewatch.sources.topics import envelope
 from linewatch.streaming.parse import parse_forecast, parse_rail, parse_weather
@@ -56,19 +57,22 @@ def forecast_silver(spark, sf):
     return silver.weather_forecast(forecast_bronze(spark, sf))
 
 
-def gold_weather(spark, sf):
-    return gold.with_current_weather(rail_silver(spark, sf), weather_silver(spark, sf))
+# Between layers the jobs have tables. Queries that run several layers write the
+# frames that more than one later step reads.
 
+def gold_weather(trains, spark, sf):
+    return gold.with_current_weather(trains, staged(weather_silver(spark, sf)))
 
-def gold_forecast(spark, sf):
-    return gold.with_forecast(rail_silver(spark, sf), forecast_silver(spark, sf))
+
+def gold_forecast(trains, spark, sf):
+    return gold.with_forecast(trains, staged(forecast_silver(spark, sf)))
 
 
 def alerts(spark, sf):
-    trains = rail_silver(spark, sf)
+    trains = staged(rail_silver(spark, sf))
     return context.alert_context(
-        gold_weather(spark, sf),
-        gold_forecast(spark, sf),
+        gold_weather(trains, spark, sf),
+        gold_forecast(trains, spark, sf),
         gold.route_reliability(trains),
         gold.station_reliability(trains),
     )
@@ -257,15 +261,15 @@ def weather_severity(spark, sf):
 # --- joins on time ----------------------------------------------------------
 
 def _positions(spark, sf):
-    return rail_silver(spark, sf).select("event_id", "city_name", "actual_timestamp")
+    return staged(rail_silver(spark, sf).select("event_id", "city_name", "actual_timestamp"))
 
 
 def _readings(spark, sf):
-    return weather_silver(spark, sf).select("city_name", "weather_timestamp", "temperature")
+    return staged(weather_silver(spark, sf).select("city_name", "weather_timestamp", "temperature"))
 
 
 def _outlooks(spark, sf):
-    return forecast_silver(spark, sf).select("city_name", "forecast_timestamp", "temperature")
+    return staged(forecast_silver(spark, sf).select("city_name", "forecast_timestamp", "temperature"))
 
 
 @query
@@ -358,12 +362,12 @@ def top1_earliest(spark, sf):
 
 @query
 def gold_weather_train(spark, sf):
-    return fx.plain(gold_weather(spark, sf))
+    return fx.plain(gold_weather(staged(rail_silver(spark, sf)), spark, sf))
 
 
 @query
 def gold_forecast_train(spark, sf):
-    return fx.plain(gold_forecast(spark, sf))
+    return fx.plain(gold_forecast(staged(rail_silver(spark, sf)), spark, sf))
 
 
 # --- reliability ------------------------------------------------------------
@@ -477,7 +481,7 @@ def alert_prompt(spark, sf):
 
 @query
 def draft_notifications(spark, sf):
-    return delivery.draft_notifications(alerts(spark, sf), prefs(spark, sf))
+    return delivery.draft_notifications(staged(alerts(spark, sf)), prefs(spark, sf))
 
 
 @query
@@ -498,9 +502,8 @@ def outbox_rows(spark, sf):
 
 def _sent_alerts(spark, sf):
     """Alerts of the whole pipeline; those at noon and later were sent."""
-    return alerts(spark, sf).withColumn(
-        "notification_status", F.when(F.hour("actual_timestamp") >= 12, "SENT")
-    )
+    marked = F.when(F.hour("actual_timestamp") >= 12, "SENT")
+    return staged(alerts(spark, sf).withColumn("notification_status", marked))
 
 
 @query

@@ -140,9 +140,9 @@ def _weather_parts() -> dict[str, Column]:
         (F.col("k") + 900).alias("grnd_level"),
     )
     wind = F.struct(
-        F.round(F.col("value") / 10, 2).alias("speed"),
+        (F.floor("value") / 10).alias("speed"),
         (F.col("k") * 3).alias("deg"),
-        F.when(F.col("value") < 100, F.round(F.col("value") / 5, 2)).alias("gust"),
+        F.when(F.col("value") < 100, F.floor("value") / 4).alias("gust"),
     )
     return {"main": main, "wind": wind}
 

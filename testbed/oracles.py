@@ -64,8 +64,8 @@ cte("rail_bronze", f"""
 _CITY_EVENTS = """events JOIN customer ON user_id = c_custkey JOIN nation ON c_nationkey = n_nationkey
          JOIN region ON n_regionkey = r_regionkey"""
 _MEASURES = f"""value AS temperature, round(value - 2, 2) AS feels_like, {{word}} AS weather_description,
-           {_K} AS humidity, {_K} + 950 AS pressure, round(value / 10, 2) AS wind_speed,
-           CASE WHEN value < 100 THEN round(value / 5, 2) END AS wind_gust, {_K} * 3 AS wind_direction"""
+           {_K} AS humidity, {_K} + 950 AS pressure, floor(value) / 10 AS wind_speed,
+           CASE WHEN value < 100 THEN floor(value) / 4 END AS wind_gust, {_K} * 3 AS wind_direction"""
 cte("weather_bronze", f"""
     SELECT CAST(event_id AS VARCHAR) AS event_key, ts AS kafka_timestamp, r_name AS city_name,
            date_trunc('second', ts) AS weather_timestamp, {_MEASURES.format(word=_word(_K))},
