@@ -3,14 +3,18 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
 def require(df: DataFrame, *cols: str) -> DataFrame:
-    """Keep the rows in which every one of ``cols`` is known."""
-    return df.dropna(how="any", subset=list(cols))
+    """Keep the rows in which every one of ``cols`` is known.
+
+    Written as plain ``IS NOT NULL`` tests, which reach the parquet scan.
+    """
+    return df.where(reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in cols]))
 
 
 def dedupe(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from linewatch.functions.calendar import is_disrupted
 from linewatch.functions.keys import same_text
+from linewatch.operators.clean import require
 
 # Default look-back windows and the longest history of one alert.
 PENDING_DAYS = 1
@@ -91,7 +92,11 @@ def _place_history(
     reach = daily.withColumn(
         "_day", F.explode(F.sequence(F.col("event_date"), F.date_add("event_date", days)))
     ).withColumn("_place", F.col(place))
-    wanted = places.select(F.col(place).alias("_place"), F.col("event_date").alias("_day")).dropna().distinct()
+    wanted = (
+        require(places, place, "event_date")
+        .select(F.col(place).alias("_place"), F.col("event_date").alias("_day"))
+        .distinct()
+    )
     return _latest(reach.join(wanted, ["_place", "_day"]), ["_place", "_day"], limit)
 
 

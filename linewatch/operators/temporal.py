@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from linewatch.functions.casts import second_count
-from linewatch.operators.clean import dedupe
+from linewatch.operators.clean import dedupe, require
 
 
 def _interval(span: timedelta) -> Column:
@@ -53,7 +53,7 @@ def interval_join(
     home = F.floor(second_count(F.col(right_ts), _dtype(right, right_ts)) / width)
     renamed = {c: f"_r_{c}" for c in by}
     reach = (
-        right.dropna(subset=[*by, right_ts])
+        require(right, *by, right_ts)
         .withColumnsRenamed(renamed)
         .withColumn("_r_step", F.explode(F.array(home, home - 1)))
     )
@@ -174,15 +174,15 @@ def asof_join(
     forward = direction == "forward"
     by = list(by)
     if not right_unique:
-        right = dedupe(right.dropna(subset=[*by, right_ts]), [*by, right_ts], tie_order or [F.lit(0)])
+        right = dedupe(require(right, *by, right_ts), [*by, right_ts], tie_order or [F.lit(0)])
     if strategy == "range":
         return _range_asof(left, right, by, left_ts, right_ts, tolerance, forward, row_id)
     if strategy != "scan":
         raise ValueError(f"strategy must be scan or range, not {strategy!r}")
 
     dtype = _dtype(left, left_ts)
-    probes = left.select(*by, F.col(left_ts).alias("at")).dropna().distinct()
-    points = right.select(*by, F.col(right_ts).cast(dtype).alias("at")).dropna()
+    probes = require(left, *by, left_ts).select(*by, F.col(left_ts).alias("at")).distinct()
+    points = require(right, *by, right_ts).select(*by, F.col(right_ts).cast(dtype).alias("at"))
     if not right_unique:
         points = points.distinct()
     hits = nearest_instants(probes, points, by, tolerance, dtype, forward, sub_second)

@@ -10,8 +10,16 @@ from linewatch.operators.clean import dedupe, newest, require
 from linewatch.operators.lookup import lookup, station_routes
 from linewatch.schemas import KEYS, TABLES, conform
 
-# Broker order decides which of several messages about the same key is kept.
-ARRIVAL = ["kafka_timestamp", "event_key", "raw_json"]
+def _latest_message(bronze: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
+    """One message per ``keys``: the last one the broker received.
+
+    Messages of the same moment are told apart by their content, so that runs
+    agree. The raw text is not part of it and is neither read nor shuffled.
+    """
+    rows = require(bronze, *[k for k in keys if k != "actual_timestamp"]).select(
+        "kafka_timestamp", "event_key", *columns, F.xxhash64(*columns).alias("_content")
+    )
+    return dedupe(rows, keys, newest("kafka_timestamp", "event_key", "_content")).drop("_content")
 
 
 def _zone_of(df: DataFrame, ts: str, schema: dict[str, str]) -> dict[str, str]:
@@ -20,24 +28,34 @@ def _zone_of(df: DataFrame, ts: str, schema: dict[str, str]) -> dict[str, str]:
     return {c: have if t == "timestamp" and c != "ingest_timestamp" else t for c, t in schema.items()}
 
 
+# Movement columns that leave silver's input, with their types.
+MOVEMENT_TYPES = {
+    "train_id": "string",
+    "train_service_code": "string",
+    "actual_timestamp": "timestamp",
+    "planned_timestamp": "timestamp",
+    "event_type": "string",
+    "planned_event_type": "string",
+    "variation_status": "string",
+    "event_source": "string",
+    "loc_stanox": "string",
+    "next_report_stanox": "string",
+    "next_report_run_time": "int",
+    "toc_id": "int",
+    "division_code": "string",
+    "offroute_ind": "boolean",
+    "train_terminated": "boolean",
+    "delay_monitoring_point": "boolean",
+    "correction_ind": "boolean",
+    "timetable_variation": "int",
+}
+
+
 def clean_movements(bronze: DataFrame) -> DataFrame:
     """Typed movements with known train and location, one per natural key."""
-    kept = dedupe(require(bronze, "train_id", "loc_stanox"), KEYS["rail_silver"], newest(*ARRIVAL))
-    return conform(
-        kept.withColumnRenamed("timetable_variation", "delay_minutes"),
-        {
-            **{
-                c: t
-                for c, t in _zone_of(bronze, "actual_timestamp", TABLES["rail_silver"]).items()
-                if c in bronze.columns or c == "delay_minutes"
-            },
-            "planned_event_type": "string",
-            "event_source": "string",
-            "next_report_run_time": "int",
-            "toc_id": "int",
-            "division_code": "string",
-        },
-    )
+    kept = _latest_message(bronze, KEYS["rail_silver"], list(MOVEMENT_TYPES))
+    typed = conform(kept, _zone_of(bronze, "actual_timestamp", MOVEMENT_TYPES))
+    return typed.withColumnRenamed("timetable_variation", "delay_minutes")
 
 
 def train_events(bronze: DataFrame, stations: DataFrame, routes: DataFrame) -> DataFrame:
@@ -61,7 +79,7 @@ def train_events(bronze: DataFrame, stations: DataFrame, routes: DataFrame) -> D
 
 def _weather(bronze: DataFrame, ts: str, schema: dict[str, str]) -> DataFrame:
     keys = ["city_name", ts]
-    kept = dedupe(require(bronze, *keys), keys, newest(*ARRIVAL))
+    kept = _latest_message(bronze, keys, [c for c in schema if c in bronze.columns])
     keyed = add_key(kept, "event_id", keys).withColumns({"event_date": F.to_date(ts), "event_hour": F.hour(ts)})
     return conform(keyed, _zone_of(bronze, ts, schema))
 

@@ -45,21 +45,21 @@ def forecast_bronze(spark, sf):
     return parse_forecast(envelope(fx.forecast_topic(spark, sf)))
 
 
+# Between layers the jobs have tables. Queries that run several layers write the
+# frames that more than one later step reads.
+
 def rail_silver(spark, sf):
-    return silver.train_events(rail_bronze(spark, sf), fx.stations(spark, sf), fx.routes(spark, sf))
+    return silver.train_events(staged(rail_bronze(spark, sf).drop("raw_json")), fx.stations(spark, sf), fx.routes(spark, sf))
 
 
 def weather_silver(spark, sf):
-    return silver.weather_current(weather_bronze(spark, sf))
+    return silver.weather_current(staged(weather_bronze(spark, sf).drop("raw_json")))
 
 
 def forecast_silver(spark, sf):
-    return silver.weather_forecast(forecast_bronze(spark, sf))
+    return silver.weather_forecast(staged(forecast_bronze(spark, sf).drop("raw_json")))
 
 
-# Between layers the jobs have tables. Queries that run several layers write the
-# frames that more than one later step reads.
-
 def gold_weather(trains, spark, sf):
     return gold.with_current_weather(trains, staged(weather_silver(spark, sf)))
 
