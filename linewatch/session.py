@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -47,13 +48,22 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
-def staged(df: DataFrame) -> DataFrame:
-    """``df`` written once to the shared checkpoint folder and read back.
+def staged(*frames: DataFrame) -> DataFrame | list[DataFrame]:
+    """The frames written once to the shared checkpoint folder and read back.
 
-    For a frame that several later steps read: they scan the columns they need
+    For frames that several later steps read: they scan the columns they need
     instead of repeating the work, and a lost executor repeats only a scan.
+    Several frames are written side by side.
     """
-    spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/staged-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    spark = frames[0].sparkSession
+    folder = ensure_checkpoint_dir(spark).rstrip("/")
+
+    def write(df: DataFrame) -> DataFrame:
+        path = f"{folder}/staged-{uuid.uuid4().hex}"
+        df.write.parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+
+    if len(frames) == 1:
+        return write(frames[0])
+    with ThreadPoolExecutor(len(frames)) as pool:
+        return list(pool.map(write, frames))

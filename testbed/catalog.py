@@ -45,34 +45,31 @@ def forecast_bronze(spark, sf):
     return parse_forecast(envelope(fx.forecast_topic(spark, sf)))
 
 
-# Between layers the jobs have tables. Queries that run several layers write the
+# Between layers the jobs have tables. Queries that run several layers stage the
 # frames that more than one later step reads.
 
 def rail_silver(spark, sf):
-    return silver.train_events(staged(rail_bronze(spark, sf).drop("raw_json")), fx.stations(spark, sf), fx.routes(spark, sf))
-
-
-def weather_silver(spark, sf):
-    return silver.weather_current(staged(weather_bronze(spark, sf).drop("raw_json")))
-
-
-def forecast_silver(spark, sf):
-    return silver.weather_forecast(staged(forecast_bronze(spark, sf).drop("raw_json")))
-
-
-def gold_weather(trains, spark, sf):
-    return gold.with_current_weather(trains, staged(weather_silver(spark, sf)))
-
-
-def gold_forecast(trains, spark, sf):
-    return gold.with_forecast(trains, staged(forecast_silver(spark, sf)))
+    bronze = staged(rail_bronze(spark, sf).drop("raw_json"))
+    return silver.train_events(bronze, fx.stations(spark, sf), fx.routes(spark, sf))
+
+
+def silver_layer(spark, sf, *names):
+    """The named silver frames (rail, weather, forecast), staged, bronze before them."""
+    parse = {"rail": rail_bronze, "weather": weather_bronze, "forecast": forecast_bronze}
+    bronze = staged(*[parse[n](spark, sf).drop("raw_json") for n in names])
+    clean_up = {
+        "rail": lambda b: silver.train_events(b, fx.stations(spark, sf), fx.routes(spark, sf)),
+        "weather": silver.weather_current,
+        "forecast": silver.weather_forecast,
+    }
+    return staged(*[clean_up[n](b) for n, b in zip(names, bronze)])
 
 
 def alerts(spark, sf):
-    trains = staged(rail_silver(spark, sf))
+    trains, seen, ahead = silver_layer(spark, sf, "rail", "weather", "forecast")
     return context.alert_context(
-        gold_weather(trains, spark, sf),
-        gold_forecast(trains, spark, sf),
+        gold.with_current_weather(trains, seen),
+        gold.with_forecast(trains, ahead),
         gold.route_reliability(trains),
         gold.station_reliability(trains),
     )
@@ -221,12 +218,12 @@ def silver_train_events(spark, sf):
 
 @query
 def silver_weather_current(spark, sf):
-    return fx.plain(weather_silver(spark, sf))
+    return fx.plain(silver.weather_current(weather_bronze(spark, sf)))
 
 
 @query
 def silver_weather_forecast(spark, sf):
-    return fx.plain(forecast_silver(spark, sf))
+    return fx.plain(silver.weather_forecast(forecast_bronze(spark, sf)))
 
 
 # --- features ---------------------------------------------------------------
@@ -261,15 +258,34 @@ def weather_severity(spark, sf):
 # --- joins on time ----------------------------------------------------------
 
 def _positions(spark, sf):
-    return staged(rail_silver(spark, sf).select("event_id", "city_name", "actual_timestamp"))
+    return fx.city_events(spark, sf, fx.STATUS).select(
+        "event_id", "city_name", F.date_trunc("second", "ts").alias("actual_timestamp")
+    )
 
 
-def _readings(spark, sf):
-    return staged(weather_silver(spark, sf).select("city_name", "weather_timestamp", "temperature"))
+def _readings(spark, sf, kind="view", ts="weather_timestamp"):
+    return fx.city_events(spark, sf, [kind]).select(
+        "city_name", F.date_trunc("second", "ts").alias(ts), F.col("value").alias("temperature")
+    )
+
+
+def _backward(spark, sf, **how):
+    return fx.plain(
+        temporal.asof_join(
+            _positions(spark, sf), _readings(spark, sf), ["city_name"], "actual_timestamp", "weather_timestamp",
+            gold.WEATHER_REACH, tie_order=[F.col("temperature").desc()], **how,
+        )
+    )
 
 
-def _outlooks(spark, sf):
-    return staged(forecast_silver(spark, sf).select("city_name", "forecast_timestamp", "temperature"))
+def _forward(spark, sf, **how):
+    return fx.plain(
+        temporal.asof_join(
+            _positions(spark, sf), _readings(spark, sf, "click", "forecast_timestamp"), ["city_name"],
+            "actual_timestamp", "forecast_timestamp", gold.FORECAST_REACH, direction="forward",
+            tie_order=[F.col("temperature").desc()], **how,
+        )
+    )
 
 
 @query
@@ -284,42 +300,22 @@ def interval_join(spark, sf):
 
 @query
 def asof_backward(spark, sf):
-    return fx.plain(
-        temporal.asof_join(
-            _positions(spark, sf), _readings(spark, sf), ["city_name"], "actual_timestamp", "weather_timestamp",
-            gold.WEATHER_REACH, right_unique=True,
-        )
-    )
+    return _backward(spark, sf)
 
 
 @query
 def asof_forward(spark, sf):
-    return fx.plain(
-        temporal.asof_join(
-            _positions(spark, sf), _outlooks(spark, sf), ["city_name"], "actual_timestamp", "forecast_timestamp",
-            gold.FORECAST_REACH, direction="forward", right_unique=True,
-        )
-    )
+    return _forward(spark, sf)
 
 
 @query
 def asof_backward_range(spark, sf):
-    return fx.plain(
-        temporal.asof_join(
-            _positions(spark, sf), _readings(spark, sf), ["city_name"], "actual_timestamp", "weather_timestamp",
-            gold.WEATHER_REACH, right_unique=True, strategy="range", row_id=["event_id"],
-        )
-    )
+    return _backward(spark, sf, strategy="range", row_id=["event_id"])
 
 
 @query
 def asof_forward_range(spark, sf):
-    return fx.plain(
-        temporal.asof_join(
-            _positions(spark, sf), _outlooks(spark, sf), ["city_name"], "actual_timestamp", "forecast_timestamp",
-            gold.FORECAST_REACH, direction="forward", right_unique=True, strategy="range", row_id=["event_id"],
-        )
-    )
+    return _forward(spark, sf, strategy="range", row_id=["event_id"])
 
 
 def _by_kind(spark, sf, kinds, ts, value):
@@ -362,12 +358,12 @@ def top1_earliest(spark, sf):
 
 @query
 def gold_weather_train(spark, sf):
-    return fx.plain(gold_weather(staged(rail_silver(spark, sf)), spark, sf))
+    return fx.plain(gold.with_current_weather(*silver_layer(spark, sf, "rail", "weather")))
 
 
 @query
 def gold_forecast_train(spark, sf):
-    return fx.plain(gold_forecast(staged(rail_silver(spark, sf)), spark, sf))
+    return fx.plain(gold.with_forecast(*silver_layer(spark, sf, "rail", "forecast")))
 
 
 # --- reliability ------------------------------------------------------------

@@ -118,13 +118,14 @@ def rail_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _message(events, F.struct(header.alias("header"), inner.alias("body")))
 
 
-def _city_events(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
-    events = table(spark, sf_dir, "events").where(F.col("event_type") == kind)
+def city_events(spark: SparkSession, sf_dir: str, kinds) -> DataFrame:
+    """Events of the given kinds with the city of their rider."""
+    events = table(spark, sf_dir, "events").where(F.col("event_type").isin(*kinds))
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     return (
         events.join(customer, events.user_id == customer.c_custkey)
         .join(regions(spark, sf_dir), F.col("c_nationkey") == F.col("n_nationkey"))
-        .withColumn("k", k_of())
+        .withColumnRenamed("r_name", "city_name")
     )
 
 
@@ -151,20 +152,20 @@ def weather_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = _weather_parts()
     sky = F.array(F.struct(word(F.col("k")).alias("description")))
     payload = F.struct(
-        F.col("r_name").alias("name"),
+        F.col("city_name").alias("name"),
         F.unix_seconds(F.col("ts").cast("timestamp")).alias("dt"),
         parts["main"].alias("main"),
         sky.alias("weather"),
         parts["wind"].alias("wind"),
     )
-    return _message(_city_events(spark, sf_dir, "view"), payload)
+    return _message(city_events(spark, sf_dir, ["view"]).withColumn("k", k_of()), payload)
 
 
 def forecast_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = _weather_parts()
     sky = F.array(F.struct(word(F.floor("value").cast("int")).alias("description")))
     payload = F.struct(
-        F.struct(F.col("r_name").alias("name")).alias("city"),
+        F.struct(F.col("city_name").alias("name")).alias("city"),
         F.struct(
             F.unix_seconds(F.col("ts").cast("timestamp")).alias("dt"),
             F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("dt_txt"),
@@ -175,7 +176,7 @@ def forecast_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.round(F.col("k") / 100, 2).alias("pop"),
         ).alias("forecast"),
     )
-    return _message(_city_events(spark, sf_dir, "click"), payload)
+    return _message(city_events(spark, sf_dir, ["click"]).withColumn("k", k_of()), payload)
 
 
 def riders(spark: SparkSession, sf_dir: str) -> DataFrame:

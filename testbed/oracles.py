@@ -329,8 +329,18 @@ def _event_asof(kind: str, prefix: str, span: str, forward: bool) -> str:
       ON l.rider = r.user_id AND l.ts {compare} r.{prefix}_ts"""
 
 
-def _silver_asof(right: str, r_ts: str, span: str, forward: bool) -> str:
-    return _asof("rail_silver", right, "actual_timestamp", r_ts, span, forward, "city_name", "temperature",
+cte("positions", f"""
+    SELECT event_id, r_name AS city_name, date_trunc('second', ts) AS actual_timestamp
+    FROM {_CITY_EVENTS} WHERE event_type IN ({_KINDS})""")
+for _name, _ts, _kind in (("readings", "weather_timestamp", "view"), ("outlooks", "forecast_timestamp", "click")):
+    cte(_name, f"""
+    SELECT r_name AS city_name, date_trunc('second', ts) AS {_ts}, value AS temperature
+    FROM {_CITY_EVENTS} WHERE event_type = '{_kind}'""")
+    cte(f"{_name}_unique", f"SELECT city_name, {_ts}, max(temperature) AS temperature FROM {_name} GROUP BY 1, 2", _name)
+
+
+def _position_asof(right: str, r_ts: str, span: str, forward: bool) -> str:
+    return _asof("positions", right, "actual_timestamp", r_ts, span, forward, "city_name", "temperature",
                  "n.event_id, n.city_name, n.actual_timestamp")
 
 
@@ -398,13 +408,13 @@ ORACLES: dict[str, str] = {
         FROM (SELECT event_id, {_word(_K)} AS now, {_word('CAST(floor(value) AS INT)')} AS later FROM events)""",
     "interval_join": with_ctes("""
         SELECT t.event_id, t.city_name, t.actual_timestamp, w.weather_timestamp, w.temperature
-        FROM rail_silver t LEFT JOIN weather_silver w ON t.city_name = w.city_name
+        FROM positions t LEFT JOIN readings w ON t.city_name = w.city_name
          AND w.weather_timestamp BETWEEN t.actual_timestamp - INTERVAL 30 MINUTE AND t.actual_timestamp""",
-        "rail_silver", "weather_silver"),
+        "positions", "readings"),
     "asof_backward": with_ctes(
-        _silver_asof("weather_silver", "weather_timestamp", "INTERVAL 30 MINUTE", False), "rail_silver", "weather_silver"),
+        _position_asof("readings_unique", "weather_timestamp", "INTERVAL 30 MINUTE", False), "positions", "readings_unique"),
     "asof_forward": with_ctes(
-        _silver_asof("forecast_silver", "forecast_timestamp", "INTERVAL 3 HOUR", True), "rail_silver", "forecast_silver"),
+        _position_asof("outlooks_unique", "forecast_timestamp", "INTERVAL 3 HOUR", True), "positions", "outlooks_unique"),
     "asof_backward_fill": _event_asof("view", "view", "INTERVAL 1 DAY", False),
     "asof_forward_fill": _event_asof("click", "click", "INTERVAL 6 HOUR", True),
     "top1_latest": """
