@@ -1,0 +1,201 @@
+from datetime import datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from linewatch.functions import calendar, casts, keys, texts, weather
+from linewatch.operators.clean import dedupe, newest, require
+from linewatch.operators.lookup import lookup, station_routes
+from linewatch.schemas import TABLES, conform
+
+
+def test_require(table, rows):
+    df = table("a int, b string", (1, "x"), (None, "y"), (3, None))
+    assert rows(require(df, "a", "b")) == [(1, "x")]
+
+
+def test_dedupe_keeps_newest_and_treats_null_keys_alike(table, rows):
+    df = table("k string, t int, v string", ("a", 1, "old"), ("a", 2, "new"), (None, 1, "x"), (None, 3, "y"), ("b", None, "z"))
+    assert rows(dedupe(df, ["k"], newest("t"))) == [("a", 2, "new"), ("b", None, "z"), (None, 3, "y")]
+
+
+def test_dedupe_cuts_rows_before_the_shuffle(table):
+    plan = dedupe(table("k int, t int", (1, 1)), ["k"], newest("t"))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("WindowGroupLimit") == 2
+
+
+def test_casts_never_fail(table, rows):
+    df = table("c string", ("",), ("true",), (" FALSE ",), ("1013.5",), ("abc",), ("-3",), ("99999999999",), (None,))
+    out = df.select(
+        "c", casts.as_bool(F.col("c")).alias("b"), casts.as_int(F.col("c")).alias("i"), casts.as_double(F.col("c")).alias("d")
+    )
+    got = {r.c: (r.b, r.i, r.d) for r in out.collect()}
+    assert got[""] == (None, None, None)
+    assert got["true"] == (True, None, None)
+    assert got[" FALSE "] == (False, None, None)
+    assert got["1013.5"] == (None, 1013, 1013.5)
+    assert got["abc"] == (None, None, None)
+    assert got["-3"] == (None, -3, -3.0)
+    assert got["99999999999"][1] is None
+    assert got[None] == (None, None, None)
+
+
+def test_epochs(table):
+    df = table("c string", ("1700000000999",), ("-1",), ("x",), ("",), ("9223372036854775807",))
+    out = df.select(
+        F.unix_seconds(casts.from_epoch_millis(F.col("c"))).alias("ms"),
+        F.unix_seconds(casts.from_epoch_seconds(F.col("c"))).alias("s"),
+    ).collect()
+    assert [r.ms for r in out] == [1700000000, 0, None, None, None]
+    assert [r.s for r in out] == [None, -1, None, None, None]
+
+
+def test_epoch_is_right_in_the_repeated_hour(spark, table):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Europe/London")
+    try:
+        df = table("c string", ("1729990800",)).select(F.unix_seconds(casts.from_epoch_seconds(F.col("c"))).alias("s"))
+        assert df.first().s == 1729990800
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_surrogate_key_leaves_out_unknown_parts(table, rows):
+    df = table("a string, t timestamp, c string", ("x", datetime(2024, 1, 2, 3, 4, 5), "9"), ("x", None, "9"))
+    assert rows(keys.add_key(df, "id", ["a", "t", "c"]), "id") == [("x_2024-01-02 03:04:05_9",), ("x_9",)]
+
+
+def test_plain_code(table):
+    df = table("c string", ("00123",), (" 123 ",), ("0",), ("000",), ("A01",))
+    assert [r[0] for r in df.select(keys.plain_code(F.col("c"))).collect()] == ["123", "123", "0", "0", "A01"]
+
+
+def test_conform(table):
+    df = table("b string, a string, extra int", ("7.9", "true", 1))
+    out = conform(df, {"a": "boolean", "b": "int", "c": "timestamp"})
+    assert out.dtypes == [("a", "boolean"), ("b", "int"), ("c", "timestamp")]
+    assert tuple(out.first()) == (True, 7, None)
+
+
+@pytest.mark.parametrize(
+    "delay, status, flags",
+    [
+        (5, "LATE", (False, False, False)),
+        (6, "LATE", (True, False, False)),
+        (14, "LATE", (True, False, False)),
+        (15, "LATE", (True, True, False)),
+        (15, "EARLY", (False, False, False)),
+        (15, "CANCELLED", (False, False, True)),
+        (3, None, (False, False, None)),
+        (15, None, (None, None, None)),
+        (None, "LATE", (None, None, False)),
+    ],
+)
+def test_flags(table, delay, status, flags):
+    df = table("delay_minutes int, variation_status string", (delay, status))
+    assert tuple(calendar.add_disruption_flags(df).first())[2:] == flags
+
+
+def test_calendar(table):
+    df = table("t timestamp", (datetime(2024, 3, 2, 9, 59),), (datetime(2024, 3, 4, 10, 0),), (datetime(2024, 3, 3, 19, 59),))
+    got = [tuple(r)[1:] for r in calendar.add_calendar(df, "t").collect()]
+    assert got == [
+        (9, "Saturday", True, True, 3, 2024),
+        (10, "Monday", False, False, 3, 2024),
+        (19, "Sunday", True, True, 3, 2024),
+    ]
+
+
+def test_lookup_codes_roles_and_duplicates(table, rows):
+    stations = table(
+        "STANOX_NO string, FULL_NAME string, Route_Description string",
+        ("00101", "Alpha", "North"), ("101", "Alpha again", "North"), ("102", "Beta", "South"), ("103", "Gamma", None),
+    )
+    routes = table("Route string, City string", ("North", "York"), ("North", "Zeta"), ("West", "Bath"))
+    assert rows(station_routes(stations, routes)) == [("101", "Alpha", "North", "York")]
+    events = table("id int, here string, next string", (1, "101", "0102"), (2, "999", "101"), (3, None, "777"))
+    once = lookup(events, stations, "here", "STANOX_NO", {"here_name": "FULL_NAME"})
+    twice = lookup(once, stations, "next", "STANOX_NO", {"next_name": "FULL_NAME"})
+    assert rows(twice, "id", "here_name", "next_name") == [(1, "Alpha", "Beta"), (2, None, "Alpha"), (3, None, None)]
+
+
+SCALE = [
+    ["clear sky", "sunny"],
+    ["few clouds", "scattered clouds"],
+    ["broken clouds", "overcast clouds"],
+    ["mist", "fog"],
+    ["light rain", "light snow", "light intensity drizzle"],
+    ["moderate rain", "moderate snow", "rain", "snow"],
+    ["heavy rain", "heavy snow", "heavy intensity rain"],
+    ["thunderstorm", "thunderstorm with light rain", "severe gale"],
+]
+
+
+def test_severity_order(table):
+    for rank, words in enumerate(SCALE):
+        for w in words:
+            assert table("w string", (w.upper(),)).select(weather.severity(F.col("w"))).first()[0] == rank, w
+    assert table("w string", ("volcanic ash",)).select(weather.severity(F.col("w"))).first()[0] is None
+
+
+@pytest.mark.parametrize("now, later, trend", [
+    ("heavy rain", "light rain", "EASE"), ("rain", "thunderstorm", "WORSEN"), ("fog", "mist", "PERSIST"), (None, "fog", None),
+])
+def test_trend(table, now, later, trend):
+    df = table("a string, b string", (now, later))
+    assert df.select(weather.trend(F.col("a"), F.col("b"))).first()[0] == trend
+
+
+def test_clouds_do_not_disrupt(table):
+    words = ["clear sky", "few clouds", "scattered clouds", "broken clouds", None]
+    df = table("w string", *[(w,) for w in words])
+    assert not any(r[0] for r in df.select(weather.is_disruptive(F.col("w"))).collect())
+    df = table("w string", *[(w,) for w in ["light rain", "snow", "Storm", "fog", "black ice", "high wind", "extreme heat"]])
+    assert all(r[0] for r in df.select(weather.is_disruptive(F.col("w"))).collect())
+
+
+def draft(table, **kw):
+    base = dict(
+        route="Kent", current_station="Dover Priory", delay_minutes=10, is_delayed=True, is_major_delay=False,
+        is_cancelled=False, current_weather_description="clear sky", forecast_weather_description=None, recent_alerts=0,
+    )
+    base.update(kw)
+    schema = (
+        "route string, current_station string, delay_minutes int, is_delayed boolean, is_major_delay boolean, "
+        "is_cancelled boolean, current_weather_description string, forecast_weather_description string, recent_alerts int"
+    )
+    row = texts.add_draft(table(schema, tuple(base.values()))).first()
+    return row.subject, row.message
+
+
+def test_drafts(table):
+    assert draft(table) == (
+        "Delay at Dover Priory: 10 min",
+        "The train on the Kent route was delayed by 10 minutes at Dover Priory. The cause is unclear.",
+    )
+    subject, message = draft(table, is_cancelled=True, is_delayed=False, delay_minutes=None)
+    assert subject == "Cancellation on Kent route at Dover Priory"
+    assert message.startswith("Your train on the Kent route via Dover Priory has been cancelled.")
+    subject, message = draft(
+        table, is_major_delay=True, delay_minutes=26, current_weather_description="Heavy rain",
+        forecast_weather_description="light rain", recent_alerts=2,
+    )
+    assert subject == "Major delay at Dover Priory: 26 min"
+    assert message == (
+        "The train on the Kent route had a major delay of 26 minutes at Dover Priory. "
+        "This may be linked to heavy rain in the area; conditions are expected to ease. "
+        "There have been several disruptions on this route or station recently."
+    )
+    assert "worsen" in draft(table, current_weather_description="rain", forecast_weather_description="thunderstorm")[1]
+    assert "continue" in draft(table, current_weather_description="rain", forecast_weather_description="snow")[1]
+    assert "clouds" not in draft(table, current_weather_description="broken clouds", forecast_weather_description="few clouds")[1]
+    assert "rain is forecast" in draft(table, forecast_weather_description="heavy rain")[1]
+
+
+def test_prompt_text(table):
+    df = table("a int, b string, c boolean", (1, None, True))
+    assert df.select(texts.prompt_text(["a", "b", "c"])).first()[0] == "a=1 c=true"
+
+
+def test_summary_fields_are_alert_columns():
+    assert set(texts.SUMMARY_FIELDS) <= set(TABLES["alerts"])

@@ -1,0 +1,94 @@
+from datetime import datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from linewatch.operators.reliability import reliability_metrics, train_daily_status
+from linewatch.operators.upsert import mark_notified, upsert
+
+DAY = datetime(2024, 5, 1, 8)
+MOVES = "train_id string, route string, actual_timestamp timestamp, delay_minutes int, variation_status string"
+
+
+def move(train, delay, status, route="R", at=DAY):
+    return (train, route, at, delay, status)
+
+
+def metrics(table, moves, **how):
+    row = reliability_metrics(table(MOVES, *moves), ["route"], **how).first()
+    return row.scheduled_trains, row.on_time_trains, row.late_trains, row.avg_delay, row.reliability_index
+
+
+def test_on_time_means_reported_late_by_little(table):
+    assert metrics(table, [move("a", 5, "LATE")]) == (1, 1, 0, 5.0, 100.0)
+    assert metrics(table, [move("a", 6, "LATE")]) == (1, 0, 1, 6.0, 0.0)
+    assert metrics(table, [move("a", 2, "EARLY")]) == (1, 0, 1, 2.0, 0.0)
+    assert metrics(table, [move("a", 2, None)]) == (1, 0, 1, 2.0, 0.0)
+    assert metrics(table, [move("a", None, "LATE")]) == (1, 0, 1, None, 0.0)
+    assert metrics(table, [move("a", 2, "EARLY")], on_time_rule="signed") == (1, 1, 0, 2.0, 100.0)
+    with pytest.raises(ValueError):
+        metrics(table, [move("a", 1, "LATE")], on_time_rule="other")
+
+
+def test_a_train_may_count_as_on_time_and_late(table):
+    moves = [move("a", 3, "LATE"), move("a", 1, "LATE"), move("a", 9, "EARLY"), move("b", 20, "LATE")]
+    assert metrics(table, moves) == (2, 1, 2, 10.67, 50.0)
+
+
+def test_unknown_train_is_not_counted_but_its_delay_is(table):
+    assert metrics(table, [move(None, 3, "LATE"), move("b", 4, "LATE")]) == (1, 1, 0, 3.5, 100.0)
+    assert metrics(table, [move(None, 3, "LATE")]) == (0, 0, 0, 3.0, None)
+
+
+def test_halves_round_up(table):
+    assert metrics(table, [move(str(i), d, "LATE") for i, d in enumerate([19, 20] * 19 + [20, 20])])[3] == 19.53
+
+
+def test_bounds_and_plan(table):
+    moves = [move(str(i % 7), i % 20, ["LATE", "EARLY", None][i % 3], f"R{i % 2}") for i in range(200)]
+    out = reliability_metrics(table(MOVES, *moves), ["route"])
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Expand" not in plan
+    assert plan.count("Exchange") == 3
+    for r in out.collect():
+        assert r.on_time_trains <= r.scheduled_trains and r.late_trains <= r.scheduled_trains
+
+
+def test_daily_status_takes_the_worst_delay(table):
+    df = train_daily_status(table(MOVES, move("a", 3, "LATE"), move("a", 8, "LATE")), ["route"])
+    assert [(r.final_delay_minutes, r.train_status) for r in df.collect()] == [(8, "LATE")]
+
+
+TARGET = "k string, t int, v string, status string"
+
+
+def test_upsert_with_unknown_key_parts(table, rows):
+    target = table(TARGET, ("a", 1, "old", "SENT"), ("a", None, "old", "SENT"), ("b", 1, "keep", None))
+    source = table("v string, k string, t int, extra int", ("new", "a", 1, 0), ("new", "a", None, 0), ("add", "c", None, 0))
+    expected = [("a", 1, "new", None), ("a", None, "new", None), ("b", 1, "keep", None), ("c", None, "add", None)]
+    once = upsert(target, source, ["k", "t"])
+    assert rows(once) == expected
+    assert rows(upsert(once, source, ["k", "t"])) == expected
+    strict = upsert(target, source, ["k", "t"], null_safe=False)
+    assert strict.count() == 5  # the row with the unknown part is not recognised
+
+
+def test_upsert_preserves_marks(table, rows):
+    target = table(TARGET, ("a", 1, "old", "SENT"), ("b", 1, "old", None))
+    source = table(TARGET, ("a", 1, "new", None), ("b", 1, "new", None), ("c", 1, "new", "X"))
+    assert rows(upsert(target, source, ["k", "t"], preserve=["status"])) == [
+        ("a", 1, "new", "SENT"), ("b", 1, "new", None), ("c", 1, "new", "X"),
+    ]
+
+
+def test_upsert_empty_sides(table, rows):
+    full, empty = table(TARGET, ("a", 1, "x", None)), table(TARGET)
+    assert rows(upsert(full, empty, ["k"])) == rows(full)
+    assert rows(upsert(empty, full, ["k"], preserve=["status"])) == rows(full)
+
+
+def test_mark_notified(table, rows):
+    alerts = table("event_id string, notification_status string, notified_at timestamp", ("a", None, None), ("b", None, None))
+    done = table("event_id string", ("a",), ("a",))
+    at = F.lit(datetime(2024, 1, 1))
+    assert rows(mark_notified(alerts, done, at)) == [("a", "SENT", datetime(2024, 1, 1)), ("b", None, None)]
