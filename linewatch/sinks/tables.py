@@ -85,6 +85,7 @@ def merge_table(
     """
     spark = source.sparkSession
     ensure_checkpoint_dir(spark)
+    spark.catalog.refreshTable(table)
     target = spark.table(table)
     source = conform(source, dict(target.dtypes)).checkpoint()
     parts = partition_columns(spark, table)

@@ -58,6 +58,8 @@ def upsert_stream(
             preserve=preserve,
             partition_is_stable=partition_is_stable,
         )
+        # Batches run in a session of their own; let the caller's see the new files.
+        df.sparkSession.catalog.refreshTable(table)
 
     return (
         df.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(write).start()
