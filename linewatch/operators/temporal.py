@@ -151,6 +151,7 @@ def asof_join(
     sub_second: bool = False,
     strategy: str = "scan",
     row_id: Sequence[str] = (),
+    instants: DataFrame | None = None,
 ) -> DataFrame:
     """Every left row with the nearest right row of the same ``by`` in time.
 
@@ -163,7 +164,8 @@ def asof_join(
     each instant's partner with a running maximum over short blocks, fetches the
     partner's columns once per instant and joins them onto the left rows. The
     left rows are shuffled once at most; the side they meet is unique per key, so
-    Spark's skew handling can split a hot key freely.
+    Spark's skew handling can split a hot key freely. Where ``left`` is costly,
+    ``instants`` names a cheaper frame that holds all its ``by`` and ``left_ts``.
 
     ``range`` pairs each left row with all right rows in reach and keeps the
     nearest per ``row_id`` (all left columns if not given). It suits sparse right
@@ -181,7 +183,7 @@ def asof_join(
         raise ValueError(f"strategy must be scan or range, not {strategy!r}")
 
     dtype = _dtype(left, left_ts)
-    probes = require(left, *by, left_ts).select(*by, F.col(left_ts).alias("at")).distinct()
+    probes = require(left if instants is None else instants, *by, left_ts).select(*by, F.col(left_ts).alias("at")).distinct()
     points = require(right, *by, right_ts).select(*by, F.col(right_ts).cast(dtype).alias("at"))
     if not right_unique:
         points = points.distinct()

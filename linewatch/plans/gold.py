@@ -8,10 +8,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from linewatch.functions.calendar import add_calendar, add_disruption_flags
-from linewatch.operators.clean import dedupe
+from linewatch.operators.clean import dedupe, newest
 from linewatch.operators.reliability import reliability_metrics
 from linewatch.operators.temporal import asof_join
-from linewatch.plans.silver import _zone_of
+from linewatch.plans.silver import zoned_as
 from linewatch.schemas import TABLES, conform
 
 # How old an observation and how far ahead a forecast may be.
@@ -38,35 +38,32 @@ def _prefixed(weather: DataFrame, ts: str, ts_name: str, prefix: str) -> DataFra
 
 def _one_per_event(trains: DataFrame) -> DataFrame:
     """Silver keeps one row per natural key; different keys may still spell the same id."""
-    order = [F.col(c).desc_nulls_last() for c in ("actual_timestamp", "train_id", "loc_stanox") if c in trains.columns]
-    return dedupe(trains, ["event_id"], order)
+    return dedupe(trains, ["event_id"], newest("actual_timestamp", "train_id", "loc_stanox"))
 
 
 def with_current_weather(trains: DataFrame, weather: DataFrame, unique_events: bool = False) -> DataFrame:
     """Each event with the newest observation of its city, calendar and flags."""
-    if not unique_events:
-        trains = _one_per_event(trains)
+    events = trains if unique_events else _one_per_event(trains)
     seen = _prefixed(weather, "weather_timestamp", "current_weather_timestamp", "current_")
     joined = asof_join(
-        trains, seen, ["city_name"], "actual_timestamp", "current_weather_timestamp", WEATHER_REACH,
-        right_unique=True,
+        events, seen, ["city_name"], "actual_timestamp", "current_weather_timestamp", WEATHER_REACH,
+        right_unique=True, instants=trains,
     )
     flagged = add_disruption_flags(add_calendar(joined, "actual_timestamp"))
     stamped = flagged.withColumn("ingest_timestamp", F.current_timestamp())
-    return conform(stamped, _zone_of(trains, "actual_timestamp", TABLES["gold_weather_train"]))
+    return conform(stamped, zoned_as(trains, "actual_timestamp", TABLES["gold_weather_train"]))
 
 
 def with_forecast(trains: DataFrame, forecast: DataFrame, unique_events: bool = False) -> DataFrame:
     """Each event with the first forecast of its city from the event on."""
-    if not unique_events:
-        trains = _one_per_event(trains)
+    narrow = trains.select("event_id", "train_id", "city_name", "actual_timestamp", "loc_stanox")
+    events = narrow if unique_events else _one_per_event(narrow)
     ahead = _prefixed(forecast, "forecast_timestamp", "forecast_weather_timestamp", "forecast_")
     joined = asof_join(
-        trains.select("event_id", "train_id", "city_name", "actual_timestamp"), ahead, ["city_name"],
-        "actual_timestamp", "forecast_weather_timestamp", FORECAST_REACH,
-        direction="forward", right_unique=True,
+        events, ahead, ["city_name"], "actual_timestamp", "forecast_weather_timestamp", FORECAST_REACH,
+        direction="forward", right_unique=True, instants=trains,
     ).withColumn("ingest_timestamp", F.current_timestamp())
-    return conform(joined, _zone_of(trains, "actual_timestamp", TABLES["gold_forecast_train"]))
+    return conform(joined, zoned_as(trains, "actual_timestamp", TABLES["gold_forecast_train"]))
 
 
 def _stamped(metrics: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from dataclasses import dataclass
+from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,9 +21,11 @@ from linewatch.plans import gold, silver
 from linewatch.plans.dispatch import notify
 from linewatch.schemas import KEYS, PARTITIONS, TABLES
 from linewatch.session import ensure_checkpoint_dir
-from linewatch.sinks.tables import append_table, create_table, ensure_database, merge_table, replace_table
+from linewatch.sinks.tables import (
+    append_table, create_table, ensure_database, merge_table, replace_partitions, replace_table,
+)
 from linewatch.sources.lookups import read_routes, read_stations
-from linewatch.streaming.ingest import append_stream
+from linewatch.streaming.ingest import append_stream, upsert_stream
 from linewatch.streaming.parse import parse_forecast, parse_rail, parse_weather
 
 # Delivery marks are set after gold; a gold rerun must not erase them.
@@ -72,21 +75,66 @@ def run_silver(spark: SparkSession, at: Layout) -> None:
     merge_table(forecast, at.name("forecast_silver"), KEYS["forecast_silver"])
 
 
-def run_gold(spark: SparkSession, at: Layout) -> None:
-    trains = spark.table(at.name("rail_silver"))
+def stream_silver(spark: SparkSession, at: Layout) -> None:
+    """Silver from the bronze rows that are new since the last call.
+
+    The same cleaning per micro-batch, upserted by key, so late and corrected
+    messages replace what was there and the cost follows the new rows alone.
+    """
+    stations, routes = read_stations(spark, at.lookups), read_routes(spark, at.lookups)
+    steps = {
+        "rail": lambda bronze: silver.train_events(bronze, stations, routes),
+        "weather": silver.weather_current,
+        "forecast": silver.weather_forecast,
+    }
+    for name, step in steps.items():
+        table = f"{name}_silver"
+        upsert_stream(
+            spark.readStream.table(at.name(f"{name}_bronze")),
+            f"{at.checkpoints}/silver/{name}",
+            at.name(table),
+            KEYS[table],
+            prepare=step,
+        ).awaitTermination()
+
+
+def _from_day(df: DataFrame, since: date | None, margin: int = 0) -> DataFrame:
+    """Rows of the partitions from ``since`` (less ``margin`` days) on, and those without a day."""
+    if since is None:
+        return df
+    first = F.lit(since - timedelta(days=margin))
+    return df.where((F.col("event_date") >= first) | F.col("event_date").isNull())
+
+
+def run_gold(spark: SparkSession, at: Layout, since: date | None = None) -> None:
+    """Enrichment, metrics and alerts; with ``since`` only for that day and later.
+
+    Every gold row depends on its own day, and on weather at most hours away, so
+    a run over the newest days leaves the older partitions as they are.
+    """
+    trains = _from_day(spark.table(at.name("rail_silver")), since)
+    seen = _from_day(spark.table(at.name("weather_silver")), since, 1)
+    ahead = _from_day(spark.table(at.name("forecast_silver")), since)
     # An event's city follows from the lookup files, so it may move between runs.
     for table, rows in (
-        ("gold_weather_train", gold.with_current_weather(trains, spark.table(at.name("weather_silver")))),
-        ("gold_forecast_train", gold.with_forecast(trains, spark.table(at.name("forecast_silver")))),
+        ("gold_weather_train", gold.with_current_weather(trains, seen)),
+        ("gold_forecast_train", gold.with_forecast(trains, ahead)),
     ):
         merge_table(rows, at.name(table), KEYS[table], partition_is_stable=False)
     for table, rows in (
         ("gold_station_reliability", gold.station_reliability(trains)),
         ("gold_route_reliability", gold.route_reliability(trains)),
     ):
-        replace_table(rows, at.name(table), PARTITIONS[table])
+        if since is None:
+            replace_table(rows, at.name(table), PARTITIONS[table])
+        else:
+            replace_partitions(rows, at.name(table))
+    enriched = spark.table(at.name("gold_weather_train"))
+    if since is not None:
+        begin = F.lit(since).cast("timestamp")
+        enriched = enriched.where((F.col("actual_timestamp") >= begin) | F.col("actual_timestamp").isNull())
     context = alert_context(
-        spark.table(at.name("gold_weather_train")),
+        enriched,
         spark.table(at.name("gold_forecast_train")),
         spark.table(at.name("gold_route_reliability")),
         spark.table(at.name("gold_station_reliability")),

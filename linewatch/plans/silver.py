@@ -22,7 +22,7 @@ def _latest_message(bronze: DataFrame, keys: list[str], columns: list[str]) -> D
     return dedupe(rows, keys, newest("kafka_timestamp", "event_key", "_content")).drop("_content")
 
 
-def _zone_of(df: DataFrame, ts: str, schema: dict[str, str]) -> dict[str, str]:
+def zoned_as(df: DataFrame, ts: str, schema: dict[str, str]) -> dict[str, str]:
     """``schema`` with timestamps as zoned or zone-less as ``df`` has them."""
     have = dict(df.dtypes)[ts]
     return {c: have if t == "timestamp" and c != "ingest_timestamp" else t for c, t in schema.items()}
@@ -54,7 +54,7 @@ MOVEMENT_TYPES = {
 def clean_movements(bronze: DataFrame) -> DataFrame:
     """Typed movements with known train and location, one per natural key."""
     kept = _latest_message(bronze, KEYS["rail_silver"], list(MOVEMENT_TYPES))
-    typed = conform(kept, _zone_of(bronze, "actual_timestamp", MOVEMENT_TYPES))
+    typed = conform(kept, zoned_as(bronze, "actual_timestamp", MOVEMENT_TYPES))
     return typed.withColumnRenamed("timetable_variation", "delay_minutes")
 
 
@@ -74,14 +74,14 @@ def train_events(bronze: DataFrame, stations: DataFrame, routes: DataFrame) -> D
             "ingest_timestamp": F.current_timestamp(),
         }
     )
-    return conform(keyed, _zone_of(bronze, "actual_timestamp", TABLES["rail_silver"]))
+    return conform(keyed, zoned_as(bronze, "actual_timestamp", TABLES["rail_silver"]))
 
 
 def _weather(bronze: DataFrame, ts: str, schema: dict[str, str]) -> DataFrame:
     keys = ["city_name", ts]
     kept = _latest_message(bronze, keys, [c for c in schema if c in bronze.columns])
     keyed = add_key(kept, "event_id", keys).withColumns({"event_date": F.to_date(ts), "event_hour": F.hour(ts)})
-    return conform(keyed, _zone_of(bronze, ts, schema))
+    return conform(keyed, zoned_as(bronze, ts, schema))
 
 
 def weather_current(bronze: DataFrame) -> DataFrame:

@@ -65,6 +65,14 @@ def replace_table(df: DataFrame, table: str, partition_by: Sequence[str] = ()) -
     writer.saveAsTable(table)
 
 
+def replace_partitions(df: DataFrame, table: str) -> None:
+    """Overwrite only the partitions that ``df`` has rows for. ``df`` must not read the table."""
+    target = df.sparkSession.table(table)
+    rows = _balanced(conform(df, dict(target.dtypes)), partition_columns(df.sparkSession, table))
+    with _dynamic_overwrite(df.sparkSession):
+        rows.write.mode("overwrite").insertInto(table)
+
+
 def _literal(value: object) -> str:
     return "NULL" if value is None else "'" + str(value).replace("\\", "\\\\").replace("'", "\\'") + "'"
 
@@ -108,8 +116,7 @@ def merge_table(
         [reduce(lambda a, b: a & b, [target[c].eqNullSafe(F.lit(x)) for c, x in zip(parts, v)]) for v in values],
     )
     merged = upsert(target.where(inside), source, keys, preserve=preserve).checkpoint()
-    with _dynamic_overwrite(spark):
-        _balanced(merged, parts).write.mode("overwrite").insertInto(table)
+    replace_partitions(merged, table)
     if not partition_is_stable:
         left = {tuple(r) for r in merged.select(*parts).distinct().collect()}
         for gone in [v for v in values if v not in left and None not in v]:

@@ -45,14 +45,15 @@ def upsert_stream(
 ) -> StreamingQuery:
     """Upsert each micro-batch into ``table``; late rows simply replace older ones.
 
-    Within a batch the newest row per key by ``order`` wins. Repeating a batch
+    Within a batch the newest row per key by ``order`` wins; leave ``order`` out
+    where ``prepare`` already returns one row per key. Repeating a batch
     after a failure writes the same rows again, so nothing is counted twice.
     """
 
     def write(batch: DataFrame, _: int) -> None:
         rows = prepare(batch) if prepare else batch
         merge_table(
-            dedupe(rows, keys, newest(*(order or keys))),
+            dedupe(rows, keys, newest(*order)) if order else rows,
             table,
             keys,
             preserve=preserve,

@@ -230,18 +230,22 @@ def test_the_whole_line(spark, db, tmp_path):
     )
     as_of = F.lit(date(2024, 1, 10))
 
-    def run():
+    def run(again=False):
         jobs.run_bronze(spark, at, topics())
-        jobs.run_silver(spark, at)
-        jobs.run_gold(spark, at)
+        if again:
+            jobs.stream_silver(spark, at)
+            jobs.run_gold(spark, at, since=date(2024, 1, 10))
+        else:
+            jobs.run_silver(spark, at)
+            jobs.run_gold(spark, at)
         jobs.run_riders(spark, at, prefs)
         jobs.run_dispatch(spark, at, as_of)
 
     def ids(table, *cols):
         return sorted(tuple(r) for r in spark.table(f"{db}.{table}").select(*cols).collect())
 
-    for _ in range(2):
-        run()
+    for again in (False, True):
+        run(again)
         assert spark.table(f"{db}.rail_bronze").count() == 7
         assert spark.table(f"{db}.rail_silver").count() == 4  # the unknown time counts once
         weathered = {r.train_id: r for r in spark.table(f"{db}.gold_weather_train").collect()}
