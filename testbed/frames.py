@@ -77,8 +77,17 @@ def routes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _spread(df: DataFrame) -> DataFrame:
+    """Rows over all cores where the file is a single split, as a topic's partitions would.
+
+    Files of many splits are left as they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def _message(df: DataFrame, payload: Column) -> DataFrame:
-    return df.select(
+    return _spread(df).select(
         F.col("event_id").cast("string").cast("binary").alias("key"),
         F.col("ts").cast("timestamp").alias("timestamp"),
         F.to_json(F.struct(payload.alias("raw_payload"))).cast("binary").alias("value"),
