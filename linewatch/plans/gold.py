@@ -50,7 +50,9 @@ def with_current_weather(trains: DataFrame, weather: DataFrame, unique_events: b
         right_unique=True, instants=trains,
     )
     flagged = add_disruption_flags(add_calendar(joined, "actual_timestamp"))
-    stamped = flagged.withColumn("ingest_timestamp", F.current_timestamp())
+    stamped = flagged.withColumns(
+        {"event_date": F.to_date("actual_timestamp"), "ingest_timestamp": F.current_timestamp()}
+    )
     return conform(stamped, zoned_as(trains, "actual_timestamp", TABLES["gold_weather_train"]))
 
 
@@ -62,8 +64,11 @@ def with_forecast(trains: DataFrame, forecast: DataFrame, unique_events: bool =
     joined = asof_join(
         events, ahead, ["city_name"], "actual_timestamp", "forecast_weather_timestamp", FORECAST_REACH,
         direction="forward", right_unique=True, instants=trains,
-    ).withColumn("ingest_timestamp", F.current_timestamp())
-    return conform(joined, zoned_as(trains, "actual_timestamp", TABLES["gold_forecast_train"]))
+    )
+    stamped = joined.withColumns(
+        {"event_date": F.to_date("actual_timestamp"), "ingest_timestamp": F.current_timestamp()}
+    )
+    return conform(stamped, zoned_as(trains, "actual_timestamp", TABLES["gold_forecast_train"]))
 
 
 def _stamped(metrics: DataFrame) -> DataFrame:

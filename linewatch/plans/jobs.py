@@ -19,7 +19,7 @@ from linewatch.operators.riders import PENDING_DAYS, pending
 from linewatch.operators.upsert import mark_notified
 from linewatch.plans import gold, silver
 from linewatch.plans.dispatch import notify
-from linewatch.schemas import KEYS, PARTITIONS, TABLES
+from linewatch.schemas import CLUSTERS, KEYS, PARTITIONS, TABLES
 from linewatch.session import ensure_checkpoint_dir
 from linewatch.sinks.tables import (
     append_table, create_table, ensure_database, merge_table, replace_partitions, replace_table,
@@ -115,12 +115,11 @@ def run_gold(spark: SparkSession, at: Layout, since: date | None = None) -> None
     trains = _from_day(spark.table(at.name("rail_silver")), since)
     seen = _from_day(spark.table(at.name("weather_silver")), since, 1)
     ahead = _from_day(spark.table(at.name("forecast_silver")), since)
-    # An event's city follows from the lookup files, so it may move between runs.
     for table, rows in (
         ("gold_weather_train", gold.with_current_weather(trains, seen)),
         ("gold_forecast_train", gold.with_forecast(trains, ahead)),
     ):
-        merge_table(rows, at.name(table), KEYS[table], partition_is_stable=False)
+        merge_table(rows, at.name(table), KEYS[table], cluster_by=CLUSTERS[table])
     for table, rows in (
         ("gold_station_reliability", gold.station_reliability(trains)),
         ("gold_route_reliability", gold.route_reliability(trains)),
@@ -129,13 +128,9 @@ def run_gold(spark: SparkSession, at: Layout, since: date | None = None) -> None
             replace_table(rows, at.name(table), PARTITIONS[table])
         else:
             replace_partitions(rows, at.name(table))
-    enriched = spark.table(at.name("gold_weather_train"))
-    if since is not None:
-        begin = F.lit(since).cast("timestamp")
-        enriched = enriched.where((F.col("actual_timestamp") >= begin) | F.col("actual_timestamp").isNull())
     context = alert_context(
-        enriched,
-        spark.table(at.name("gold_forecast_train")),
+        _from_day(spark.table(at.name("gold_weather_train")), since),
+        _from_day(spark.table(at.name("gold_forecast_train")), since),
         spark.table(at.name("gold_route_reliability")),
         spark.table(at.name("gold_station_reliability")),
     ).withColumn("ingest_timestamp", F.current_timestamp())

@@ -169,6 +169,7 @@ TABLES: dict[str, dict[str, str]] = {
         "is_delayed": "boolean",
         "is_major_delay": "boolean",
         "is_cancelled": "boolean",
+        "event_date": "date",
         "ingest_timestamp": "timestamp",
     },
     "gold_forecast_train": {
@@ -184,6 +185,7 @@ TABLES: dict[str, dict[str, str]] = {
         "forecast_wind_gust": "double",
         "forecast_wind_direction": "string",
         "forecast_weather_description": "string",
+        "event_date": "date",
         "ingest_timestamp": "timestamp",
     },
     "gold_station_reliability": {
@@ -286,18 +288,27 @@ TABLES: dict[str, dict[str, str]] = {
     },
 }
 
-# How each keyed table is laid out and what identifies a row.
+# How tables are laid out. Every keyed table is partitioned by day: a key never
+# leaves its day, so an upsert rewrites the days of its batch and no others. By
+# city, which every day's events share, each upsert would rewrite all history;
+# city only orders the rows among the files of a day.
 PARTITIONS = {
     "rail_silver": ["event_date"],
     "weather_silver": ["event_date"],
     "forecast_silver": ["event_date"],
-    "gold_weather_train": ["city_name"],
-    "gold_forecast_train": ["city_name"],
+    "gold_weather_train": ["event_date"],
+    "gold_forecast_train": ["event_date"],
     "gold_station_reliability": ["date"],
     "gold_route_reliability": ["date"],
     "alerts": ["event_date"],
 }
 
+CLUSTERS = {
+    "gold_weather_train": ["city_name"],
+    "gold_forecast_train": ["city_name"],
+}
+
+# What identifies a row.
 KEYS = {
     "rail_silver": ["train_id", "actual_timestamp", "loc_stanox"],
     "weather_silver": ["event_id"],

@@ -65,10 +65,14 @@ def replace_table(df: DataFrame, table: str, partition_by: Sequence[str] = ()) -
     writer.saveAsTable(table)
 
 
-def replace_partitions(df: DataFrame, table: str) -> None:
-    """Overwrite only the partitions that ``df`` has rows for. ``df`` must not read the table."""
+def replace_partitions(df: DataFrame, table: str, cluster_by: Sequence[str] = ()) -> None:
+    """Overwrite only the partitions that ``df`` has rows for. ``df`` must not read the table.
+
+    Rows with equal ``cluster_by`` share files, so filters on it skip the others.
+    """
     target = df.sparkSession.table(table)
-    rows = _balanced(conform(df, dict(target.dtypes)), partition_columns(df.sparkSession, table))
+    parts = partition_columns(df.sparkSession, table)
+    rows = _balanced(conform(df, dict(target.dtypes)), [*parts, *cluster_by])
     with _dynamic_overwrite(df.sparkSession):
         rows.write.mode("overwrite").insertInto(table)
 
@@ -83,6 +87,7 @@ def merge_table(
     keys: Sequence[str],
     preserve: Sequence[str] = (),
     partition_is_stable: bool = True,
+    cluster_by: Sequence[str] = (),
 ) -> None:
     """Upsert ``source`` into a parquet table, rewriting only touched partitions.
 
@@ -111,12 +116,15 @@ def merge_table(
     values = [tuple(r) for r in touched.collect()]
     if not values:
         return
-    inside = reduce(
-        lambda a, b: a | b,
-        [reduce(lambda a, b: a & b, [target[c].eqNullSafe(F.lit(x)) for c, x in zip(parts, v)]) for v in values],
-    )
+    # Column by column: with several this may take in more partitions than touched,
+    # which are then rewritten as they are.
+    inside = F.lit(True)
+    for i, c in enumerate(parts):
+        known = [v for v in {row[i] for row in values} if v is not None]
+        hit = target[c].isin(known)
+        inside = inside & ((hit | target[c].isNull()) if any(row[i] is None for row in values) else hit)
     merged = upsert(target.where(inside), source, keys, preserve=preserve).checkpoint()
-    replace_partitions(merged, table)
+    replace_partitions(merged, table, cluster_by)
     if not partition_is_stable:
         left = {tuple(r) for r in merged.select(*parts).distinct().collect()}
         for gone in [v for v in values if v not in left and None not in v]:

@@ -129,7 +129,7 @@ cte("trains_weather", _asof(
 ), "rail_silver", "weather_near")
 cte("trains_forecast", _asof(
     "rail_silver", "forecast_near", "actual_timestamp", "forecast_weather_timestamp", "INTERVAL 3 HOUR", True,
-    "city_name", _FORECAST, "n.event_id, n.train_id, n.city_name",
+    "city_name", _FORECAST, "n.event_id, n.train_id, n.city_name, n.event_date",
 ), "rail_silver", "forecast_near")
 
 
@@ -144,7 +144,7 @@ _FLAGS = """delay_minutes > 5 AND variation_status = 'LATE' AS is_delayed,
            delay_minutes >= 15 AND variation_status = 'LATE' AS is_major_delay,
            variation_status = 'CANCELLED' AS is_cancelled"""
 cte("gold_weather", f"""
-    SELECT event_id, train_id, route, current_station_name, next_station_name, city_name, event_type, offroute_ind,
+    SELECT CAST(actual_timestamp AS DATE) AS event_date, event_id, train_id, route, current_station_name, next_station_name, city_name, event_type, offroute_ind,
            train_terminated, variation_status, delay_minutes, actual_timestamp, planned_timestamp,
            current_weather_timestamp, {', '.join(_CURRENT.split())}, {_calendar('actual_timestamp')}, {_FLAGS}
     FROM trains_weather""", "trains_weather")
