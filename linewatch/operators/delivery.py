@@ -26,18 +26,16 @@ def notification_id(event: str = "event_id", user: str = "user_id") -> Column:
 def draft_notifications(alerts: DataFrame, prefs: DataFrame, recent: DataFrame | None = None) -> DataFrame:
     """``event_id, user_id, email, subject, message`` for every matched rider.
 
-    The text depends on the alert alone: it is written once per alert and then
-    joined to the riders.
+    The text depends on the alert alone: it is written once per alert and rides
+    along to the riders, so the many matched rows are not joined again.
     """
     if recent is None:
         told = alerts.withColumn("recent_alerts", F.lit(0).cast("bigint"))
     else:
         told = alerts.join(recent, "event_id", "left")
-    texts = add_draft(told.where(F.col("is_delayed") | F.col("is_cancelled"))).select(
-        "event_id", "subject", "message"
+    return match_riders(add_draft(told), prefs, carry=["subject", "message"]).select(
+        "event_id", "user_id", "email", "subject", "message"
     )
-    matched = match_riders(alerts, prefs).select("event_id", "user_id", "email")
-    return matched.join(texts, "event_id")
 
 
 def outbox_rows(drafts: DataFrame, at: Column | None = None) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -40,13 +42,14 @@ def pending(
     return recent.join(cursor.select("event_id"), "event_id", "left_anti").select(alerts.columns)
 
 
-def match_riders(alerts: DataFrame, prefs: DataFrame) -> DataFrame:
+def match_riders(alerts: DataFrame, prefs: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
     """One row per alert and active rider whose route or station it touches.
 
     The rider must want delays of that length, or cancellations. ``event_id``
-    comes first, then the rider's columns. "Route or station" is split into two
-    equi joins that cannot produce the same pair (the second leaves out pairs with
-    equal routes), so neither a nested loop nor a distinct is needed.
+    comes first, then the rider's columns, then the alert columns to ``carry``.
+    "Route or station" is split into two equi joins that cannot produce the same
+    pair (the second leaves out pairs with equal routes), so neither a nested loop
+    nor a distinct is needed.
     """
     disrupted = alerts.where(F.col("is_delayed") | F.col("is_cancelled")).select(
         "event_id",
@@ -55,6 +58,7 @@ def match_riders(alerts: DataFrame, prefs: DataFrame) -> DataFrame:
         "delay_minutes",
         "is_delayed",
         "is_cancelled",
+        *[F.col(c).alias(f"_carry_{c}") for c in carry],
     )
     riders = prefs.where(F.col("is_active") & (F.col("notify_delay") | F.col("notify_cancellation"))).select(
         *RIDER_COLUMNS,
@@ -69,9 +73,9 @@ def match_riders(alerts: DataFrame, prefs: DataFrame) -> DataFrame:
     one_route = F.col("_a_route") == F.col("_p_route")
     one_station = F.col("_a_station") == F.col("_p_station")
     other_route = ~F.coalesce(one_route, F.lit(False))
-    out = ["event_id", *RIDER_COLUMNS]
-    on_route = disrupted.join(riders, one_route & wanted).select(out)
-    at_station = disrupted.join(riders, one_station & other_route & wanted).select(out)
+    out = ["event_id", *RIDER_COLUMNS, *[F.col(f"_carry_{c}").alias(c) for c in carry]]
+    on_route = disrupted.join(riders, one_route & wanted).select(*out)
+    at_station = disrupted.join(riders, one_station & other_route & wanted).select(*out)
     return on_route.unionByName(at_station)
 
 

@@ -8,6 +8,7 @@ from datetime import timedelta
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from linewatch import operators
 from linewatch.functions import calendar, casts, keys, sql, texts, weather
 from linewatch.operators import clean, context, delivery, lookup, reliability, riders, temporal, upsert, windows
 from linewatch.plans import dispatch, gold, silver
@@ -197,17 +198,17 @@ def surrogate_key(spark, sf):
 @query
 def broadcast_left_lookup(spark, sf):
     take = {"current_station_name": "FULL_NAME", "route": "Route_Description"}
-    found = lookup.lookup(rail_bronze(spark, sf), fx.stations(spark, sf), "loc_stanox", "STANOX_NO", take)
+    found = lookup(rail_bronze(spark, sf), fx.stations(spark, sf), "loc_stanox", "STANOX_NO", take)
     return found.select("event_key", "loc_stanox", *take)
 
 
 @query
 def role_playing_lookup(spark, sf):
     places = fx.stations(spark, sf)
-    here = lookup.lookup(
+    here = lookup(
         rail_bronze(spark, sf), places, "loc_stanox", "STANOX_NO", {"current_station_name": "FULL_NAME"}
     )
-    both = lookup.lookup(here, places, "next_report_stanox", "STANOX_NO", {"next_station_name": "FULL_NAME"})
+    both = lookup(here, places, "next_report_stanox", "STANOX_NO", {"next_station_name": "FULL_NAME"})
     return both.select("event_key", "current_station_name", "next_station_name")
 
 
@@ -400,7 +401,7 @@ def upsert_single_key(spark, sf):
     orders = fx.table(spark, sf, "orders")
     target = orders.where("o_orderstatus <> 'O'")
     source = orders.where("o_orderstatus <> 'F'").withColumn("o_totalprice", F.col("o_totalprice") + 1)
-    return upsert.upsert(target, source, ["o_orderkey"], preserve=["o_orderpriority"])
+    return upsert(target, source, ["o_orderkey"], preserve=["o_orderpriority"])
 
 
 @query
@@ -416,7 +417,7 @@ def upsert_composite_key(spark, sf):
     key = ["l_orderkey", "l_linenumber", "shipped"]
     target = clean.dedupe(item.where("l_returnflag <> 'N'"), key, clean.newest("l_quantity", "l_returnflag"))
     source = clean.dedupe(item.where("l_returnflag <> 'A'"), key, clean.newest("l_quantity", "l_returnflag"))
-    return upsert.upsert(target, source.withColumn("l_quantity", F.col("l_quantity") + 100), key)
+    return upsert(target, source.withColumn("l_quantity", F.col("l_quantity") + 100), key)
 
 
 @query
@@ -425,7 +426,7 @@ def mark_notified(spark, sf):
     opened = fx.table(spark, sf, "orders").where("o_orderstatus = 'O'")
     done = opened.select(F.col("o_orderkey").cast("string").alias("event_id"))
     at = F.lit("2024-02-01 00:00:00").cast("timestamp_ntz")
-    return upsert.mark_notified(fx.simple_alerts(spark, sf), done, at).drop("next_station")
+    return operators.mark_notified(fx.simple_alerts(spark, sf), done, at).drop("next_station")
 
 
 # --- alerts and riders ------------------------------------------------------
