@@ -138,6 +138,12 @@ def nearest_instants(
     return found.where(within)
 
 
+def _content(df: DataFrame, keys: Sequence[str]) -> Column:
+    """A fixed order among rows of equal keys, taken from their other columns."""
+    others = [c for c, t in df.dtypes if c not in keys and "map<" not in t]
+    return F.xxhash64(*others) if others else F.lit(0)
+
+
 def asof_join(
     left: DataFrame,
     right: DataFrame,
@@ -158,7 +164,8 @@ def asof_join(
     ``backward`` takes the newest right row in ``[left_ts - tolerance, left_ts]``,
     ``forward`` the earliest in ``[left_ts, left_ts + tolerance]``; both ends
     count. Unmatched left rows stay, with NULLs. Right rows sharing (``by``,
-    ``right_ts``) are cut to the first by ``tie_order`` unless ``right_unique``.
+    ``right_ts``) are cut to the first by ``tie_order``, then by content, so that a
+    repeated task picks the same one; ``right_unique`` says there are none.
 
     ``scan`` never pairs rows: it reduces both sides to distinct instants, finds
     each instant's partner with a running maximum over short blocks, fetches the
@@ -176,7 +183,7 @@ def asof_join(
     forward = direction == "forward"
     by = list(by)
     if not right_unique:
-        right = dedupe(require(right, *by, right_ts), [*by, right_ts], tie_order or [F.lit(0)])
+        right = dedupe(require(right, *by, right_ts), [*by, right_ts], [*tie_order, _content(right, [*by, right_ts])])
     if strategy == "range":
         return _range_asof(left, right, by, left_ts, right_ts, tolerance, forward, row_id)
     if strategy != "scan":
