@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import uuid
 from concurrent.futures import ThreadPoolExecutor
 
@@ -34,36 +36,68 @@ def build_session(app: str = "linewatch", master: str | None = None, **conf: str
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The folder for reliable checkpoints, shared by all executors.
 
-    The cluster names it in ``spark.checkpoint.dir``. Only where that is unset do
-    we fall back to a folder beside the warehouse, which is shared storage too.
+    The cluster names it in ``spark.checkpoint.dir``. Where that is unset, a local
+    session falls back to a folder beside the warehouse; on a cluster the warehouse
+    must then be on shared storage, since each executor would write a ``file:``
+    folder on its own disk.
     """
     context = spark.sparkContext
-    named = context.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", "")
     current = context.getCheckpointDir()
     if current:
         return current
+    named = context.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", "")
     if not named:
         named = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
+        if _own_disk(spark, named) and not context.master.startswith("local"):
+            raise ValueError(f"set spark.checkpoint.dir to shared storage: {named} is a folder of each machine")
     context.setCheckpointDir(named)
     return context.getCheckpointDir()
 
 
-def staged(*frames: DataFrame) -> DataFrame | list[DataFrame]:
+def _own_disk(spark: SparkSession, folder: str) -> bool:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).getScheme() == "file"
+
+
+_STAGED: list[tuple[SparkSession, str]] = []
+
+
+def staged(*frames: DataFrame, **options: str) -> DataFrame | list[DataFrame]:
     """The frames written once to the shared checkpoint folder and read back.
 
     For frames that several later steps read: they scan the columns they need
     instead of repeating the work, and a lost executor repeats only a scan.
-    Several frames are written side by side.
+    Several frames are written side by side. ``options`` are the writer's. The
+    folders go when the interpreter ends, or with :func:`drop_staged`.
     """
     spark = frames[0].sparkSession
     folder = ensure_checkpoint_dir(spark).rstrip("/")
 
     def write(df: DataFrame) -> DataFrame:
         path = f"{folder}/staged-{uuid.uuid4().hex}"
-        df.write.parquet(path)
+        _STAGED.append((spark, path))
+        df.write.options(**options).parquet(path)
         return spark.read.schema(df.schema).parquet(path)
 
     if len(frames) == 1:
         return write(frames[0])
     with ThreadPoolExecutor(len(frames)) as pool:
         return list(pool.map(write, frames))
+
+
+def drop_staged(spark: SparkSession) -> None:
+    """Removes what :func:`staged` has written in this session; frames on it can't be read again."""
+    for entry in [e for e in _STAGED if e[0] is spark]:
+        _STAGED.remove(entry)
+        path = spark._jvm.org.apache.hadoop.fs.Path(entry[1])
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def _drop_all() -> None:
+    for spark in {id(s): s for s, _ in _STAGED}.values():
+        with contextlib.suppress(Exception):  # a stopped session has no file system any more
+            if spark.sparkContext._jsc:
+                drop_staged(spark)
+
+
+atexit.register(_drop_all)
