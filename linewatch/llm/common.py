@@ -11,7 +11,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-CHUNK_BYTES = 2_000_000
+CHUNK_BYTES = 1_000_000
 
 
 def free_name(df: DataFrame, wish: str) -> str:

@@ -22,7 +22,7 @@ from tokenizers import Tokenizer
 from .common import bounds, ragged, utf8
 from .words import Characters
 
-MOST_PIECES = 1_000_000
+MOST_PIECES = 500_000
 
 
 def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
@@ -65,16 +65,17 @@ class Encoder:
         self._forget()
 
     def _forget(self) -> None:
-        self.place: dict[int, int] = {}
+        self.known = np.zeros(0, np.uint64)  # sorted hashes of the pieces met so far
+        self.place = np.zeros(0, np.int32)  # and the number of each
         self.ids = np.zeros(1 << 16, np.uint32)
         self.edges = np.zeros(1 << 16, np.int64)
 
-    def _learn(self, keys: list[int], pieces: list[str]) -> None:
+    def _learn(self, keys: np.ndarray, pieces: list[str]) -> None:
         if self.merge:
             new = [self.merge(p.encode()) for p in pieces]
         else:
             new = [e.ids for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
-        n = len(self.place)
+        n = len(self.known)
         sizes = np.fromiter(map(len, new), np.int64, len(new))
         ends = self.edges[n] + np.cumsum(sizes)
         while len(self.edges) < n + len(new) + 1:
@@ -83,7 +84,17 @@ class Encoder:
             self.ids = np.concatenate((self.ids, np.zeros_like(self.ids)))
         self.ids[self.edges[n] : ends[-1]] = np.fromiter((i for e in new for i in e), np.uint32, int(sizes.sum()))
         self.edges[n + 1 : n + 1 + len(new)] = ends
-        self.place.update(zip(keys, range(n, n + len(new)), strict=True))
+        order = np.argsort(keys)
+        at = np.searchsorted(self.known, keys[order])
+        self.known = np.insert(self.known, at, keys[order])
+        self.place = np.insert(self.place, at, (n + order).astype(np.int32))
+
+    def _find(self, keys: np.ndarray) -> np.ndarray:
+        """The number of each piece, -1 for new ones."""
+        if not len(self.known):
+            return np.full(len(keys), -1, np.int32)
+        at = np.minimum(np.searchsorted(self.known, keys), len(self.known) - 1)
+        return np.where(self.known[at] == keys, self.place[at], -1)
 
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts in a row, and the n + 1 edges of each text's ids."""
@@ -96,14 +107,15 @@ class Encoder:
             return np.zeros(0, np.uint32), np.zeros(len(offsets), np.int64)
         which, keys = pd.factorize(chars.hashes(starts, ends))
         at = np.flatnonzero(np.diff(np.maximum.accumulate(which), prepend=-1))
-        if len(self.place) + len(keys) > MOST_PIECES:
+        if len(self.known) + len(keys) > MOST_PIECES:
             self._forget()
-        listed = keys.tolist()
-        new = [i for i, k in enumerate(listed) if k not in self.place]
-        if new:
+        found = self._find(keys)
+        new = np.flatnonzero(found < 0)
+        if len(new):
             s, e = starts[at[new]].tolist(), ends[at[new]].tolist()
-            self._learn([listed[i] for i in new], [chars.text[a:b] for a, b in zip(s, e, strict=True)])
-        place = np.fromiter(map(self.place.__getitem__, listed), np.int64, len(listed))[which]
+            self._learn(keys[new], [chars.text[a:b] for a, b in zip(s, e, strict=True)])
+            found = self._find(keys)
+        place = found[which]
         sizes = self.edges[place + 1] - self.edges[place]
         return self.ids[ragged(self.edges[place], sizes)], bounds(sizes)[edges]
 
