@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import ensure_checkpoint_dir
+from . import repair
 from .packing import pack
+from .sharding import shard
+from .simhash import near_duplicates
+from .topk import top_k
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
@@ -19,8 +25,45 @@ def op1_curve_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op2_simhash_gray(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"), width=4, distance=4)
+
+
+def op3_sampled_splitters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = shard(table(spark, sf_dir, "documents", "doc_id", "text"), 16)
+    crc = F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary")).alias("text_crc32")
+    return placed.select("doc_id", "size", crc, F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+def op5_repair_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = f"{ensure_checkpoint_dir(spark)}/ids-{uuid.uuid4().hex}"
+    repair.write(table(spark, sf_dir, "documents", "doc_id", "text"), path)
+    return repair.read(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+def op8_norm_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(table(spark, sf_dir, "embeddings", "vec_id", "embedding"), F.col("vec_id") % 20 == 0, k=20, scale=64.0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_curve_packing": op1_curve_packing,
+    "op2_simhash_gray": op2_simhash_gray,
+    "op3_sampled_splitters": op3_sampled_splitters,
+    "op5_repair_ids": op5_repair_ids,
+    "op8_norm_buckets": op8_norm_buckets,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op8_norm_buckets": """
+        WITH v AS (
+            SELECT vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS e FROM embeddings
+            WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), p AS (
+            SELECT q.vec_id AS query_id, v.vec_id, CAST(list_inner_product(q.e, v.e) AS BIGINT) AS score
+            FROM v AS q JOIN v ON q.vec_id % 20 = 0 AND v.vec_id <> q.vec_id
+        ), r AS (
+            SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM p
+        )
+        SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
+    """,
+}
