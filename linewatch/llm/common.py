@@ -64,6 +64,12 @@ def bounds(lengths: np.ndarray) -> np.ndarray:
 
 def per_run(values: np.ndarray, edges: np.ndarray) -> np.ndarray:
     """Sums of ``values`` between neighbouring ``edges``; empty runs give 0."""
+    if values.dtype.kind == "f":  # a running total would carry its rounding into every run
+        out = np.zeros(len(edges) - 1)
+        filled = np.flatnonzero(np.diff(edges))
+        if len(filled):
+            out[filled] = np.add.reduceat(values, edges[:-1][filled])
+        return out
     total = np.concatenate((np.zeros(1, values.dtype if values.dtype != bool else np.int64), np.cumsum(values)))
     return total[edges[1:]] - total[edges[:-1]]
 

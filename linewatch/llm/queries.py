@@ -9,8 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
-from . import repair
+from . import language, repair
+from .bpe import encode_decode
+from .common import id_text_crc
+from .extraction import extract
+from .lm import score
 from .packing import pack
+from .quality import COUNTS, quality
 from .sharding import shard
 from .simhash import near_duplicates
 from .topk import top_k
@@ -35,22 +40,55 @@ def op3_sampled_splitters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "size", crc, F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op4_language_bitmask(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text", "lang")
+    model = language.learn(docs.where(id_text_crc("doc_id") % 4 != 2))
+    found = language.predict(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", (id_text_crc("doc_id") % 4 == 2).alias("held_out"), "lang_pred", "score")
+
+
 def op5_repair_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{ensure_checkpoint_dir(spark)}/ids-{uuid.uuid4().hex}"
     repair.write(table(spark, sf_dir, "documents", "doc_id", "text"), path)
     return repair.read(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op6_url_differencing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(table(spark, sf_dir, "pages", "page_id", "url", "html")).withColumn("n_chars", F.char_length("text").cast("long"))
+
+
+def op7_target_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = quality(table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "labels", "doc_id", "quality"))
+    return found.select("doc_id", *COUNTS, "base_failed", "kept", "ratio")
+
+
 def op8_norm_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(table(spark, sf_dir, "embeddings", "vec_id", "embedding"), F.col("vec_id") % 20 == 0, k=20, scale=64.0)
 
 
+def op9_deleted_interpolation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    found = score(docs, id_text_crc("doc_id") % 5 != 1)
+    return found.select("doc_id", (id_text_crc("doc_id") % 5 == 1).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+def op10_speculative_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = encode_decode(table(spark, sf_dir, "documents", "doc_id", "text"))
+    ids = F.sha2(F.array_join(F.col("ids").cast("array<string>"), " ").cast("binary"), 256)
+    return found.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), ids.alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_curve_packing": op1_curve_packing,
     "op2_simhash_gray": op2_simhash_gray,
     "op3_sampled_splitters": op3_sampled_splitters,
+    "op4_language_bitmask": op4_language_bitmask,
     "op5_repair_ids": op5_repair_ids,
+    "op6_url_differencing": op6_url_differencing,
+    "op7_target_ratio": op7_target_ratio,
     "op8_norm_buckets": op8_norm_buckets,
+    "op9_deleted_interpolation": op9_deleted_interpolation,
+    "op10_speculative_bpe": op10_speculative_bpe,
 }
 
 ORACLES: dict[str, str] = {

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import staged
-from .common import bounds, ragged, text_chunks, utf8
+from .common import bounds, free_name, ragged, text_chunks, utf8
 
 LEAF = 16
 FAN = 8
@@ -242,12 +242,15 @@ def contract(edges: DataFrame) -> DataFrame:
 
 
 def classes(rows: DataFrame, distance: int = 4) -> DataFrame:
-    """(fp, component_id): for every distinct fingerprint of ``rows`` (doc_id, fp) the smallest doc_id reachable."""
+    """(fp, root, component_id): for every distinct fingerprint of ``rows`` (doc_id, fp) its component.
+
+    ``root`` names the component, ``component_id`` is the smallest doc_id in it.
+    """
     distinct = staged(rows.groupBy("fp").agg(F.min("doc_id").alias("doc_id")))
     roots = contract(links(distinct, distance))
     rooted = distinct.join(roots.select(F.col("node").alias("fp"), "root"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     least = rooted.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    return rooted.join(least, "root").select("fp", "component_id")
+    return rooted.join(least, "root").select("fp", "root", "component_id")
 
 
 def near_duplicates(docs: DataFrame, width: int = 4, distance: int = 4) -> DataFrame:
@@ -262,3 +265,18 @@ def near_duplicates(docs: DataFrame, width: int = 4, distance: int = 4) -> DataF
     rows = staged(fingerprints(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), width))
     found = rows.join(classes(rows, distance), "fp")
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def keep_first(docs: DataFrame, width: int = 4, distance: int = 4) -> DataFrame:
+    """The rows of ``docs`` with one row of each component left, all columns as they are.
+
+    The row of the smallest ``doc_id`` stays, of several with it the one of the smallest
+    row hash, of rows equal in every column one; rows with a null id stay only
+    where their component has no other.
+    """
+    mark = free_name(docs, "row")
+    marked = docs.withColumn(mark, F.xxhash64(*docs.columns))
+    rows = staged(fingerprints(marked.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.col(mark).alias("mark")), width, keep=("doc_id", "mark")))
+    named = rows.join(classes(rows, distance).select("fp", "root"), "fp")
+    first = named.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "mark")).alias("first")).select(F.col("first.mark").alias(mark))
+    return marked.join(first, mark, "left_semi").dropDuplicates([mark]).drop(mark)

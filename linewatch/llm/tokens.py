@@ -11,6 +11,7 @@ are left to the tokenizers library.
 from __future__ import annotations
 
 import json
+from collections.abc import Callable
 from functools import cache
 
 import numpy as np
@@ -52,16 +53,10 @@ def merge_ranks(path: str) -> dict[bytes, int] | None:
     return {bytes(back[c] for c in token): i for token, i in vocab.items() if i < first + len(merges)}
 
 
-class Encoder:
-    """Byte-level BPE as the library does it with ``add_special_tokens=False``."""
+class PieceTable:
+    """Ids of pieces by the pieces' hashes; started anew once it holds ``MOST_PIECES``."""
 
-    def __init__(self, path: str):
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.no_truncation()
-        self.tokenizer.no_padding()
-        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        ranks = merge_ranks(path)
-        self.merge = tiktoken.Encoding("ranks", pat_str=r"[\s\S]+", mergeable_ranks=ranks, special_tokens={})._core_bpe.encode_single_piece if ranks else None
+    def __init__(self) -> None:
         self._forget()
 
     def _forget(self) -> None:
@@ -70,11 +65,7 @@ class Encoder:
         self.ids = np.zeros(1 << 16, np.uint32)
         self.edges = np.zeros(1 << 16, np.int64)
 
-    def _learn(self, keys: np.ndarray, pieces: list[str]) -> None:
-        if self.merge:
-            new = [self.merge(p.encode()) for p in pieces]
-        else:
-            new = [e.ids for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
+    def _add(self, keys: np.ndarray, new: list[list[int]]) -> None:
         n = len(self.known)
         sizes = np.fromiter(map(len, new), np.int64, len(new))
         ends = self.edges[n] + np.cumsum(sizes)
@@ -96,6 +87,40 @@ class Encoder:
         at = np.minimum(np.searchsorted(self.known, keys), len(self.known) - 1)
         return np.where(self.known[at] == keys, self.place[at], -1)
 
+    def places(self, keys: np.ndarray, encode: Callable[[np.ndarray], list[list[int]]]) -> np.ndarray:
+        """The numbers of distinct pieces; ``encode`` gets the positions of those not met yet."""
+        if len(self.known) + len(keys) > MOST_PIECES:
+            self._forget()
+        found = self._find(keys)
+        new = np.flatnonzero(found < 0)
+        if len(new):
+            self._add(keys[new], encode(new))
+            found = self._find(keys)
+        return found
+
+    def gather(self, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of pieces in a row, and each piece's number of ids."""
+        sizes = self.edges[place + 1] - self.edges[place]
+        return self.ids[ragged(self.edges[place], sizes)], sizes
+
+
+class Encoder(PieceTable):
+    """Byte-level BPE as the library does it with ``add_special_tokens=False``."""
+
+    def __init__(self, path: str):
+        super().__init__()
+        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.no_truncation()
+        self.tokenizer.no_padding()
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        ranks = merge_ranks(path)
+        self.merge = tiktoken.Encoding("ranks", pat_str=r"[\s\S]+", mergeable_ranks=ranks, special_tokens={})._core_bpe.encode_single_piece if ranks else None
+
+    def _merged(self, pieces: list[str]) -> list[list[int]]:
+        if self.merge:
+            return [self.merge(p.encode()) for p in pieces]
+        return [e.ids for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
+
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts in a row, and the n + 1 edges of each text's ids."""
         data, offsets = utf8(column)
@@ -107,17 +132,9 @@ class Encoder:
             return np.zeros(0, np.uint32), np.zeros(len(offsets), np.int64)
         which, keys = pd.factorize(chars.hashes(starts, ends))
         at = np.flatnonzero(np.diff(np.maximum.accumulate(which), prepend=-1))
-        if len(self.known) + len(keys) > MOST_PIECES:
-            self._forget()
-        found = self._find(keys)
-        new = np.flatnonzero(found < 0)
-        if len(new):
-            s, e = starts[at[new]].tolist(), ends[at[new]].tolist()
-            self._learn(keys[new], [chars.text[a:b] for a, b in zip(s, e, strict=True)])
-            found = self._find(keys)
-        place = found[which]
-        sizes = self.edges[place + 1] - self.edges[place]
-        return self.ids[ragged(self.edges[place], sizes)], bounds(sizes)[edges]
+        place = self.places(keys, lambda new: self._merged([chars.text[a:b] for a, b in zip(starts[at[new]].tolist(), ends[at[new]].tolist(), strict=True)]))[which]
+        ids, sizes = self.gather(place)
+        return ids, bounds(sizes)[edges]
 
     def _with_added(self, chars: Characters) -> tuple[np.ndarray, np.ndarray]:
         cuts = chars.offsets.tolist()
