@@ -119,7 +119,8 @@ def pack(docs: DataFrame, length: int = 2048, tokenizer: str | None = None, end_
 
     rest = F.xxhash64("doc_id", "n").bitwiseAND(F.lit((1 << 31) - 1))
     table = table.withColumn("key", F.shiftleft(place(*axes), 31).bitwiseOR(rest)).drop(*axes)
-    parts = max(1, min(MOST_PARTS, math.ceil(known["total"] / PART_IDS)))
+    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = min(MOST_PARTS, max(tasks, math.ceil(known["total"] / PART_IDS)))
     inner = [(i + 1) / parts for i in range(parts - 1)]
     cuts = np.asarray((table.agg(F.percentile_approx("key", inner, max(10_000, 20 * parts))).first()[0] if inner else None) or [], np.int64)
 
