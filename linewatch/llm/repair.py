@@ -31,7 +31,7 @@ from .tokens import encoder, tokenizer_path
 
 MAGIC = b"RPR1"
 SHARD_IDS = 1_000_000
-ROUNDS = 6
+ROUNDS = 12
 LEAST_COUNT = 16
 LEAST_SAVING = 0.01
 HASH_BITS = 18
