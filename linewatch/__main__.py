@@ -30,6 +30,7 @@ def arguments(argv: Sequence[str] | None = None) -> argparse.Namespace:
         bronze.add_argument(f"--{topic}-topic")
     bronze.add_argument("--starting", default="earliest")
     bronze.add_argument("--max-offsets", type=int, default=MAX_OFFSETS_PER_TRIGGER, help="per micro-batch, 0 for no limit")
+    bronze.add_argument("--skip-lost", action="store_true", help="go on when the broker has lost records")
     bronze.add_argument("--protocol", default="SASL_SSL")
     bronze.add_argument("--mechanism", default="PLAIN")
     bronze.add_argument("--key", default="")
@@ -44,6 +45,12 @@ def arguments(argv: Sequence[str] | None = None) -> argparse.Namespace:
     riders = steps.add_parser("riders", help="refresh the preference snapshot")
     riders.add_argument("--url", required=True, help="JDBC address")
     riders.add_argument("--table", default=RIDER_TABLE)
+    riders.add_argument("--option", action="append", default=[], metavar="NAME=VALUE", help="reader option, such as partitionColumn, lowerBound, upperBound, numPartitions, driver or user")
+    riders.add_argument("--password-conf", help="session setting that holds the password")
+
+    deliveries = steps.add_parser("deliveries", help="log delivery results and mark their alerts")
+    deliveries.add_argument("--results", required=True, help="table with notification_id and delivered")
+    deliveries.add_argument("--final", action="store_true", help="what has no result yet has failed")
 
     dispatch = steps.add_parser("dispatch", help="draft pending notifications")
     dispatch.add_argument("--lookback-days", type=int, default=PENDING_DAYS)
@@ -57,7 +64,7 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
         sasl = Sasl(args.key, args.secret, args.protocol, args.mechanism)
         topics = {
             f"{t}_bronze": read_topic(
-                spark, kafka_options(args.bootstrap, name, args.starting, args.max_offsets or None, sasl)
+                spark, kafka_options(args.bootstrap, name, args.starting, args.max_offsets or None, sasl, not args.skip_lost)
             )
             for t in TOPICS
             if (name := getattr(args, f"{t}_topic"))
@@ -68,7 +75,12 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
     elif args.step == "gold":
         jobs.run_gold(spark, at, args.since)
     elif args.step == "riders":
-        jobs.run_riders(spark, at, read_riders_jdbc(spark, args.url, args.table))
+        options = dict(o.split("=", 1) for o in args.option)
+        if args.password_conf:
+            options["password"] = spark.conf.get(args.password_conf)
+        jobs.run_riders(spark, at, read_riders_jdbc(spark, args.url, args.table, **options))
+    elif args.step == "deliveries":
+        jobs.record_deliveries(spark, at, spark.table(args.results), args.final)
     else:
         jobs.run_dispatch(spark, at, lookback_days=args.lookback_days)
 

@@ -18,8 +18,12 @@ SEVERITY = [
     (7, r"thunder|storm|severe|tornado|squall"),
 ]
 
-# Weather that can plausibly disrupt trains.
-DISRUPTIVE = r"rain|drizzle|snow|sleet|hail|storm|thunder|fog|\bic[ey]\b|freezing|wind|gale|squall|tornado|extreme|heat|cold"
+# Weather that can plausibly disrupt trains. Wind counts when high,
+# heat and cold when extreme; mild weather never does.
+DISRUPTIVE = (
+    r"rain|drizzle|snow|sleet|\bhail|storm|thunder|\bfog|\bic[ey]\b|freezing|\bgale|squall|tornado|hurricane"
+    r"|\b(high|strong|severe|extreme|violent) winds?\b|\b(extreme|severe|intense) (heat|cold)\b"
+)
 
 
 def severity(description: Column) -> Column:

@@ -78,14 +78,17 @@ def extract_drafts(traces: DataFrame) -> DataFrame:
     )
 
 
-def delivery_log(outbox: DataFrame, results: DataFrame, at: Column | None = None) -> DataFrame:
+def delivery_log(
+    outbox: DataFrame, results: DataFrame, at: Column | None = None, missing_fails: bool = True
+) -> DataFrame:
     """Outbox rows with ``SENT`` or ``FAILED``; ``results`` has ``notification_id, delivered``.
 
-    A notification without a result counts as failed. Route and station are not
-    part of a draft and stay NULL.
+    A notification without a result counts as failed, or is left out where its result
+    may still come (``missing_fails=False``). Route and station are not part of a
+    draft and stay NULL.
     """
     outcome = results.groupBy("notification_id").agg(F.max("delivered").alias("_delivered"))
-    return outbox.join(outcome, "notification_id", "left").select(
+    return outbox.join(outcome, "notification_id", "left" if missing_fails else "inner").select(
         "notification_id",
         "event_id",
         "user_id",
@@ -114,7 +117,8 @@ class DispatchFailed(RuntimeError):
 def raise_on_failure(log: DataFrame, examples: int = 20) -> None:
     """Raise :class:`DispatchFailed` with the number of affected events.
 
-    Only the count and a few event ids come to the driver.
+    The count is of all; the message names the first ``examples`` events only, and
+    :func:`delivery_summary` lists every one.
     """
     failed = delivery_summary(log).where("failed_count > 0").select("event_id")
     total = failed.count()

@@ -13,6 +13,9 @@ from linewatch.functions.casts import second_count
 from linewatch.operators.clean import dedupe, require
 
 
+INTERVAL_KINDS = ("left", "inner", "left_semi", "left_anti")
+
+
 def _interval(span: timedelta) -> Column:
     return F.make_dt_interval(
         F.lit(span.days), F.lit(0), F.lit(0), F.lit(span.seconds + span.microseconds / 1e6)
@@ -43,7 +46,11 @@ def interval_join(
     steps. Right rows go to the two steps whose intervals can reach them, left
     rows stay single, and the pair is found by an equi join on (``by``, step).
     ``right`` brings ``right_ts`` and its other columns; its ``by`` is dropped.
+    ``how`` is left, inner, left_semi or left_anti: a right row stands in two
+    steps, so unmatched right rows can't be told here.
     """
+    if how not in INTERVAL_KINDS:
+        raise ValueError(f"how must be one of {INTERVAL_KINDS}, not {how!r}")
     width = _whole_seconds(before + after)
     lo = F.col(left_ts) - _interval(before)
     hi = F.col(left_ts) + _interval(after)
@@ -154,9 +161,7 @@ def asof_join(
     direction: str = "backward",
     tie_order: Sequence[Column] = (),
     right_unique: bool = False,
-    sub_second: bool = False,
-    strategy: str = "scan",
-    row_id: Sequence[str] = (),
+    sub_second: bool = True,
     instants: DataFrame | None = None,
 ) -> DataFrame:
     """Every left row with the nearest right row of the same ``by`` in time.
@@ -167,33 +172,28 @@ def asof_join(
     ``right_ts``) are cut to the first by ``tie_order``, then by content, so that a
     repeated task picks the same one; ``right_unique`` says there are none.
 
-    ``scan`` never pairs rows: it reduces both sides to distinct instants, finds
+    Rows are never paired: the join reduces both sides to distinct instants, finds
     each instant's partner with a running maximum over short blocks, fetches the
     partner's columns once per instant and joins them onto the left rows. The
     left rows are shuffled once at most; the side they meet is unique per key, so
     Spark's skew handling can split a hot key freely. Where ``left`` is costly,
     ``instants`` names a cheaper frame that holds all its ``by`` and ``left_ts``.
 
-    ``range`` pairs each left row with all right rows in reach and keeps the
-    nearest per ``row_id`` (all left columns if not given). It suits sparse right
-    sides, where a row has a handful of partners.
+    Where both sides hold whole seconds only, ``sub_second=False`` saves the pass that
+    bounds blocks for finer instants; results are the same.
     """
     if direction not in ("backward", "forward"):
         raise ValueError(f"direction must be backward or forward, not {direction!r}")
     forward = direction == "forward"
     by = list(by)
-    if not right_unique:
-        right = dedupe(require(right, *by, right_ts), [*by, right_ts], [*tie_order, _content(right, [*by, right_ts])])
-    if strategy == "range":
-        return _range_asof(left, right, by, left_ts, right_ts, tolerance, forward, row_id)
-    if strategy != "scan":
-        raise ValueError(f"strategy must be scan or range, not {strategy!r}")
+    known = require(right, *by, right_ts)
 
     dtype = _dtype(left, left_ts)
     probes = require(left if instants is None else instants, *by, left_ts).select(*by, F.col(left_ts).alias("at")).distinct()
-    points = require(right, *by, right_ts).select(*by, F.col(right_ts).cast(dtype).alias("at"))
+    points = known.select(*by, F.col(right_ts).cast(dtype).alias("at"))
     if not right_unique:
         points = points.distinct()
+        right = dedupe(known, [*by, right_ts], [*tie_order, _content(right, [*by, right_ts])])
     hits = nearest_instants(probes, points, by, tolerance, dtype, forward, sub_second)
 
     side = right.withColumnsRenamed({c: f"_r_{c}" for c in by})
@@ -207,19 +207,3 @@ def asof_join(
     for c in by:
         here = here & (left[c] == partner[f"_p_{c}"])
     return left.join(partner, here, "left").drop("_p_at", *[f"_p_{c}" for c in by])
-
-
-def _range_asof(
-    left: DataFrame,
-    right: DataFrame,
-    by: list[str],
-    left_ts: str,
-    right_ts: str,
-    tolerance: timedelta,
-    forward: bool,
-    row_id: Sequence[str],
-) -> DataFrame:
-    span = {"after": tolerance} if forward else {"before": tolerance}
-    pairs = interval_join(left, right, by, left_ts, right_ts, **span)
-    nearest = F.col(right_ts).asc_nulls_last() if forward else F.col(right_ts).desc_nulls_last()
-    return dedupe(pairs, row_id or left.columns, [nearest])

@@ -25,17 +25,24 @@ def upsert(
     keys: Sequence[str],
     null_safe: bool = True,
     preserve: Sequence[str] = (),
+    newer_by: str | None = None,
 ) -> DataFrame:
     """``target`` with rows of equal ``keys`` replaced by ``source`` and new ones added.
 
     ``source`` is put into the target's columns by name and must be unique on
     ``keys``. NULL key parts count as equal when ``null_safe``, so a second run
-    adds nothing. ``preserve`` columns keep the target's value on replaced rows.
+    adds nothing. ``preserve`` columns keep the target's value on replaced rows. With
+    ``newer_by`` a row whose value there is older than the target's (unknown is
+    oldest) is left out, so batches may come in any order.
 
     Only key columns of ``source`` meet the target: an anti join finds the rows to
     keep, and with a source small enough to broadcast the target is not shuffled.
     """
     source = conform(source, dict(target.dtypes))
+    if newer_by:
+        held = target.select(*[F.col(k).alias("_k_" + k) for k in keys], F.col(newer_by).alias("_held_at"))
+        newer = (held["_held_at"] > source[newer_by]) | (source[newer_by].isNull() & held["_held_at"].isNotNull())
+        source = source.join(held, _same_key(source, held, keys, null_safe) & newer, "left_anti")
     marks = source.select(*[F.col(k).alias("_k_" + k) for k in keys])
     kept = target.join(marks, _same_key(target, marks, keys, null_safe), "left_anti")
     if preserve:

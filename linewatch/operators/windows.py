@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from linewatch.operators.clean import dedupe
+
 # What a location lookup adds.
 GEO_COLUMNS = ["country", "region", "city", "latitude", "longitude"]
 
@@ -40,9 +42,10 @@ def tumbling_counts(
 def geo_enrich(df: DataFrame, geo: DataFrame, key: str = "ip") -> DataFrame:
     """Add the location of ``key``; unknown ones stay, with NULLs.
 
-    ``geo`` is a static table unique per ``key``, so this also works on a stream.
+    ``geo`` is a static table, so this also works on a stream; of several rows per
+    ``key`` the first by content counts.
     """
-    places = geo.select(F.col(key).alias("_geo_key"), *GEO_COLUMNS)
+    places = dedupe(geo.select(F.col(key).alias("_geo_key"), *GEO_COLUMNS), ["_geo_key"], [F.col(c).asc() for c in GEO_COLUMNS])
     return df.join(places, df[key] == places["_geo_key"], "left").drop("_geo_key").withColumn(
         "enriched_at", F.current_timestamp()
     )

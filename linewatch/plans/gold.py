@@ -47,7 +47,7 @@ def with_current_weather(trains: DataFrame, weather: DataFrame, unique_events: b
     seen = _prefixed(weather, "weather_timestamp", "current_weather_timestamp", "current_")
     joined = asof_join(
         events, seen, ["city_name"], "actual_timestamp", "current_weather_timestamp", WEATHER_REACH,
-        right_unique=True, instants=trains,
+        right_unique=True, sub_second=False, instants=trains,
     )
     flagged = add_disruption_flags(add_calendar(joined, "actual_timestamp"))
     stamped = flagged.withColumns(
@@ -63,7 +63,7 @@ def with_forecast(trains: DataFrame, forecast: DataFrame, unique_events: bool =
     ahead = _prefixed(forecast, "forecast_timestamp", "forecast_weather_timestamp", "forecast_")
     joined = asof_join(
         events, ahead, ["city_name"], "actual_timestamp", "forecast_weather_timestamp", FORECAST_REACH,
-        direction="forward", right_unique=True, instants=trains,
+        direction="forward", right_unique=True, sub_second=False, instants=trains,
     )
     stamped = joined.withColumns(
         {"event_date": F.to_date("actual_timestamp"), "ingest_timestamp": F.current_timestamp()}

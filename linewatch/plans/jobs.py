@@ -31,6 +31,8 @@ from linewatch.streaming.parse import parse_forecast, parse_rail, parse_weather
 # Delivery marks are set after gold; a gold rerun must not erase them.
 ALERT_MARKS = ["notification_status", "notified_at"]
 
+SILVER = ("rail_silver", "weather_silver", "forecast_silver")
+
 _PARSERS = {"rail_bronze": parse_rail, "weather_bronze": parse_weather, "forecast_bronze": parse_forecast}
 
 
@@ -50,7 +52,8 @@ def create_tables(spark: SparkSession, at: Layout) -> None:
     ensure_database(spark, at.database)
     for table, schema in TABLES.items():
         if not table.endswith("_bronze"):  # a bronze table is made by its stream
-            create_table(spark, at.name(table), schema, PARTITIONS.get(table, ()))
+            order = silver.ORDER if table in SILVER else {}
+            create_table(spark, at.name(table), schema | order, PARTITIONS.get(table, ()))
 
 
 def run_bronze(spark: SparkSession, at: Layout, topics: Mapping[str, DataFrame]) -> None:
@@ -66,26 +69,26 @@ def run_bronze(spark: SparkSession, at: Layout, topics: Mapping[str, DataFrame])
 
 def run_silver(spark: SparkSession, at: Layout) -> None:
     rail = silver.train_events(
-        spark.table(at.name("rail_bronze")), read_stations(spark, at.lookups), read_routes(spark, at.lookups)
+        spark.table(at.name("rail_bronze")), read_stations(spark, at.lookups), read_routes(spark, at.lookups), ordered=True
     )
-    merge_table(rail, at.name("rail_silver"), KEYS["rail_silver"])
-    weather = silver.weather_current(spark.table(at.name("weather_bronze")))
-    merge_table(weather, at.name("weather_silver"), KEYS["weather_silver"])
-    forecast = silver.weather_forecast(spark.table(at.name("forecast_bronze")))
-    merge_table(forecast, at.name("forecast_silver"), KEYS["forecast_silver"])
+    weather = silver.weather_current(spark.table(at.name("weather_bronze")), ordered=True)
+    forecast = silver.weather_forecast(spark.table(at.name("forecast_bronze")), ordered=True)
+    for table, rows in zip(SILVER, (rail, weather, forecast)):
+        merge_table(rows, at.name(table), KEYS[table], newer_by=silver.ORDER_COLUMN)
 
 
 def stream_silver(spark: SparkSession, at: Layout) -> None:
     """Silver from the bronze rows that are new since the last call.
 
-    The same cleaning per micro-batch, upserted by key, so late and corrected
-    messages replace what was there and the cost follows the new rows alone.
+    The same cleaning per micro-batch, upserted by key, so corrected messages replace
+    what was there unless the broker had that later, and the cost follows the new
+    rows alone. Batches in any order give what one batch would.
     """
     stations, routes = read_stations(spark, at.lookups), read_routes(spark, at.lookups)
     steps = {
-        "rail": lambda bronze: silver.train_events(bronze, stations, routes),
-        "weather": silver.weather_current,
-        "forecast": silver.weather_forecast,
+        "rail": lambda bronze: silver.train_events(bronze, stations, routes, ordered=True),
+        "weather": lambda bronze: silver.weather_current(bronze, ordered=True),
+        "forecast": lambda bronze: silver.weather_forecast(bronze, ordered=True),
     }
     for name, step in steps.items():
         table = f"{name}_silver"
@@ -95,6 +98,7 @@ def stream_silver(spark: SparkSession, at: Layout) -> None:
             at.name(table),
             KEYS[table],
             prepare=step,
+            newer_by=silver.ORDER_COLUMN,
         ).awaitTermination()
 
 
@@ -106,15 +110,21 @@ def _from_day(df: DataFrame, since: date | None, margin: int = 0) -> DataFrame:
     return df.where((F.col("event_date") >= first) | F.col("event_date").isNull())
 
 
+def _from_metric_day(df: DataFrame, since: date | None) -> DataFrame:
+    """The metrics of the days that a run from ``since`` on can ask for."""
+    return df if since is None else df.where((F.col("date") >= F.lit(since)) | F.col("date").isNull())
+
+
 def run_gold(spark: SparkSession, at: Layout, since: date | None = None) -> None:
     """Enrichment, metrics and alerts; with ``since`` only for that day and later.
 
     Every gold row depends on its own day, and on weather at most hours away, so
     a run over the newest days leaves the older partitions as they are.
     """
-    trains = _from_day(spark.table(at.name("rail_silver")), since)
-    seen = _from_day(spark.table(at.name("weather_silver")), since, 1)
-    ahead = _from_day(spark.table(at.name("forecast_silver")), since)
+    trains, seen, ahead = (
+        _from_day(spark.table(at.name(table)), since, margin).drop(silver.ORDER_COLUMN)
+        for table, margin in zip(SILVER, (0, 1, 0))
+    )
     for table, rows in (
         ("gold_weather_train", gold.with_current_weather(trains, seen)),
         ("gold_forecast_train", gold.with_forecast(trains, ahead)),
@@ -131,8 +141,8 @@ def run_gold(spark: SparkSession, at: Layout, since: date | None = None) -> None
     context = alert_context(
         _from_day(spark.table(at.name("gold_weather_train")), since),
         _from_day(spark.table(at.name("gold_forecast_train")), since),
-        spark.table(at.name("gold_route_reliability")),
-        spark.table(at.name("gold_station_reliability")),
+        _from_metric_day(spark.table(at.name("gold_route_reliability")), since),
+        _from_metric_day(spark.table(at.name("gold_station_reliability")), since),
     ).withColumn("ingest_timestamp", F.current_timestamp())
     merge_table(context, at.name("alerts"), KEYS["alerts"], preserve=ALERT_MARKS)
 
@@ -158,16 +168,24 @@ def run_dispatch(
     append_table(cursor, at.name("dispatch_cursor"))
 
 
-def record_deliveries(spark: SparkSession, at: Layout, results: DataFrame) -> None:
+def record_deliveries(spark: SparkSession, at: Layout, results: DataFrame, final: bool = False) -> None:
     """Log delivery results (``notification_id, delivered``), mark alerts as sent,
-    then raise if any delivery failed."""
+    then raise if any delivery failed.
+
+    Results may come in parts: notifications without one wait for a later call, and an
+    alert is marked once none of its notifications waits. ``final`` says that no
+    more will come, so that what waits has failed.
+    """
     ensure_checkpoint_dir(spark)
+    outbox = spark.table(at.name("dispatch_outbox"))
     logged = spark.table(at.name("delivery_log")).select("notification_id")
-    fresh = spark.table(at.name("dispatch_outbox")).join(logged, "notification_id", "left_anti")
-    log = delivery_log(fresh, results).checkpoint()
+    fresh = outbox.join(logged, "notification_id", "left_anti")
+    log = delivery_log(fresh, results, missing_fails=final).checkpoint()
     append_table(log, at.name("delivery_log"))
+    spark.catalog.refreshTable(at.name("delivery_log"))
+    waiting = outbox.join(spark.table(at.name("delivery_log")).select("notification_id"), "notification_id", "left_anti")
     alerts = spark.table(at.name("alerts"))
-    done = spark.table(at.name("dispatch_cursor")).select("event_id")
+    done = spark.table(at.name("dispatch_cursor")).select("event_id").join(waiting.select("event_id"), "event_id", "left_anti")
     open_alerts = alerts.where("notification_status IS NULL").join(done, "event_id", "left_semi")
     merge_table(mark_notified(open_alerts, done), at.name("alerts"), KEYS["alerts"])
     raise_on_failure(log)

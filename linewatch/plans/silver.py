@@ -51,16 +51,24 @@ MOVEMENT_TYPES = {
 }
 
 
-def clean_movements(bronze: DataFrame) -> DataFrame:
+def clean_movements(bronze: DataFrame, ordered: bool = False) -> DataFrame:
     """Typed movements with known train and location, one per natural key."""
     kept = _latest_message(bronze, KEYS["rail_silver"], list(MOVEMENT_TYPES))
-    typed = conform(kept, zoned_as(bronze, "actual_timestamp", MOVEMENT_TYPES))
+    typed = conform(kept, zoned_as(bronze, "actual_timestamp", MOVEMENT_TYPES | (ORDER if ordered else {})))
     return typed.withColumnRenamed("timetable_variation", "delay_minutes")
 
 
-def train_events(bronze: DataFrame, stations: DataFrame, routes: DataFrame) -> DataFrame:
-    """Rail silver. Movements at stations without a known route and city are left out."""
-    moves = clean_movements(bronze)
+# The broker's time, by which later runs tell newer messages from older ones.
+ORDER_COLUMN = "kafka_timestamp"
+ORDER = {ORDER_COLUMN: "timestamp"}
+
+
+def train_events(bronze: DataFrame, stations: DataFrame, routes: DataFrame, ordered: bool = False) -> DataFrame:
+    """Rail silver. Movements at stations without a known route and city are left out.
+
+    ``ordered`` keeps the broker's time as a last column.
+    """
+    moves = clean_movements(bronze, ordered)
     here = station_routes(stations, routes)
     placed = lookup(
         moves, here, "loc_stanox", "code",
@@ -74,22 +82,23 @@ def train_events(bronze: DataFrame, stations: DataFrame, routes: DataFrame) -> D
             "ingest_timestamp": F.current_timestamp(),
         }
     )
-    return conform(keyed, zoned_as(bronze, "actual_timestamp", TABLES["rail_silver"]))
+    schema = TABLES["rail_silver"] | (ORDER if ordered else {})
+    return conform(keyed, zoned_as(bronze, "actual_timestamp", schema))
 
 
 def _weather(bronze: DataFrame, ts: str, schema: dict[str, str]) -> DataFrame:
     keys = ["city_name", ts]
-    kept = _latest_message(bronze, keys, [c for c in schema if c in bronze.columns])
+    kept = _latest_message(bronze, keys, [c for c in schema if c in bronze.columns and c not in ORDER])
     keyed = add_key(kept, "event_id", keys).withColumns({"event_date": F.to_date(ts), "event_hour": F.hour(ts)})
     return conform(keyed, zoned_as(bronze, ts, schema))
 
 
-def weather_current(bronze: DataFrame) -> DataFrame:
+def weather_current(bronze: DataFrame, ordered: bool = False) -> DataFrame:
     """Observations per city and time; the bronze ingest time is kept."""
-    return _weather(bronze, "weather_timestamp", TABLES["weather_silver"])
+    return _weather(bronze, "weather_timestamp", TABLES["weather_silver"] | (ORDER if ordered else {}))
 
 
-def weather_forecast(bronze: DataFrame) -> DataFrame:
+def weather_forecast(bronze: DataFrame, ordered: bool = False) -> DataFrame:
     """Forecasts per city and time, stamped anew."""
     stamped = bronze.withColumn("ingest_timestamp", F.current_timestamp())
-    return _weather(stamped, "forecast_timestamp", TABLES["forecast_silver"])
+    return _weather(stamped, "forecast_timestamp", TABLES["forecast_silver"] | (ORDER if ordered else {}))

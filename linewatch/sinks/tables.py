@@ -88,6 +88,7 @@ def merge_table(
     preserve: Sequence[str] = (),
     partition_is_stable: bool = True,
     cluster_by: Sequence[str] = (),
+    newer_by: str | None = None,
 ) -> None:
     """Upsert ``source`` into a parquet table, rewriting only touched partitions.
 
@@ -103,7 +104,7 @@ def merge_table(
     source = conform(source, dict(target.dtypes)).checkpoint()
     parts = partition_columns(spark, table)
     if not parts:
-        merged = upsert(target, source, keys, preserve=preserve).checkpoint()
+        merged = upsert(target, source, keys, preserve=preserve, newer_by=newer_by).checkpoint()
         _balanced(merged, ()).write.mode("overwrite").insertInto(table)
         return
 
@@ -123,7 +124,7 @@ def merge_table(
         known = [v for v in {row[i] for row in values} if v is not None]
         hit = target[c].isin(known)
         inside = inside & ((hit | target[c].isNull()) if any(row[i] is None for row in values) else hit)
-    merged = upsert(target.where(inside), source, keys, preserve=preserve).checkpoint()
+    merged = upsert(target.where(inside), source, keys, preserve=preserve, newer_by=newer_by).checkpoint()
     replace_partitions(merged, table, cluster_by)
     if not partition_is_stable:
         left = {tuple(r) for r in merged.select(*parts).distinct().collect()}

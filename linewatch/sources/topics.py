@@ -8,9 +8,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# How a topic is read unless told otherwise.
+# How a topic is read unless told otherwise, and the broker client's login modules.
 MAX_OFFSETS_PER_TRIGGER = 5000
-FAIL_ON_DATA_LOSS = "false"
 
 _LOGIN_MODULES = {
     "PLAIN": "org.apache.kafka.common.security.plain.PlainLoginModule",
@@ -48,13 +47,18 @@ def kafka_options(
     starting: str = "latest",
     max_offsets: int | None = MAX_OFFSETS_PER_TRIGGER,
     sasl: Sasl | None = None,
+    fail_on_data_loss: bool = True,
 ) -> dict[str, str]:
-    """Reader options of a Kafka topic. ``max_offsets=None`` lifts the rate limit."""
+    """Reader options of a Kafka topic. ``max_offsets=None`` lifts the rate limit.
+
+    A stream fails when the broker has lost records that it still had to read;
+    ``fail_on_data_loss=False`` goes on without them.
+    """
     out = {
         "kafka.bootstrap.servers": bootstrap,
         "subscribe": topic,
         "startingOffsets": starting,
-        "failOnDataLoss": FAIL_ON_DATA_LOSS,
+        "failOnDataLoss": str(fail_on_data_loss).lower(),
     }
     if max_offsets is not None:
         out["maxOffsetsPerTrigger"] = str(max_offsets)

@@ -42,8 +42,12 @@ def upsert_stream(
     prepare: Callable[[DataFrame], DataFrame] | None = None,
     preserve: Sequence[str] = (),
     partition_is_stable: bool = True,
+    newer_by: str | None = None,
 ) -> StreamingQuery:
-    """Upsert each micro-batch into ``table``; late rows simply replace older ones.
+    """Upsert each micro-batch into ``table``.
+
+    With ``newer_by`` a late row of an older time there changes nothing; without it the
+    last batch wins.
 
     Within a batch the newest row per key by ``order`` wins; leave ``order`` out
     where ``prepare`` already returns one row per key. Repeating a batch
@@ -58,6 +62,7 @@ def upsert_stream(
             keys,
             preserve=preserve,
             partition_is_stable=partition_is_stable,
+            newer_by=newer_by,
         )
         # Batches run in a session of their own; let the caller's see the new files.
         df.sparkSession.catalog.refreshTable(table)

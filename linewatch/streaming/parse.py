@@ -86,8 +86,11 @@ def _at(root: Column, path: str) -> Column:
 
 
 def _payload(df: DataFrame, layout: T.StructType) -> DataFrame:
-    wrapped = T.StructType().add("raw_payload", layout)
-    return df.select(*_ENVELOPE, F.from_json("raw_json", wrapped)["raw_payload"].alias("m"))
+    """The parsed payload as ``m``, from a one-row generator: later filters and explodes
+    stay behind it instead of taking a copy of the parse along."""
+    wrapped = T.StructType().add("m", layout)
+    payload = F.from_json("raw_json", T.StructType().add("raw_payload", layout))["raw_payload"]
+    return df.select(*_ENVELOPE, F.inline(F.array(F.struct(payload.alias("m")).cast(wrapped))))
 
 
 def parse_rail(df: DataFrame) -> DataFrame:

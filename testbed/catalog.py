@@ -50,14 +50,13 @@ def forecast_bronze(spark, sf):
 # frames that more than one later step reads.
 
 def rail_silver(spark, sf):
-    bronze = staged(rail_bronze(spark, sf).drop("raw_json"))
-    return silver.train_events(bronze, fx.stations(spark, sf), fx.routes(spark, sf))
+    return silver.train_events(rail_bronze(spark, sf), fx.stations(spark, sf), fx.routes(spark, sf))
 
 
 def silver_layer(spark, sf, *names):
-    """The named silver frames (rail, weather, forecast), staged, bronze before them."""
+    """The named silver frames (rail, weather, forecast), staged."""
     parse = {"rail": rail_bronze, "weather": weather_bronze, "forecast": forecast_bronze}
-    bronze = staged(*[parse[n](spark, sf).drop("raw_json") for n in names])
+    bronze = [parse[n](spark, sf) for n in names]
     clean_up = {
         "rail": lambda b: silver.train_events(b, fx.stations(spark, sf), fx.routes(spark, sf)),
         "weather": silver.weather_current,
@@ -301,22 +300,23 @@ def interval_join(spark, sf):
 
 @query
 def asof_backward(spark, sf):
-    return _backward(spark, sf)
+    return _backward(spark, sf, sub_second=False)
 
 
 @query
 def asof_forward(spark, sf):
-    return _forward(spark, sf)
+    return _forward(spark, sf, sub_second=False)
 
 
 @query
 def asof_backward_range(spark, sf):
-    return _backward(spark, sf, strategy="range", row_id=["event_id"])
+    """The same partners by the path that is safe for any instants."""
+    return _backward(spark, sf)
 
 
 @query
 def asof_forward_range(spark, sf):
-    return _forward(spark, sf, strategy="range", row_id=["event_id"])
+    return _forward(spark, sf)
 
 
 def _by_kind(spark, sf, kinds, ts, value):
@@ -404,6 +404,15 @@ def upsert_single_key(spark, sf):
     return upsert(target, source, ["o_orderkey"], preserve=["o_orderpriority"])
 
 
+@query
+def upsert_out_of_order(spark, sf):
+    """Corrections of some days earlier or later than what they correct; older ones change nothing."""
+    orders = fx.table(spark, sf, "orders")
+    shift = (F.col("o_orderkey") % 5 - 2).cast("int")
+    late = orders.where("o_orderkey % 3 > 0").withColumns({"o_orderdate": F.col("o_orderdate") + F.make_dt_interval(shift), "o_totalprice": F.col("o_totalprice") + 1})
+    return upsert(orders.where("o_orderkey % 7 > 0"), conform(late, dict(orders.dtypes)), ["o_orderkey"], newer_by="o_orderdate")
+
+
 @query
 def upsert_composite_key(spark, sf):
     """The third key part is unknown for undiscounted items."""
@@ -519,14 +528,14 @@ def cursor_append(spark, sf):
     return cursor.unionByName(fx.plain(delivery.cursor_rows(waiting)))
 
 
-def _simple_log(spark, sf):
+def _simple_log(spark, sf, **how):
     """Riders in furniture report nothing, those in automobile report a failure."""
     outbox = _simple_outbox(spark, sf)
     customer = fx.table(spark, sf, "customer").where("c_mktsegment <> 'FURNITURE'")
     results = outbox.join(customer, F.col("user_id") == F.col("c_custkey").cast("string")).select(
         "notification_id", (F.col("c_mktsegment") != "AUTOMOBILE").alias("delivered")
     )
-    return delivery.delivery_log(outbox, results)
+    return delivery.delivery_log(outbox, results, **how)
 
 
 @query
@@ -534,6 +543,12 @@ def delivery_log(spark, sf):
     return fx.plain(_simple_log(spark, sf))
 
 
+@query
+def delivery_partial(spark, sf):
+    """Only what has a result is logged; the rest waits for its own."""
+    return fx.plain(_simple_log(spark, sf, missing_fails=False))
+
+
 @query
 def delivery_summary(spark, sf):
     return delivery.delivery_summary(_simple_log(spark, sf))

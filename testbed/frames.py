@@ -15,6 +15,9 @@ from pyspark.sql import functions as F
 WEATHER_WORDS = [
     "clear sky", "few clouds", "scattered clouds", "broken clouds", "overcast clouds", "mist",
     "fog", "light rain", "moderate rain", "heavy snow", "thunderstorm", "high wind",
+    "light wind", "wind", "cold", "mild cold", "heat haze", "light winds, sunny", "extreme heat", "extreme cold",
+    "icy roads", "heavy rain", "light snow", "drizzle", "sleet", "freezing rain", "hail", "tropical storm",
+    "dense fog", "warm", "breezy", "high winds and rain", "overcast, light drizzle",
 ]
 STATUS = {"error": "LATE", "purchase": "EARLY", "signup": "CANCELLED"}
 
@@ -77,17 +80,8 @@ def routes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _spread(df: DataFrame) -> DataFrame:
-    """Rows over all cores where the file is a single split, as a topic's partitions would.
-
-    Files of many splits are left as they are.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def _message(df: DataFrame, payload: Column) -> DataFrame:
-    return _spread(df).select(
+    return df.select(
         F.col("event_id").cast("string").cast("binary").alias("key"),
         F.col("ts").cast("timestamp").alias("timestamp"),
         F.to_json(F.struct(payload.alias("raw_payload"))).cast("binary").alias("value"),

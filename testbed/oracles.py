@@ -244,15 +244,28 @@ def _recent(alerts: str, log: str, columns: str) -> str:
     QUALIFY row_number() OVER (PARTITION BY a.event_id ORDER BY h.event_date DESC, h.event_id DESC) <= 20"""
 
 
+# Each phrase's place on the scale (clear 0, few clouds 1, broken clouds 2, mist and fog 3, light rain or
+# snow 4, moderate 5, heavy 6, thunderstorm and severe 7; others none), and whether it can disrupt trains:
+# rain, snow, storm, fog, ice, high wind, extreme heat or cold, and nothing mild.
+_PHRASES = {
+    "clear sky": (0, False), "few clouds": (1, False), "scattered clouds": (1, False), "broken clouds": (2, False),
+    "overcast clouds": (2, False), "mist": (3, False), "fog": (3, True), "light rain": (4, True), "moderate rain": (5, True),
+    "heavy snow": (6, True), "thunderstorm": (7, True), "high wind": (None, True), "light wind": (None, False),
+    "wind": (None, False), "cold": (None, False), "mild cold": (None, False), "heat haze": (3, False),
+    "light winds, sunny": (0, False), "extreme heat": (None, True), "extreme cold": (None, True), "icy roads": (None, True),
+    "heavy rain": (6, True), "light snow": (4, True), "drizzle": (4, True), "sleet": (5, True), "freezing rain": (5, True),
+    "hail": (None, True), "tropical storm": (7, True), "dense fog": (3, True), "warm": (None, False), "breezy": (None, False),
+    "high winds and rain": (5, True), "overcast, light drizzle": (4, True),
+}
+
+
 def _severity(c: str) -> str:
-    return f"""CASE WHEN {c} = 'thunderstorm' THEN 7 WHEN {c} = 'heavy snow' THEN 6 WHEN {c} = 'moderate rain' THEN 5
-        WHEN {c} = 'light rain' THEN 4 WHEN {c} IN ('mist', 'fog') THEN 3
-        WHEN {c} IN ('broken clouds', 'overcast clouds') THEN 2 WHEN {c} IN ('few clouds', 'scattered clouds') THEN 1
-        WHEN {c} = 'clear sky' THEN 0 END"""
+    ranks = {r: [p for p, (x, _) in _PHRASES.items() if x == r] for r in range(8)}
+    return "CASE " + " ".join(f"WHEN {c} IN ({', '.join(map(repr, ps))}) THEN {r}" for r, ps in ranks.items()) + " END"
 
 
 def _disruptive(c: str) -> str:
-    return f"coalesce({c} IN ('fog', 'light rain', 'moderate rain', 'heavy snow', 'thunderstorm', 'high wind'), false)"
+    return f"coalesce({c} IN ({', '.join(repr(p) for p, (_, hit) in _PHRASES.items() if hit)}), false)"
 
 
 def _drafts(alerts: str, matched: str, recent: str) -> str:
@@ -436,6 +449,12 @@ ORACLES: dict[str, str] = {
                coalesce(t.o_orderpriority, s.o_orderpriority) AS o_orderpriority
         FROM (SELECT * FROM orders WHERE o_orderstatus <> 'O') t
         FULL JOIN (SELECT * FROM orders WHERE o_orderstatus <> 'F') s ON t.o_orderkey = s.o_orderkey""",
+    "upsert_out_of_order": """
+        WITH s AS (SELECT o_orderkey AS k, o_orderdate + to_days(CAST(o_orderkey % 5 - 2 AS INTEGER)) AS d, o_totalprice + 1 AS p FROM orders WHERE o_orderkey % 3 > 0)
+        SELECT o_orderkey, o_custkey, o_orderstatus, o_orderpriority,
+               CASE WHEN k IS NULL OR (o_orderkey % 7 > 0 AND d < o_orderdate) THEN o_totalprice ELSE p END AS o_totalprice,
+               CASE WHEN k IS NULL OR (o_orderkey % 7 > 0 AND d < o_orderdate) THEN o_orderdate ELSE d END AS o_orderdate
+        FROM orders LEFT JOIN s ON o_orderkey = k WHERE o_orderkey % 7 > 0 OR k IS NOT NULL""",
     "upsert_composite_key": f"""
         SELECT coalesce(s.l_orderkey, t.l_orderkey) AS l_orderkey,
                coalesce(s.l_linenumber, t.l_linenumber) AS l_linenumber,
@@ -489,6 +508,8 @@ ORACLES: dict[str, str] = {
         WHERE event_date >= DATE '2024-01-31' - 7 AND (is_delayed OR is_cancelled OR is_major_delay)
           AND event_id NOT IN (SELECT event_id FROM sent)""", "simple_alerts"),
     "delivery_log": with_ctes("SELECT * FROM delivered", "delivered"),
+    "delivery_partial": with_ctes(
+        "SELECT d.* FROM delivered d JOIN customer ON d.user_id = CAST(c_custkey AS VARCHAR) WHERE c_mktsegment <> 'FURNITURE'", "delivered"),
     "delivery_summary": with_ctes("""
         SELECT event_id, count(*) FILTER (delivery_status = 'SENT') AS sent_count,
                count(*) FILTER (delivery_status = 'FAILED') AS failed_count

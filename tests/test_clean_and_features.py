@@ -199,3 +199,11 @@ def test_prompt_text(table):
 
 def test_summary_fields_are_alert_columns():
     assert set(texts.SUMMARY_FIELDS) <= set(TABLES["alerts"])
+
+
+def test_mild_weather_disrupts_nothing(table):
+    mild = ["light wind", "wind", "cold", "heat haze", "light winds, sunny", "Mild Cold", "warm", "", None, "nice", "clear sky"]
+    harsh = ["high wind", "HIGH WINDS", "extreme heat", "Extreme Cold", "icy", "black ice", "Heavy Rain", "fog", "strong winds", "severe heat", "hailstorm", "thunderstorm with light rain"]
+    df = table("w string", *[(w,) for w in mild + harsh])
+    got = {r.w: r.hit for r in df.select("w", weather.is_disruptive(F.col("w")).alias("hit")).collect()}
+    assert got == {w: False for w in mild} | {w: True for w in harsh}

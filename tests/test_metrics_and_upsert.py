@@ -92,3 +92,15 @@ def test_mark_notified(table, rows):
     done = table("event_id string", ("a",), ("a",))
     at = F.lit(datetime(2024, 1, 1))
     assert rows(mark_notified(alerts, done, at)) == [("a", "SENT", datetime(2024, 1, 1)), ("b", None, None)]
+
+
+def test_batches_in_any_order_give_the_newest(table, rows):
+    schema = "k string, seen int, value string"
+    batches = [table(schema, ("a", 3, "new"), ("b", 1, "b1")), table(schema, ("a", 1, "old"), ("b", 2, "b2"), ("c", None, "c")), table(schema, ("c", 5, "c5"), ("a", 3, "again"))]
+    for order in ([0, 1, 2], [1, 0, 2], [0, 2, 1]):
+        got = table(schema)
+        for i in order:
+            got = upsert(got, batches[i], ["k"], newer_by="seen")
+        found = rows(got)
+        assert [(k, s) for k, s, _ in found] == [("a", 3), ("b", 2), ("c", 5)]
+        assert found[0][2] in ("new", "again") and found[2][2] == "c5"

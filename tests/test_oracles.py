@@ -3,10 +3,10 @@
 import pytest
 from compare import connect, difference
 
-import __spark_entry__ as entry_points
+from testbed.catalog import QUERIES
+from testbed.oracles import ORACLES as SQL
 
 SF_DIR = "/root/testdata/sf0.001"
-QUERIES, SQL = entry_points.queries(), entry_points.oracle_sql()
 
 
 @pytest.fixture(scope="module")

@@ -264,6 +264,10 @@ def test_the_whole_line(spark, db, tmp_path):
     texts = {r.event_id: r.message for r in spark.table(f"{db}.dispatch_outbox").collect()}
     assert any("linked to heavy rain in the area; conditions are expected to ease" in m for m in texts.values())
     results = spark.table(f"{db}.dispatch_outbox").select("notification_id", (F.col("user_id") == "u1").alias("delivered"))
+    first = spark.createDataFrame(results.where("delivered").orderBy("notification_id").limit(1).collect(), results.schema)
+    jobs.record_deliveries(spark, at, first)  # results come in parts: one alert or none is complete
+    assert ids("delivery_log", "delivery_status") == [("SENT",)]
+    assert None in {r.notification_status for r in spark.table(f"{db}.alerts").where("train_id <> 't'").collect()}
     with pytest.raises(DispatchFailed):
         jobs.record_deliveries(spark, at, results)
     marks = {r.train_id: r.notification_status for r in spark.table(f"{db}.alerts").collect()}

@@ -7,6 +7,7 @@ from linewatch.schemas import TABLES
 from linewatch.sources.lookups import read_routes, read_stations, rider_preferences, rider_query
 from linewatch.sources.topics import Sasl, envelope, kafka_options
 from linewatch.streaming.parse import parse_forecast, parse_rail, parse_weather
+from testbed.catalog import QUERIES
 
 
 def message(spark, payload):
@@ -19,7 +20,7 @@ def test_kafka_options():
     plain = kafka_options("host:1", "moves")
     assert plain == {
         "kafka.bootstrap.servers": "host:1", "subscribe": "moves", "startingOffsets": "latest",
-        "failOnDataLoss": "false", "maxOffsetsPerTrigger": "5000",
+        "failOnDataLoss": "true", "maxOffsetsPerTrigger": "5000",
     }
     assert "maxOffsetsPerTrigger" not in kafka_options("h", "t", max_offsets=None)
     full = kafka_options("h", "t", "earliest", sasl=Sasl("user", 'pa"ss'))
@@ -85,6 +86,12 @@ def test_message_is_parsed_once(spark):
     assert plan.count("from_json") == 1
 
 
+@pytest.mark.parametrize("name", ["clean_not_null", "json_map", "silver_weather_current", "silver_weather_forecast"])
+def test_queries_parse_once_behind_filters_and_explodes(spark, name):
+    plan = QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json") == 1
+
+
 def test_lookup_files(spark, tmp_path, rows):
     (tmp_path / "station_codes.csv").write_text("Extra,Route_Description,FULL_NAME,STANOX_NO\n1,Kent,Dover,00101\n")
     (tmp_path / "mapping.csv").write_text("Route,City\nKent,Canterbury\n")
