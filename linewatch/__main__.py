@@ -35,6 +35,7 @@ def arguments(argv: Sequence[str] | None = None) -> argparse.Namespace:
     bronze.add_argument("--mechanism", default="PLAIN")
     bronze.add_argument("--key", default="")
     bronze.add_argument("--secret", default="")
+    bronze.add_argument("--secret-conf", help="session setting that holds the secret, which stays out of the process list")
 
     silver = steps.add_parser("silver", help="clean what is new in bronze")
     silver.add_argument("--everything", action="store_true", help="read all of bronze again")
@@ -61,7 +62,8 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
     at = jobs.Layout(args.database, args.lookups, args.checkpoints)
     jobs.create_tables(spark, at)
     if args.step == "bronze":
-        sasl = Sasl(args.key, args.secret, args.protocol, args.mechanism)
+        secret = spark.conf.get(args.secret_conf) if args.secret_conf else args.secret
+        sasl = Sasl(args.key, secret, args.protocol, args.mechanism)
         topics = {
             f"{t}_bronze": read_topic(
                 spark, kafka_options(args.bootstrap, name, args.starting, args.max_offsets or None, sasl, not args.skip_lost)

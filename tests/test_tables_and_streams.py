@@ -1,4 +1,5 @@
 import json
+import os
 from datetime import date, datetime
 
 import pytest
@@ -282,3 +283,26 @@ def test_the_whole_line(spark, db, tmp_path):
         assert spark.sql("SELECT * FROM get_matching_preferences('Kent ', 'x', 9, true, false)").count() == 1
     finally:
         spark.sql("USE default")
+
+
+def test_staged_frames_go_and_local_folders_are_refused_on_a_cluster(spark, monkeypatch):
+    from types import SimpleNamespace
+
+    from linewatch import session
+
+    frame = session.staged(spark.range(5))
+    path = frame.inputFiles()[0].removeprefix("file:").removeprefix("//")
+    assert os.path.exists(path) and frame.count() == 5
+    monkeypatch.setattr(session, "_STAGED", session._STAGED[-1:])
+    session.drop_staged(spark)
+    assert not os.path.exists(path)
+
+    context = SimpleNamespace(getCheckpointDir=lambda: None, getConf=lambda: {}, master="spark://host:7077", setCheckpointDir=lambda d: None)
+    elsewhere = SimpleNamespace(
+        sparkContext=context, _jvm=spark._jvm, _jsc=spark._jsc,
+        conf=SimpleNamespace(get=lambda key, default=None: "file:/tmp/warehouse" if key == "spark.sql.warehouse.dir" else default),
+    )
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.ensure_checkpoint_dir(elsewhere)
+    context.master = "local[4]"
+    session.ensure_checkpoint_dir(elsewhere)
