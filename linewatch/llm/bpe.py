@@ -3,7 +3,7 @@
 For each different word the greedy longest match proposes tokens. A proposal is the
 true encoding exactly if every pair of neighbours is: if merging the two tokens'
 characters gives these two tokens again. Pairs are looked up for all words at once
-in a growing table of verdicts, and only words with a failing pair are merged
+in a table of verdicts, which starts anew beyond a size, and only words with a failing pair are merged
 step by step. Words are known by hash, so each is worked on once per worker.
 """
 
@@ -29,6 +29,7 @@ from .words import Characters
 
 CHUNK = 500_000
 SHORT = 48
+MOST_PAIRS = 2_000_000
 NONE = (1 << 60, -1)
 
 
@@ -145,6 +146,8 @@ class SpeculativeBPE(PieceTable):
     def _pairs_fine(self, codes: np.ndarray) -> np.ndarray:
         """Whether each pair of neighbours stays when its characters are merged anew."""
         wanted = np.unique(codes)
+        if len(self.pair_codes) + len(wanted) > MOST_PAIRS:
+            self.pair_codes, self.pair_fine = self.pair_codes[:0], self.pair_fine[:0]
         new = wanted[~np.isin(wanted, self.pair_codes)]
         if len(new):
             merges = self.merges

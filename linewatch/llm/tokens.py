@@ -24,6 +24,7 @@ from .common import bounds, ragged, utf8
 from .words import Characters
 
 MOST_PIECES = 500_000
+MOST_IDS = 16_000_000
 
 
 def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
@@ -54,7 +55,7 @@ def merge_ranks(path: str) -> dict[bytes, int] | None:
 
 
 class PieceTable:
-    """Ids of pieces by the pieces' hashes; started anew once it holds ``MOST_PIECES``."""
+    """Ids of pieces by the pieces' hashes; started anew beyond ``MOST_PIECES`` pieces or ``MOST_IDS`` ids."""
 
     def __init__(self) -> None:
         self._forget()
@@ -89,7 +90,7 @@ class PieceTable:
 
     def places(self, keys: np.ndarray, encode: Callable[[np.ndarray], list[list[int]]]) -> np.ndarray:
         """The numbers of distinct pieces; ``encode`` gets the positions of those not met yet."""
-        if len(self.known) + len(keys) > MOST_PIECES:
+        if len(self.known) + len(keys) > MOST_PIECES or self.edges[len(self.known)] > MOST_IDS:
             self._forget()
         found = self._find(keys)
         new = np.flatnonzero(found < 0)

@@ -12,7 +12,8 @@ import pytest
 from conftest_texts import odd_strings
 from tokenizers import Tokenizer
 
-from linewatch.llm import packing, queries, repair
+from linewatch.llm import bpe as bpe_module
+from linewatch.llm import packing, queries, repair, tokens
 from linewatch.llm.bpe import SpeculativeBPE, encode_decode
 from linewatch.llm.tokens import Encoder, merge_ranks, tokenizer_path
 
@@ -170,6 +171,15 @@ def test_speculation_equals_the_library(word_level):
     assert 0 < bpe.failed < bpe.checked
 
 
+def test_small_tables_start_anew(byte_level, word_level, monkeypatch):
+    monkeypatch.setattr(tokens, "MOST_IDS", 40)
+    monkeypatch.setattr(bpe_module, "MOST_PAIRS", 5)
+    texts = [t for t in odd_strings() if "<|" not in t]
+    for table, library in ((Encoder(tokenizer_path()), byte_level), (SpeculativeBPE(tokenizer_path("word_bpe_49k.json")), word_level)):
+        for text in texts + texts:
+            assert table.encode(pa.array([text]))[0].tolist() == library.encode(text, add_special_tokens=False).ids, text
+
+
 def test_long_words_merge_exactly(word_level):
     bpe = SpeculativeBPE(tokenizer_path("word_bpe_49k.json"))
     rng = random.Random(2)
