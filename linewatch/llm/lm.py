@@ -11,6 +11,7 @@ counts of a held-out part of the training texts, with that part's counts deleted
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,9 +29,10 @@ CHUNK_TOKENS = 1_500_000
 HELD_ONE_IN = 16
 CONTEXTS = 32
 MOST_ROUNDS = 30
+BUCKET_TOKENS = 4_000_000
 SETTLED = 1e-4
 END, START = np.uint64(0x5851F42D4C957F2D), np.uint64(0x14057B7EF767814F)
-CHUNKS = "chunk long, held boolean, words binary, tokens binary, lengths binary, doc_ids binary, known binary, learns binary"
+CHUNKS = "chunk long, held boolean, n long, words binary, tokens binary, lengths binary, doc_ids binary, known binary, learns binary"
 PARTIAL = "chunk long, held boolean, kind int, bucket int, keys binary, counts binary, held_counts binary"
 ANSWERS = "chunk long, held boolean, kind int, bucket int, counts binary, held_counts binary"
 SCORES = "doc_id long, n_tokens long, n_known long, base_score double, score double"
@@ -80,10 +82,10 @@ def chunks(docs: DataFrame) -> DataFrame:
             order = np.argsort(words)
             place = np.empty(len(words), np.uint32)
             place[order] = np.arange(len(words), dtype=np.uint32)
-            row = [number, held, _squeeze_sorted(words[order]), _squeeze(place[tokens]), _squeeze(lengths), _squeeze(doc_ids), _squeeze(known), _squeeze(learns)]
+            row = [number, held, len(keys), _squeeze_sorted(words[order]), _squeeze(place[tokens]), _squeeze(lengths), _squeeze(doc_ids), _squeeze(known), _squeeze(learns)]
             number += 1
             parts.clear()
-            return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, [pa.int64(), pa.bool_(), *[pa.binary()] * 6], strict=True)], [c.split()[0] for c in CHUNKS.split(", ")])
+            return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, [pa.int64(), pa.bool_(), pa.int64(), *[pa.binary()] * 6], strict=True)], [c.split()[0] for c in CHUNKS.split(", ")])
 
         for batch in text_chunks(batches, "text"):
             flags = batch.column("held").to_numpy(zero_copy_only=False)
@@ -258,15 +260,18 @@ def score(docs: DataFrame, learns: Column) -> DataFrame:
     Rows for which ``learns`` holds are the training texts, one in ``HELD_ONE_IN`` of them
     (by the hash of the id) the held-out part. Tokens are words in lower case (A-Z)
     and one end a text; a null text is empty. Words and pairs are known by 64-bit
-    hashes. Without training texts all weight lies on the uniform estimate. Repeated
-    rows count as often as they stand, an empty table gives no row, and other
-    columns may have any name.
+    hashes, dealt into as many buckets as there are shuffle partitions, or one for each
+    ``BUCKET_TOKENS`` tokens if those are more, so that a bucket's size is bounded
+    under any setting. Without training texts all weight lies on the uniform
+    estimate. Repeated rows count as often as they stand, an empty table gives no
+    row, and other columns may have any name.
     """
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.coalesce(learns, F.lit(False)).alias("learns"))
     docs = docs.withColumn("held", F.col("learns") & (F.pmod(F.xxhash64("doc_id", F.lit(9)), F.lit(HELD_ONE_IN)) == 0))
     stored = staged(chunks(docs), compression="uncompressed")
-    replies = staged(answers(stored, parts), compression="uncompressed")
+    buckets = max(parts, math.ceil(stored.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0] / BUCKET_TOKENS))
+    replies = staged(answers(stored, buckets), compression="uncompressed")
     told = [_expand(r[0]) for r in replies.where("chunk = -1 and kind = 0").select("counts").collect()]
     tokens, held_tokens, types = (int(sum(t[i] for t in told)) for i in range(3))
     held = _with_answers(stored.where("held"), replies.where("held")).groupBy("chunk").applyInArrow(lambda t: events(t, tokens - held_tokens, types), "context binary, p2 binary, p1 binary")

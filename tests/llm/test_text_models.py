@@ -170,6 +170,9 @@ def test_scores_of_odd_rows(odd_docs, no_docs, monkeypatch):
     rows = lm.score(odd_docs, id_text_crc("doc_id") % 5 != 1).collect()
     assert sorted((str(r.doc_id), r.n_tokens) for r in rows) == sorted((str(r.doc_id), len(plain_tokens(r.text))) for r in odd_docs.collect())
     assert all(math.isfinite(r.score) and r.score <= 0 for r in rows)
+    monkeypatch.setattr(lm, "BUCKET_TOKENS", 2)
+    again = lm.score(odd_docs, id_text_crc("doc_id") % 5 != 1).collect()
+    assert sorted((str(r.doc_id), round(r.score, 9), r.n_known) for r in again) == sorted((str(r.doc_id), round(r.score, 9), r.n_known) for r in rows)
     assert {r.train_tokens for r in lm.score(odd_docs, F.lit(False)).collect()} == {0}
     assert lm.score(no_docs, F.lit(True)).collect() == []
 
