@@ -272,11 +272,13 @@ def keep_first(docs: DataFrame, width: int = 4, distance: int = 4) -> DataFrame:
 
     The row of the smallest ``doc_id`` stays, of several with it the one of the smallest
     row hash, of rows equal in every column one; rows with a null id stay only
-    where their component has no other.
+    where their component has no other. Rows are known by id and row hash, so that
+    documents of different ids never stand for each other.
     """
     mark = free_name(docs, "row")
-    marked = docs.withColumn(mark, F.xxhash64(*docs.columns))
+    own_id = free_name(docs, "id")
+    marked = docs.withColumns({mark: F.xxhash64(*docs.columns), own_id: F.coalesce(F.col("doc_id").cast("long"), F.lit(0))})
     rows = staged(fingerprints(marked.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.col(mark).alias("mark")), width, keep=("doc_id", "mark")))
     named = rows.join(classes(rows, distance).select("fp", "root"), "fp")
-    first = named.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "mark")).alias("first")).select(F.col("first.mark").alias(mark))
-    return marked.join(first, mark, "left_semi").dropDuplicates([mark]).drop(mark)
+    first = named.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "mark")).alias("first")).select(F.col("first.mark").alias(mark), F.coalesce("first.doc_id", F.lit(0)).alias(own_id))
+    return marked.join(first, [mark, own_id], "left_semi").dropDuplicates([mark, own_id]).drop(mark, own_id)
