@@ -112,23 +112,26 @@ def pack(docs: DataFrame, length: int = 2048, tokenizer: str | None = None, end_
     known = table.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("total"), *(F.percentile_approx(a, steps, 10_000).alias(a) for a in axes)).first()
     grid = [np.asarray(known[a] or [], float) for a in axes]
 
-    @F.pandas_udf("long")
-    def place(*x: pd.Series) -> pd.Series:
+    def keys(rest: pd.Series, x: tuple[pd.Series, ...]) -> np.ndarray:
         cells = np.stack([np.searchsorted(g, v.to_numpy(), side="right") for g, v in zip(grid, x, strict=True)], axis=1)
-        return pd.Series(hilbert(cells, GRID_BITS))
+        return hilbert(cells, GRID_BITS) << 31 | rest.to_numpy()
+
+    @F.pandas_udf("long")
+    def key_of(rest: pd.Series, *x: pd.Series) -> pd.Series:
+        return pd.Series(keys(rest, x))
 
     rest = F.xxhash64("doc_id", "n").bitwiseAND(F.lit((1 << 31) - 1))
-    table = table.withColumn("key", F.shiftleft(place(*axes), 31).bitwiseOR(rest)).drop(*axes)
     tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     parts = min(MOST_PARTS, max(tasks, math.ceil(known["total"] / PART_IDS)))
     inner = [(i + 1) / parts for i in range(parts - 1)]
-    cuts = np.asarray((table.agg(F.percentile_approx("key", inner, max(10_000, 20 * parts))).first()[0] if inner else None) or [], np.int64)
+    cuts = np.asarray((table.agg(F.percentile_approx(key_of(rest, *axes), inner, max(10_000, 20 * parts))).first()[0] if inner else None) or [], np.int64)
 
-    @F.pandas_udf("int")
-    def part_of(key: pd.Series) -> pd.Series:
-        return pd.Series(np.searchsorted(cuts, key.to_numpy(), side="right").astype(np.int32))
+    @F.pandas_udf("key long, part int")  # both at once: a chain of two would keep two workers a task
+    def located(rest: pd.Series, *x: pd.Series) -> pd.DataFrame:
+        key = keys(rest, x)
+        return pd.DataFrame({"key": key, "part": np.searchsorted(cuts, key, side="right").astype(np.int32)})
 
-    table = table.withColumn("part", part_of("key"))
+    table = table.withColumn("at", located(rest, *axes)).select("doc_id", "n", "ids", "at.key", "at.part")
     sums = {r["part"]: r["n"] for r in table.groupBy("part").agg(F.sum("n").alias("n")).collect()}
     before = bounds(np.array([sums.get(i, 0) for i in range(parts)], np.int64))
 
