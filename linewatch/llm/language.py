@@ -28,7 +28,7 @@ LEAST_RATE = 1e-5
 WITHIN = 4.0
 MOST_LANGUAGES = 64
 LEAST_SCORE = 0.2
-FLUSH = 1_000_000
+FLUSH = 250_000
 UNKNOWN = "und"
 
 
