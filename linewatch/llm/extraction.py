@@ -16,7 +16,7 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import text_chunks
@@ -153,24 +153,51 @@ def _alike(a: str, b: str) -> int:
     return next((i for i in range(n) if a[i] != b[i]), n)
 
 
+def _places(keys: DataFrame, parts: int) -> tuple[Column, Column]:
+    """The range that a ``key`` belongs to, and an array of those beside it that need a copy of its page; the array may have nulls.
+
+    Ranges are at most ``parts``, of about as many keys each, and none is empty.
+    """
+    ranged = keys.repartitionByRange(parts, "key").withColumn("part", F.spark_partition_id())
+    edges = ranged.groupBy("part").agg(F.min("key").alias("first"), F.max("key").alias("last")).orderBy("first").select(F.to_json("first"), F.to_json("last"), "first.host", "last.host").collect()
+    kind = f"array<{keys.schema['key'].dataType.simpleString()}>"
+
+    def literal(found: list[str]) -> Column:
+        return F.from_json(F.lit(f"[{','.join(found)}]"), kind)
+
+    part = F.size(F.filter(literal([e[0] for e in edges[1:]]), lambda first: first <= F.col("key")))
+    cut = [bool(a[3]) and a[3] == b[2] for a, b in zip(edges, edges[1:], strict=False)]  # through a host
+
+    def beside(side: int, crossed: list[bool], step: int) -> Column:
+        there = F.get(literal([e[side] if c else "null" for e, c in zip(edges, crossed, strict=True)]), F.col("own"))
+        return F.when(there.eqNullSafe(F.col("key")), F.col("own") + step)
+
+    return part, F.array(beside(0, [False, *cut][: len(edges)], -1), beside(1, [*cut, False][: len(edges)], 1))
+
+
 def extract(pages: DataFrame) -> DataFrame:
     """:data:`PAGES` of every row of ``pages`` (page_id, url, html).
 
     Rows are sorted by host, path and id in tasks of a range each, so a host of any
-    size spreads over tasks; the first and last page of a task look for their
-    neighbour within it. A null or empty html has the empty text; a null url has no
-    host and no neighbour; pages whose html is the same, and repeated rows, keep
-    their text. An empty table gives no row. Other columns may have any name.
+    size spreads over tasks. A first pass over the keys finds the ranges and their
+    edges (two keys a range reach the driver); the page at either side of a cut is
+    copied over it, so the texts don't depend on where the cuts lie. A null or empty
+    html has the empty text; a null url has no host and no neighbour; pages whose html
+    is the same, and repeated rows, keep their text. An empty table gives no row.
+    Other columns may have any name.
     """
     pages = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
     address = F.regexp_replace(F.lower("url"), r"^[a-z][a-z0-9+.-]*://", "")
-    pages = pages.withColumn("host", F.regexp_extract(address, r"^([^/?#]*)", 1)).withColumn("path", F.regexp_extract("url", r"^(?:[^:/?#]+://)?[^/?#]*([^?#]*)", 1))
+    host, path = F.regexp_extract(address, r"^([^/?#]*)", 1), F.regexp_extract("url", r"^(?:[^:/?#]+://)?[^/?#]*([^?#]*)", 1)
+    pages = pages.withColumn("key", F.struct(host.alias("host"), path.alias("path"), "page_id", F.xxhash64("url", "html").alias("tie")))
     parts = int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    order = ["host", "path", "page_id", F.xxhash64("url", "html")]
-    pages = pages.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+    part, copied = _places(pages.select("key"), parts)
+    pages = pages.withColumn("own", part).withColumn("part", F.explode(F.array_compact(F.concat(F.array("own"), copied))))
+    pages = pages.repartitionById(parts, "part").sortWithinPartitions("key")
+    pages = pages.select("page_id", "url", "html", "key.host", "key.path", (F.col("own") == F.col("part")).alias("own"))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        before = current = None  # page_id, url, host, path, blocks
+        before = current = None  # page_id, url, host, path, blocks, own
 
         def answer(after: tuple | None) -> tuple:
             near = [p for p in (before, after) if p and p[2] and p[2] == current[2]]
@@ -182,14 +209,14 @@ def extract(pages: DataFrame) -> DataFrame:
 
         for batch in text_chunks(batches, "html"):
             rows = []
-            for page_id, url, page, host, path in zip(*(batch.column(c).to_pylist() for c in ("page_id", "url", "html", "host", "path")), strict=True):
-                following = (page_id, url, host, path, blocks(page or ""))
-                if current:
+            for page_id, url, page, host, path, own in zip(*(batch.column(c).to_pylist() for c in ("page_id", "url", "html", "host", "path", "own")), strict=True):
+                following = (page_id, url, host, path, blocks(page or ""), own)
+                if current and current[5]:
                     rows.append(answer(following))
                 before, current = current, following
             if rows:
                 yield batch_of(rows)
-        if current:
+        if current and current[5]:
             yield batch_of([answer(None)])
 
     return pages.mapInArrow(work, PAGES)

@@ -253,3 +253,24 @@ def test_pipeline_stages(spark, sf_dir, odd_docs, no_docs):
         for _, stage in corpus_pipeline.STAGES[:-1]:
             assert stage(spark, frame, sf_dir).columns == frame.columns
         assert corpus_pipeline.STAGES[-1][1](spark, frame, sf_dir).columns[0] == "doc_id"
+
+
+def test_neighbours_are_found_over_the_edges_of_tasks(spark):
+    pages = [(100 * h + i, f"http://h{h}.org/{i // 3}/{i}", f"<div>Top {h}</div><p>Group {i // 3}</p><p>Only {h}/{i}</p>") for h, n in enumerate([1, 2, 3, 5, 20]) for i in range(n)]
+    pages += [(None, None, "<p>No address"), (900, None, "<p>No address"), (901, "http://q.org/€\"\\1", "<i>Q</i><p>1"), (None, "http://q.org/€\"\\1", "<i>Q</i><p>2")]
+    order = sorted(((u or "").split("/", 3)[2] if u else "", "/" + u.split("/", 3)[3] if u else "", i or -1, u, h) for i, u, h in pages)
+    plain = []
+    for at, (host, path, i, _, text) in enumerate(order):
+        near = [order[k] for k in (at - 1, at + 1) if 0 <= k < len(order) and host and order[k][0] == host]
+        best = max(near, key=lambda p: extraction._alike(p[1], path), default=None)
+        plain.append((i, extraction.main_text(extraction.blocks(text), best and extraction.blocks(best[4]))))
+    assert (404, "Only 4/4") in plain and (-1, "No address") in plain and (-1, "2") in plain
+    table = spark.createDataFrame(pages, "page_id long, url string, html string").repartition(3)
+    setting = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(setting)
+    try:
+        for parts in (1, 2, 7, 64):
+            spark.conf.set(setting, parts)
+            assert sorted((r.page_id or -1, r.text) for r in extraction.extract(table).collect()) == sorted(plain)
+    finally:
+        spark.conf.set(setting, before)
