@@ -11,7 +11,9 @@ from linewatch.session import staged
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops texts without a letter and those in none of the languages that the corpus is labelled with."""
-    return docs.where(language.is_known(language.learn(docs.select("lang", "text"))))
+    labelled = docs.select("lang", "text")
+    model = language.learn(labelled)
+    return docs.where(language.is_known(model, least=language.least_shares(labelled, model)))
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

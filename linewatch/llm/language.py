@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import staged
-from .common import per_run, text_chunks, utf8
+from .common import per_run, ragged, text_chunks, utf8
 from .words import LETTER, Characters, char_kinds, mix
 
 POSITIONS = 1 << 20
@@ -27,7 +27,11 @@ HASHES = 3
 LEAST_RATE = 1e-5
 WITHIN = 4.0
 MOST_LANGUAGES = 64
-LEAST_SCORE = 0.2
+RUN = 128
+QUANTILE = 0.01
+OF_QUANTILE = 0.8
+DEVIATIONS = 3.0
+BINS = 1000
 FLUSH = 250_000
 UNKNOWN = "und"
 
@@ -85,16 +89,37 @@ class Filter:
         rows = self.masks[self.positions(codes)]
         return np.bitwise_and.reduce(rows, axis=0)
 
+    def _counts(self, codes: np.ndarray, edges: np.ndarray) -> np.ndarray:
+        """A row for each language: its corrected counts of n-grams between neighbouring ``edges``."""
+        which, distinct = pd.factorize(codes)
+        masks = self.containing(distinct)[which]
+        counts = np.stack([per_run((masks >> masks.dtype.type(i) & masks.dtype.type(1)).astype(np.int64), edges) for i in range(len(self.languages))])
+        return (counts - np.diff(edges) * self.false[:, None]) / (1 - self.false[:, None])
+
+    def fit(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The place of each text's best language, the share of its n-grams in learned languages, and their number.
+
+        Each run of ``RUN`` n-grams counts in its own best language, so a text that
+        mixes learned languages fits as well as one in a single of them.
+        """
+        codes, edges = ngrams(column)
+        n = np.diff(edges)
+        if not self.languages or not len(codes):
+            return np.zeros(len(n), np.int64), np.zeros(len(n)), n
+        runs = -(-n // RUN)
+        owner = np.repeat(np.arange(len(n)), runs)
+        heads = edges[owner] + RUN * ragged(np.zeros(len(n), np.int64), runs)
+        counts = self._counts(codes, np.append(heads, len(codes)))
+        best = np.stack([np.bincount(owner, c, len(n)) for c in counts]).argmax(0)
+        return best, np.clip(np.bincount(owner, counts.max(0), len(n)) / np.maximum(n, 1), 0.0, 1.0), n
+
     def predict(self, column: pa.Array) -> tuple[pa.Array, np.ndarray]:
         """The language of each text and its corrected share of the n-grams."""
         codes, edges = ngrams(column)
         n = np.diff(edges)
         if not self.languages or not len(codes):
             return pa.array([UNKNOWN] * len(n), pa.string()), np.zeros(len(n))
-        which, distinct = pd.factorize(codes)
-        masks = self.containing(distinct)[which]
-        counts = np.stack([per_run((masks >> masks.dtype.type(i) & masks.dtype.type(1)).astype(np.int64), edges) for i in range(len(self.languages))])
-        corrected = (counts - n * self.false[:, None]) / (1 - self.false[:, None])
+        corrected = self._counts(codes, edges)
         best = corrected.argmax(0)
         score = np.clip(corrected.max(0) / np.maximum(n, 1), 0.0, 1.0)
         names = pa.array([*self.languages, UNKNOWN]).take(pa.array(np.where(n > 0, best, len(self.languages))))
@@ -172,15 +197,48 @@ def predict(docs: DataFrame, model: Filter) -> DataFrame:
     return docs.mapInArrow(work, "doc_id long, lang_pred string, score double")
 
 
-def is_known(model: Filter, text: str = "text", least: float = LEAST_SCORE) -> Column:
-    """Whether a row's text is in a learned language with a share of at least ``least``."""
+def least_shares(docs: DataFrame, model: Filter) -> np.ndarray:
+    """The share that a text needs to count as each of the model's languages, from ``docs`` (text, lang).
+
+    ``OF_QUANTILE`` of the ``QUANTILE`` of the shares that texts labelled with the language
+    have; each task sends at most ``BINS`` + 1 counts a language.
+    """
+    place = {k: i for i, k in enumerate(model.languages)}
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bins = np.zeros((len(place), BINS + 1), np.int64)
+        for batch in text_chunks(batches, "text"):
+            _, share, n = model.fit(batch.column("text"))
+            own = np.array([place.get(k, -1) for k in batch.column("lang").to_pylist()])
+            real = (own >= 0) & (n > 0)
+            np.add.at(bins, (own[real], (share[real] * BINS).astype(np.int64)), 1)
+        met = np.nonzero(bins)
+        yield pa.RecordBatch.from_arrays([pa.array(met[0]), pa.array(met[1]), pa.array(bins[met])], ["place", "bin", "n"])
+
+    docs = docs.where("lang is not null").select("lang", F.col("text").cast("string").alias("text"))
+    bins = np.zeros((len(place), BINS + 1), np.int64)
+    for r in docs.mapInArrow(work, "place long, bin long, n long").groupBy("place", "bin").agg(F.sum("n").alias("n")).collect():
+        bins[r["place"], r["bin"]] = r["n"]
+    return np.array([np.searchsorted(np.cumsum(b), QUANTILE * b.sum(), side="right") for b in bins]) / BINS * OF_QUANTILE
+
+
+def is_known(model: Filter, text: str = "text", least: np.ndarray | None = None) -> Column:
+    """Whether a row's text is in learned languages: its share reaches its best language's ``least``.
+
+    A text of n n-grams may fall short by ``DEVIATIONS`` standard deviations of a share of n,
+    so that short ones aren't lost by chance. Without ``least`` every text with a letter passes.
+    """
+    least = np.zeros(len(model.languages)) if least is None else least
+    learned = bool(model.languages)
 
     @F.arrow_udf("boolean")
     def known(column: pa.Array) -> pa.Array:
         parts = []
         for b in text_chunks([pa.RecordBatch.from_arrays([column], ["t"])], "t"):
-            names, score = model.predict(b.column(0))
-            parts.append((np.array(names.to_pylist()) != UNKNOWN) & (score >= least))
+            best, share, n = model.fit(b.column(0))
+            need = least[best] if learned else np.zeros(len(n))
+            slack = DEVIATIONS * np.sqrt(need * (1 - need) / np.maximum(n, 1))
+            parts.append((n > 0) & learned & (share >= need - slack))
         return pa.array(np.concatenate(parts) if parts else np.zeros(0, bool))
 
     return known(F.col(text).cast("string"))

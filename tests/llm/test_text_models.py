@@ -53,6 +53,31 @@ def test_languages_of_odd_rows(odd_docs, no_docs):
     assert language.predict(no_docs, model).collect() == []
 
 
+UNLEARNED = [
+    "Questa è una frase in italiano che racconta la storia di un piccolo paese tra le montagne, dove la gente vive ancora come una volta.",
+    "O rio corre devagar entre as montanhas e as pessoas da aldeia falam uma língua antiga que já não se ouve em mais nenhum lugar do país.",
+    "La ciutat es va despertar amb el so de les campanes i la gent va sortir al carrer per celebrar la festa major amb música i balls.",
+    "De kleine jongen liep langzaam door het bos en dacht aan zijn moeder die thuis op hem wachtte met een warme maaltijd en een kopje thee.",
+    "Suomalainen kirjallisuus on saanut paljon vaikutteita muista maista ja sen historia on pitkä ja monivaiheinen kertomus kansasta.",
+]
+
+
+def test_texts_in_no_learned_language_go(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang")
+    text = {k: [r.text for r in docs.where(F.col("lang") == k).orderBy("doc_id").collect()] for k in ("de", "en", "es", "fr")}
+    mixed = [" ".join(x[:400] for x in pair) for pair in zip(text["de"][:9], text["es"][:9], strict=True)]
+    short = [w for k in text for w in text[k][0].split()[:3]]
+    planted = spark.createDataFrame([(-1 - i, t, None) for i, t in enumerate([*UNLEARNED, *mixed, *short])], docs.schema)
+    kept = corpus_pipeline.known_language(spark, docs.unionByName(planted), sf_dir)
+    assert {r.doc_id for r in kept.collect()} == {r.doc_id for r in docs.collect()} | {-1 - i for i in range(len(UNLEARNED), len(UNLEARNED + mixed + short))}
+    for left in ("es", "fr"):
+        others = docs.where(F.col("lang") != left)
+        model = language.learn(others)
+        known = language.is_known(model, least=language.least_shares(others, model))
+        long = docs.where((F.col("lang") == left) & (F.length("text") > 200))
+        assert long.count() > 9 and long.where(known).count() == 0
+
+
 def plain_counts(text) -> list[int]:
     words = WORD.findall(text or "")
     lines = [x for x in (text or "").split("\n") if WORD.search(x)]
