@@ -1,6 +1,6 @@
 """Language identification with a bit-sliced Bloom filter of n-grams.
 
-Each position of the filter holds a mask with one bit a language; the masks of an
+Each position of the filter holds a mask with one bit a language, in words of 64; the masks of an
 n-gram's positions, and-ed, name all languages whose n-grams contain it. A text's
 masks are counted bit by bit, each count is corrected for the false positives that
 its language's fill predicts, and the largest share decides.
@@ -26,7 +26,7 @@ POSITIONS = 1 << 20
 HASHES = 3
 LEAST_RATE = 1e-5
 WITHIN = 4.0
-MOST_LANGUAGES = 64
+WORD_BITS = 64
 RUN = 128
 QUANTILE = 0.01
 OF_QUANTILE = 0.8
@@ -63,7 +63,7 @@ def ngrams(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 @dataclass
 class Filter:
-    """The languages, their masks by position, and each language's false-positive rate."""
+    """The languages, their masks by word and position, and each language's false-positive rate."""
 
     languages: list[str]
     masks: np.ndarray
@@ -78,22 +78,28 @@ class Filter:
 
     @staticmethod
     def build(languages: list[str], owner: np.ndarray, codes: np.ndarray) -> Filter:
-        kind = next(k for k, bits in ((np.uint8, 8), (np.uint16, 16), (np.uint32, 32), (np.uint64, 64)) if len(languages) <= bits)
-        masks = np.zeros(POSITIONS, kind)
+        kind = next((k for k, bits in ((np.uint8, 8), (np.uint16, 16), (np.uint32, 32)) if len(languages) <= bits), np.uint64)
+        masks = np.zeros((max(1, -(-len(languages) // WORD_BITS)), POSITIONS), kind)
+        bits = (np.uint64(1) << (owner % WORD_BITS).astype(np.uint64)).astype(kind)
         for row in Filter.positions(codes):
-            np.bitwise_or.at(masks, row, (np.uint64(1) << owner.astype(np.uint64)).astype(kind))
-        fill = [((masks >> kind(i)) & kind(1)).mean() for i in range(len(languages))]
+            np.bitwise_or.at(masks, (owner // WORD_BITS, row), bits)
+        fill = [Filter._bit(masks, i).mean() for i in range(len(languages))]
         return Filter(languages, masks, np.array(fill) ** HASHES)
 
+    @staticmethod
+    def _bit(masks: np.ndarray, i: int) -> np.ndarray:
+        return masks[i // WORD_BITS] >> masks.dtype.type(i % WORD_BITS) & masks.dtype.type(1)
+
     def containing(self, codes: np.ndarray) -> np.ndarray:
-        rows = self.masks[self.positions(codes)]
-        return np.bitwise_and.reduce(rows, axis=0)
+        """A row of masks for each word."""
+        at = self.positions(codes)
+        return np.stack([np.bitwise_and.reduce(word[at], axis=0) for word in self.masks])
 
     def _counts(self, codes: np.ndarray, edges: np.ndarray) -> np.ndarray:
         """A row for each language: its corrected counts of n-grams between neighbouring ``edges``."""
         which, distinct = pd.factorize(codes)
-        masks = self.containing(distinct)[which]
-        counts = np.stack([per_run((masks >> masks.dtype.type(i) & masks.dtype.type(1)).astype(np.int64), edges) for i in range(len(self.languages))])
+        masks = self.containing(distinct)
+        counts = np.stack([per_run(self._bit(masks, i)[which].astype(np.int64), edges) for i in range(len(self.languages))])
         return (counts - np.diff(edges) * self.false[:, None]) / (1 - self.false[:, None])
 
     def fit(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -132,7 +138,7 @@ def learn(docs: DataFrame) -> Filter:
     A language contains an n-gram that makes up at least ``LEAST_RATE`` of its n-grams and
     is at most ``WITHIN`` times rarer in it than where it is most frequent: a choice
     by rates, alike at every size, with at most 1 / ``LEAST_RATE`` n-grams a language.
-    Of more than ``MOST_LANGUAGES`` languages a ValueError tells.
+    The filter grows by 8 MB with every ``WORD_BITS`` languages.
     """
     docs = docs.where("lang is not null").select("lang", F.col("text").cast("string").alias("text"))
 
@@ -166,12 +172,10 @@ def learn(docs: DataFrame) -> Filter:
 
     sums = docs.mapInArrow(work, "lang string, code long, n long").groupBy("lang", "code").agg(F.sum("n").alias("n"))
     sums = staged(sums)
-    totals = {r["lang"]: r["n"] for r in sums.groupBy("lang").agg(F.sum("n").alias("n")).orderBy("lang").limit(MOST_LANGUAGES + 1).collect()}
-    if len(totals) > MOST_LANGUAGES:
-        raise ValueError(f"more than {MOST_LANGUAGES} languages")
+    totals = {r["lang"]: r["n"] for r in sums.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
     languages = sorted(totals)
     if not languages:
-        return Filter([], np.zeros(POSITIONS, np.uint8), np.zeros(0))
+        return Filter([], np.zeros((1, POSITIONS), np.uint8), np.zeros(0))
     whole = F.element_at(F.create_map(*(x for k in languages for x in (F.lit(k), F.lit(float(totals[k]))))), F.col("lang"))
     rates = sums.withColumn("rate", F.col("n") / whole).where(F.col("rate") >= LEAST_RATE)
     most = rates.groupBy("code").agg(F.max("rate").alias("most"))

@@ -53,6 +53,15 @@ def test_languages_of_odd_rows(odd_docs, no_docs):
     assert language.predict(no_docs, model).collect() == []
 
 
+def test_many_languages_are_told(spark):
+    rng = random.Random(6)
+    docs = [(i, "".join(chr(0x4E00 + 20 * i + rng.randrange(20)) for _ in range(60)), f"x{i}") for i in range(150)]
+    table = spark.createDataFrame(docs, "doc_id long, text string, lang string")
+    model = language.learn(table)
+    assert len(model.languages) == 150
+    assert {(r.doc_id, r.lang_pred) for r in language.predict(table, model).collect()} == {(i, k) for i, _, k in docs}
+
+
 UNLEARNED = [
     "Questa è una frase in italiano che racconta la storia di un piccolo paese tra le montagne, dove la gente vive ancora come una volta.",
     "O rio corre devagar entre as montanhas e as pessoas da aldeia falam uma língua antiga que já não se ouve em mais nenhum lugar do país.",
