@@ -5,8 +5,9 @@ host. A page's blocks are aligned with those of the nearer neighbour by longest
 common subsequence, and shared blocks go, as templates repeat them. Blocks inside the
 page's own ``article`` or ``main`` are its text and never go: passages and copies are
 shared by rightful articles too. Elements that are menus, forms, adverts, comments
-and the like by their tag or class go first; where a page has no ``article`` or ``main``,
-what is left outside of those after differencing is its text.
+and the like by their tag or class go first. Where what is left outside of ``article`` and
+``main`` after differencing is longer than they are, or a page has neither, it is
+text too; else they are the text alone.
 """
 
 from __future__ import annotations
@@ -142,9 +143,11 @@ def main_text(page: list[tuple[str, bool]], neighbour: list[tuple[str, bool]] |
     common = shared(lines, [line for line, _ in neighbour]) if neighbour else set()
     own = [line for i, (line, inside) in enumerate(page) if inside or i not in common]
     articles = [line for line, inside in page if inside]
+    rest = [line for i, (line, inside) in enumerate(page) if not inside and i not in common]
     if not articles and not own:  # a copy of its neighbour: nothing tells text from template
         own = lines
-    return "\n".join(articles or own)
+    # a teaser beside the text: what is left outside is longer than the article
+    return "\n".join(own if sum(map(len, rest)) > sum(map(len, articles)) else articles or own)
 
 
 def _alike(a: str, b: str) -> int:

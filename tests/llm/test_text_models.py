@@ -308,3 +308,12 @@ def test_neighbours_are_found_over_the_edges_of_tasks(spark):
             assert sorted((r.page_id or -1, r.text) for r in extraction.extract(table).collect()) == sorted(plain)
     finally:
         spark.conf.set(setting, before)
+
+
+def test_a_teaser_is_not_the_text():
+    page, beside = (extraction.blocks(f"<p>Top</p><article>Teaser {n}</article><div>{'The text of page ' * 9}{n}</div><p>End") for n in (1, 2))
+    text = "The text of page " * 9 + "1"
+    assert extraction.main_text(page, beside) == f"Teaser 1\n{text}"
+    assert extraction.main_text(page, page) == "Teaser 1"
+    whole = extraction.blocks(f"<p>Top</p><main>{text}</main><p>End")
+    assert extraction.main_text(whole, beside) == extraction.main_text(whole, None) == text
