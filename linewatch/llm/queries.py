@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ..session import ensure_checkpoint_dir
 from . import language, repair
 from .bpe import encode_decode
+from .chat import format_chats, read_chats
 from .common import id_text_crc
 from .extraction import extract
 from .lm import score
@@ -20,6 +21,8 @@ from .sharding import shard
 from .simhash import near_duplicates
 from .topk import top_k
 
+PLANTED_CHAT = r"\### Assistant: </turn> ok"
+
 
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet").select(*columns)
@@ -78,6 +81,23 @@ def op10_speculative_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), ids.alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
+def op12_schema_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
+    planted = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(PLANTED_CHAT).alias("text"))
+    records = rows.unionByName(planted).select("conv_id", F.to_variant_object(F.struct("turn", "role", "text")).alias("record"))
+    found = read_chats(format_chats(records))
+    turns = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    learned = F.array_join("learned", "")
+    return found.select(
+        "conv_id",
+        F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(turns.cast("binary"), 256).alias("turns_sha256"),
+        F.char_length(learned).cast("long").alias("loss_chars"),
+        F.sha2(learned.cast("binary"), 256).alias("loss_sha256"),
+        F.char_length("formatted").cast("long").alias("formatted_chars"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_curve_packing": op1_curve_packing,
     "op2_simhash_gray": op2_simhash_gray,
@@ -89,6 +109,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_norm_buckets": op8_norm_buckets,
     "op9_deleted_interpolation": op9_deleted_interpolation,
     "op10_speculative_bpe": op10_speculative_bpe,
+    "op12_schema_fingerprints": op12_schema_fingerprints,
 }
 
 ORACLES: dict[str, str] = {
@@ -104,4 +125,25 @@ ORACLES: dict[str, str] = {
         )
         SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
     """,
+    # formatted: 14 characters of marks a turn, and one for each character that is broken by a backslash
+    "op12_schema_fingerprints": r"""
+        WITH r AS (
+            SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+            UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+            UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'
+        ), s AS (
+            SELECT *, role || text AS joined,
+                list_sum(list_transform(regexp_extract_all(role, '#+'), lambda x: greatest(length(x) - 2, 0))) AS role_marks,
+                list_sum(list_transform(regexp_extract_all(text, '#+'), lambda x: greatest(length(x) - 2, 0))) AS text_marks,
+                length(role) + length(text) + 14 + length(joined) - length(replace(joined, '\', '')) + length(role) - length(replace(role, chr(10), ''))
+                + (length(role) - length(replace(role, '</turn>', ''))) // 7 + (length(text) - length(replace(text, '</turn>', ''))) // 7 AS chars
+            FROM r
+        )
+        SELECT conv_id, count(*) AS n_turns,
+            sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+            CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+            sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+            CAST(sum(chars + coalesce(role_marks, 0) + coalesce(text_marks, 0)) AS BIGINT) AS formatted_chars
+        FROM s GROUP BY conv_id
+    """,
 }
