@@ -17,6 +17,7 @@ from .extraction import extract
 from .lm import score
 from .packing import pack
 from .quality import COUNTS, quality
+from .runs import find_runs
 from .sharding import shard
 from .simhash import near_duplicates
 from .topk import top_k
@@ -81,6 +82,37 @@ def op10_speculative_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), ids.alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
+def with_planted_periods(docs: DataFrame) -> DataFrame:
+    """doc_id and text, where one document in ten repeats some of its words to its end."""
+    number = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    chosen = docs.select("doc_id", "text", F.floor(number / 10).alias("g"), F.when(number % 10 == 0, F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")).alias("w"))
+    chosen = chosen.withColumn("n", F.size("w")).withColumn("a", F.when(F.col("n") > 0, (F.col("g") % F.col("n")).cast("int")))
+    rest = F.col("n") - F.col("a")
+    chosen = chosen.withColumn("p", (1 + F.floor(rest / (3 + F.col("g") % 8))).cast("int"))
+    period = F.slice("w", F.col("a") + 1, F.col("p"))
+    repeated = F.slice(F.flatten(F.array_repeat(period, F.ceil(rest / F.col("p")).cast("int"))), F.lit(1), rest)
+    words = F.array_join(F.concat(F.slice("w", F.lit(1), F.col("a")), repeated), " ")
+    return chosen.select("doc_id", F.when(F.col("n") > 0, words).otherwise(F.col("text")).alias("text"))
+
+
+def op11_dyadic_squares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_runs(with_planted_periods(table(spark, sf_dir, "documents", "doc_id", "text")))
+    lines = F.array_join(F.transform("runs", lambda r: F.format_string("%d,%d,%d\n", r["start"], r["length"], r["period"])), "")
+    best = F.array_min(F.transform("runs", lambda r: F.struct((-r["length"]).alias("shorter"), r["start"].alias("start"), r["period"].alias("period"))))
+    found = found.withColumn("best", best)
+    length = -F.col("best.shorter")
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        F.col("best.start").alias("start"),
+        length.alias("length"),
+        F.col("best.period").alias("period"),
+        F.expr("(1000 * -best.shorter) div best.period").alias("exponent_milli"),
+        F.sha2(lines.cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
 def op12_schema_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
     planted = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(PLANTED_CHAT).alias("text"))
@@ -109,6 +141,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_norm_buckets": op8_norm_buckets,
     "op9_deleted_interpolation": op9_deleted_interpolation,
     "op10_speculative_bpe": op10_speculative_bpe,
+    "op11_dyadic_squares": op11_dyadic_squares,
     "op12_schema_fingerprints": op12_schema_fingerprints,
 }
 

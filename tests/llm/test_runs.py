@@ -1,0 +1,139 @@
+"""Periodic runs against a search over all periods, and the collapsed texts."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+import re
+import zlib
+
+import numpy as np
+import pytest
+
+from linewatch.llm import queries, runs
+from linewatch.llm.words import mix
+
+
+def brute(words, least=12):
+    """start, length and smallest period of every run, by trying each period."""
+    found, n = {}, len(words)
+    for p in range(1, n // 2 + 1):
+        i = 0
+        while i < n - p:
+            j = i
+            while j < n - p and words[j] == words[j + p]:
+                j += 1
+            if j - i >= p and j - i + p >= least:
+                found.setdefault((i, j + p), p)
+            i = max(j, i + 1)
+    return sorted(((a, b - a, q) for (a, b), q in found.items()), key=lambda r: (r[0], r[2]))
+
+
+def left(words, found):
+    dropped = {i for a, n, q in found for i in range(a + q, a + n)}
+    return " ".join(w for i, w in enumerate(words) if i not in dropped)
+
+
+def fibonacci(n):
+    a, b = "a", "ab"
+    while len(b) < n:
+        a, b = b, b + a
+    return list(b[:n])
+
+
+def thue_morse(n):
+    return ["ab"[bin(i).count("1") % 2] for i in range(n)]
+
+
+def random_texts(count, seed):
+    rng = random.Random(seed)
+    for _ in range(count):
+        n = rng.randint(0, 90)
+        words = [rng.choice("abcdefg"[: rng.choice([1, 2, 2, 3, 7])]) for _ in range(n)]
+        if n > 4 and rng.random() < 0.6:
+            a = rng.randrange(n)
+            p = rng.randint(1, max(1, (n - a) // 2))
+            words = [words[i] if i < a else words[a + (i - a) % p] for i in range(n)]
+        yield words
+
+
+SPECIAL = [[], ["x"], ["x"] * 12, ["x"] * 333, fibonacci(500), thue_morse(700), ["a", "b"] * 6, ["a", "b"] * 5 + ["a"], list("abcdef") * 2, list("abcdef") * 2 + ["x"] + list("abcdef") * 2]
+TEXTS = SPECIAL + list(random_texts(300, 1))
+
+
+@pytest.mark.parametrize("step", [1, 3, 1 << 20])
+def test_words_appended_singly_or_at_once(step):
+    for words in TEXTS[:80]:
+        names = np.array([ord(w) for w in words], np.uint64)
+        catcher = runs.SquareCatcher()
+        for i in range(0, len(words), step):
+            catcher.append(mix(names[i : i + step]))
+        assert [(a, b - a, q) for a, b, q in catcher.finish().tolist()] == brute(words)
+
+
+@pytest.mark.parametrize("least", [2, 12, 40])
+def test_texts_of_a_chunk_do_not_mix(spark, least):
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(TEXTS)], "doc_id long, text string").coalesce(1)
+    for r in runs.find_runs(docs, least).collect():
+        words = TEXTS[r.doc_id]
+        want = brute(words, least)
+        assert ([tuple(x) for x in r.runs], r.n_words, r.collapsed) == (want, len(words), left(words, want))
+
+
+def test_long_texts_are_appended_in_batches(spark, monkeypatch):
+    monkeypatch.setattr(runs, "BATCH", 100)
+    monkeypatch.setattr(runs, "HASHED", 300)
+    rng = random.Random(2)
+    words = [rng.choice(["uno", "dos", "tres", "é"]) for _ in range(700)]
+    words = words + words[:450] * 3 + thue_morse(300) + words
+    data, offsets = (np.frombuffer(" ".join(words).encode(), np.uint8), np.array([0, len(" ".join(words).encode())]))
+    *_, found = runs.runs_of(data, offsets)
+    assert [(a, b - a, q) for a, b, q in found.tolist()] == brute(words)
+
+
+def test_odd_rows(odd_docs, no_docs):
+    got = sorted((r.doc_id is None, r.doc_id or 0, r.n_words, [tuple(x) for x in r.runs], r.collapsed) for r in runs.find_runs(odd_docs).collect())
+    want = []
+    for d in odd_docs.collect():
+        words = re.findall(r"[^\x20\x09-\x0D]+", d.text or "")
+        found = [(0, len(words), 5)] if len(words) > 1000 else brute(words)
+        want.append((d.doc_id is None, d.doc_id or 0, len(words), found, left(words, found)))
+    assert got == sorted(want)
+    assert runs.find_runs(no_docs).collect() == []
+
+
+def planted(doc_id, text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", text or "")
+    n, h = len(words), zlib.crc32(str(doc_id).encode())
+    if h % 10 or not n:
+        return words
+    g = h // 10
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return [words[i] if i < a else words[a + (i - a) % p] for i in range(n)]
+
+
+def test_the_query(spark, sf_dir, sf_docs):
+    rows = {r.doc_id: r for r in queries.op11_dyadic_squares(spark, sf_dir).collect()}
+    texts = {r.doc_id: r.text for r in sf_docs.collect()}
+    assert rows.keys() == texts.keys()
+    seen = 0
+    for doc_id, text in texts.items():
+        words, r = planted(doc_id, text), rows[doc_id]
+        if len(words) > 3000:
+            continue  # the search over all periods takes too long; appended words are held to it above
+        found = brute(words)
+        seen += len(found)
+        best = min(found, key=lambda x: (-x[1], x[0], x[2]), default=(None, None, None))
+        assert (r.n_runs, r.start, r.length, r.period) == (len(found), *best)
+        assert r.exponent_milli == (1000 * best[1] // best[2] if found else None)
+        assert r.runs_sha256 == hashlib.sha256("".join(f"{a},{n},{q}\n" for a, n, q in found).encode()).hexdigest()
+        assert r.collapsed_sha256 == hashlib.sha256(left(words, found).encode()).hexdigest()
+    assert seen > 15
+
+
+def test_planting_leaves_other_rows(spark, odd_docs):
+    rows = queries.with_planted_periods(odd_docs.select("doc_id", "text")).collect()
+    want = [(r.doc_id, planted(r.doc_id, r.text) if r.doc_id is not None else re.findall(r"[^\x20\x09-\x0D]+", r.text or "")) for r in odd_docs.collect()]
+    got = [(r.doc_id, re.findall(r"[^\x20\x09-\x0D]+", r.text or "")) for r in rows]
+    assert sorted(map(str, got)) == sorted(map(str, want))
