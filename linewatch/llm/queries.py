@@ -8,8 +8,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, staged
 from . import language, repair
+from .alignment import align, with_link_counts
 from .bpe import encode_decode
 from .chat import format_chats, read_chats
 from .common import id_text_crc
@@ -130,6 +131,13 @@ def op12_schema_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_fragment_monoid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    aligned = align(table(spark, sf_dir, "documents", "doc_id", "text"))
+    digest = F.when(F.col("n_a") == 0, "").otherwise(F.sha2(F.col("groups").cast("binary"), 256))
+    found = with_link_counts(staged(aligned.withColumn("groups", digest), compression="zstd"))
+    return found.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", F.col("groups").alias("groups_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_curve_packing": op1_curve_packing,
     "op2_simhash_gray": op2_simhash_gray,
@@ -143,6 +151,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_speculative_bpe": op10_speculative_bpe,
     "op11_dyadic_squares": op11_dyadic_squares,
     "op12_schema_fingerprints": op12_schema_fingerprints,
+    "op13_fragment_monoid": op13_fragment_monoid,
 }
 
 ORACLES: dict[str, str] = {
