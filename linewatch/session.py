@@ -62,6 +62,13 @@ def _own_disk(spark: SparkSession, folder: str) -> bool:
 _STAGED: list[tuple[SparkSession, str]] = []
 
 
+def staging_folder(spark: SparkSession) -> str:
+    """A new folder's path in the shared checkpoint folder; it goes with :func:`drop_staged`."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/staged-{uuid.uuid4().hex}"
+    _STAGED.append((spark, path))
+    return path
+
+
 def staged(*frames: DataFrame, **options: str) -> DataFrame | list[DataFrame]:
     """The frames written once to the shared checkpoint folder and read back.
 
@@ -71,11 +78,9 @@ def staged(*frames: DataFrame, **options: str) -> DataFrame | list[DataFrame]:
     folders go when the interpreter ends, or with :func:`drop_staged`.
     """
     spark = frames[0].sparkSession
-    folder = ensure_checkpoint_dir(spark).rstrip("/")
 
     def write(df: DataFrame) -> DataFrame:
-        path = f"{folder}/staged-{uuid.uuid4().hex}"
-        _STAGED.append((spark, path))
+        path = staging_folder(spark)
         df.write.options(**options).parquet(path)
         return spark.read.schema(df.schema).parquet(path)
 

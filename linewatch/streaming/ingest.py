@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from linewatch.operators.clean import dedupe, newest
+from linewatch.session import staging_folder
 from linewatch.sinks.tables import merge_table
 
 
@@ -33,6 +34,16 @@ def append_stream(
     return writer.toTable(table) if table else writer.start(path)
 
 
+def drained(df: DataFrame) -> DataFrame:
+    """What a stream gives for everything available now, as a batch frame.
+
+    Written to a folder of its own in the shared checkpoint folder, which goes like that of a staged frame.
+    """
+    folder = staging_folder(df.sparkSession)
+    append_stream(df, f"{folder}/marks", path=f"{folder}/rows").awaitTermination()
+    return df.sparkSession.read.schema(df.schema).parquet(f"{folder}/rows")
+
+
 def upsert_stream(
     df: DataFrame,
     checkpoint: str,

@@ -16,6 +16,7 @@ from linewatch.schemas import conform
 from linewatch.session import staged
 from linewatch.sources.lookups import rider_preferences
 from linewatch.sources.topics import envelope
+from linewatch.streaming.ingest import drained
 from linewatch.streaming.parse import parse_forecast, parse_rail, parse_weather
 from testbed import frames as fx
 
@@ -564,6 +565,17 @@ def tumbling_event_counts(spark, sf):
     return windows.tumbling_counts(events, width="1 hour")
 
 
+@query
+def tumbling_event_counts_stream(spark, sf):
+    """The same from a stream of the events, for the windows that its watermark closes."""
+    schema = fx.table(spark, sf, "events").schema
+    # a pattern, since a stream takes no path of a single file
+    events = spark.readStream.schema(schema).parquet(f"{sf}/events.parque[t]").select(
+        F.col("ts").cast("timestamp").alias("event_time"), F.col("event_type").alias("host"), F.col("user_id").alias("ip")
+    )
+    return fx.plain(drained(windows.tumbling_counts(events, width="1 hour", watermark="2 hours")))
+
+
 @query
 def geo_enrich(spark, sf):
     customer = fx.table(spark, sf, "customer")

@@ -519,6 +519,12 @@ ORACLES: dict[str, str] = {
                time_bucket(INTERVAL 1 HOUR, ts) + INTERVAL 1 HOUR AS window_end, event_type AS host,
                count(*) AS event_count, count(DISTINCT user_id) AS unique_ips
         FROM events GROUP BY 1, 2, 3""",
+    "tumbling_event_counts_stream": """
+        SELECT time_bucket(INTERVAL 1 HOUR, ts) AS window_start,
+               time_bucket(INTERVAL 1 HOUR, ts) + INTERVAL 1 HOUR AS window_end, event_type AS host,
+               count(*) AS event_count, count(DISTINCT user_id) AS unique_ips
+        FROM events GROUP BY 1, 2, 3
+        HAVING window_end <= (SELECT max(ts) FROM events) - INTERVAL 2 HOUR""",
     "geo_enrich": """
         SELECT event_id, user_id AS ip, n_name AS country, r_name AS region, c_mktsegment AS city,
                CAST(c_acctbal AS VARCHAR) AS latitude, CAST(c_nationkey AS VARCHAR) AS longitude

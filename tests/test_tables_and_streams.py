@@ -1,5 +1,6 @@
 import json
 import os
+import random
 from datetime import date, datetime
 
 import pytest
@@ -14,7 +15,7 @@ from linewatch.sinks.tables import (
     append_table, create_table, ensure_database, merge_native, merge_table, partition_columns, replace_table,
 )
 from linewatch.sources.topics import read_topic
-from linewatch.streaming.ingest import append_stream, dedupe_stream, upsert_stream
+from linewatch.streaming.ingest import append_stream, dedupe_stream, drained, upsert_stream
 from linewatch.streaming.parse import parse_rail
 
 SCHEMA = {"k": "string", "v": "int", "mark": "string", "day": "date"}
@@ -191,6 +192,35 @@ def test_stream_dedupe_and_windows(spark, tmp_path):
     assert placed.count() == 5 and placed.where("city = 'Dover'").count() == 3
 
 
+def test_streamed_unique_counts_equal_the_batch(spark, tmp_path):
+    """Files in random order, late ones among them, unknown ips and hosts, one hot window."""
+    rng = random.Random(7)
+    source = tmp_path / "in"
+    source.mkdir()
+    schema = "host string, event_time timestamp, ip string"
+    rows = [("hot", f"2024-01-01T03:{rng.randrange(20):02d}:00Z", str(rng.randrange(40))) for _ in range(400)]
+    rows += [(rng.choice(["a", "b", None]), f"2024-01-01T0{rng.randrange(8)}:{rng.randrange(60):02d}:30.5Z", rng.choice(["1", "2", None])) for _ in range(600)]
+    rng.shuffle(rows)
+    for i in range(5):
+        (source / f"{i}.json").write_text("\n".join(json.dumps(dict(zip(("host", "event_time", "ip"), r))) for r in rows[i::5]))
+    (source / "9.json").write_text(json.dumps({"host": "end", "event_time": "2024-01-02T12:00:00Z", "ip": "1"}))
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).json(str(source))
+    counted = tumbling_counts(stream, watermark="12 hours")
+    batch = tumbling_counts(spark.read.schema(schema).json(str(source))).where("host <> 'end' OR host IS NULL")
+
+    def plain(df):
+        return sorted(map(str, df.collect()))
+
+    assert plain(drained(counted)) == plain(batch)
+    exact = {}
+    for host, at, ip in rows:
+        exact.setdefault((host, at[:15]), []).append(ip)
+    want = sorted(map(str, [(host, len(ips), len(set(ips) - {None})) for (host, _), ips in exact.items()]))
+    assert sorted(map(str, map(tuple, batch.select("host", "event_count", "unique_ips").collect()))) == want
+    plan = counted._jdf.queryExecution().toString()
+    assert "approx" not in plan and plan.count("Aggregate [") >= 2
+
+
 def weather(city, minute, sky):
     return {"name": city, "dt": seconds(minute), "main": {"temp": 1.0}, "weather": [{"description": sky}], "wind": {"deg": 5}}
 
