@@ -42,6 +42,7 @@ def arguments(argv: Sequence[str] | None = None) -> argparse.Namespace:
 
     gold = steps.add_parser("gold", help="enrich, measure, collect alerts")
     gold.add_argument("--since", type=date.fromisoformat, help="first day to work on")
+    gold.add_argument("--changes", action="store_true", help="only the days that silver has changed since the last such run")
 
     riders = steps.add_parser("riders", help="refresh the preference snapshot")
     riders.add_argument("--url", required=True, help="JDBC address")
@@ -51,6 +52,7 @@ def arguments(argv: Sequence[str] | None = None) -> argparse.Namespace:
 
     deliveries = steps.add_parser("deliveries", help="log delivery results and mark their alerts")
     deliveries.add_argument("--results", required=True, help="table with notification_id and delivered")
+    deliveries.add_argument("--since", type=date.fromisoformat, help="first day of notifications to look at")
     deliveries.add_argument("--final", action="store_true", help="what has no result yet has failed")
 
     dispatch = steps.add_parser("dispatch", help="draft pending notifications")
@@ -75,14 +77,17 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
     elif args.step == "silver":
         (jobs.run_silver if args.everything else jobs.stream_silver)(spark, at)
     elif args.step == "gold":
-        jobs.run_gold(spark, at, args.since)
+        if args.changes:
+            jobs.run_gold_changes(spark, at)
+        else:
+            jobs.run_gold(spark, at, args.since)
     elif args.step == "riders":
         options = dict(o.split("=", 1) for o in args.option)
         if args.password_conf:
             options["password"] = spark.conf.get(args.password_conf)
         jobs.run_riders(spark, at, read_riders_jdbc(spark, args.url, args.table, **options))
     elif args.step == "deliveries":
-        jobs.record_deliveries(spark, at, spark.table(args.results), args.final)
+        jobs.record_deliveries(spark, at, spark.table(args.results), args.final, args.since)
     else:
         jobs.run_dispatch(spark, at, lookback_days=args.lookback_days)
 

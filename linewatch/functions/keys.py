@@ -20,6 +20,24 @@ def add_key(df: DataFrame, name: str, cols: Sequence[str], time_format: str = KE
     return df.withColumn(name, F.concat_ws("_", *parts))
 
 
+def unique_key(cols: Sequence[str], types: dict[str, str]) -> Column:
+    """The text of several columns in which no two different keys look the same.
+
+    Ordinary parts read as with :func:`add_key`. A separator or backslash inside of a part gets a
+    backslash before it, an unknown part is ``\\N``, and instants show a fraction of a second where they have one.
+    """
+
+    def part(c: str) -> Column:
+        if types[c].startswith("timestamp"):
+            # ends where the fraction has no digit but zeros; the pattern's own dot goes with them
+            text = F.regexp_replace(F.date_format(c, f"{KEY_TIME_FORMAT}.SSSSSS"), r"\.?0+$", "")
+            whole = F.date_format(c, KEY_TIME_FORMAT)
+            return F.when(F.date_format(c, "SSSSSS") == "000000", whole).otherwise(text)
+        return F.regexp_replace(F.col(c).cast("string"), r"([_\\])", r"\\$1")
+
+    return F.concat_ws("_", *[F.coalesce(part(c), F.lit(r"\N")) for c in cols])
+
+
 def plain_code(c: Column) -> Column:
     """A location code without blanks and leading zeros (``' 00123'`` = ``'123'``)."""
     return F.regexp_replace(F.trim(c.cast("string")), r"^0+(?=.)", "")

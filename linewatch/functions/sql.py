@@ -47,7 +47,7 @@ def create_alert_history(
 ) -> None:
     """``name(route, station, day, days)``: latest sent alerts of a route or station."""
     columns = ", ".join(HISTORY_COLUMNS)
-    reach = "notification_status = 'SENT' AND event_date BETWEEN date_add(p_event_date, -p_lookback_days) AND p_event_date"
+    reach = "notification_status = 'SENT' AND event_date BETWEEN date_sub(p_event_date, p_lookback_days) AND p_event_date"
     found = _either(columns, alerts, "route = p_route", "current_station = p_station", reach)
     spark.sql(f"""
         CREATE OR REPLACE {"TEMPORARY " if temporary else ""}FUNCTION {name}(

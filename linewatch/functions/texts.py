@@ -36,6 +36,7 @@ def _place(c: str, fallback: str) -> Column:
     return F.coalesce(F.col(c), F.lit(fallback))
 
 
+# The wording of subjects and messages below.
 def subject_line() -> Column:
     station, route = _place("current_station", "your station"), _place("route", "your")
     minutes = F.col("delay_minutes").cast("string")

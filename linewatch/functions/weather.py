@@ -21,9 +21,12 @@ SEVERITY = [
 # Weather that can plausibly disrupt trains. Wind counts when high,
 # heat and cold when extreme; mild weather never does.
 DISRUPTIVE = (
-    r"rain|drizzle|snow|sleet|\bhail|storm|thunder|\bfog|\bic[ey]\b|freezing|\bgale|squall|tornado|hurricane"
-    r"|\b(high|strong|severe|extreme|violent) winds?\b|\b(extreme|severe|intense) (heat|cold)\b"
+    r"\brain|drizzle|\bsnow|\bsleet|\bhail|storm|thunder|\bfog|\bic[ey]\b|freezing|\bgale|squall|tornado|hurricane|blizzard"
+    r"|\b(high|strong|severe|extreme|violent) winds?\b|\b(extreme|severe|intense) (heat|cold|temperatures?)\b"
+    r"|\bextremely (hot|cold)\b|\bheat ?waves?\b"
 )
+# What is said to be absent disrupts nothing: "no rain", "without snow or fog".
+ABSENT = r"\b(?:no|without)(?: (?:more|further|heavy|any))? \w+(?: (?:or|nor) \w+)*"
 
 
 def severity(description: Column) -> Column:
@@ -39,7 +42,8 @@ def severity(description: Column) -> Column:
 
 
 def is_disruptive(description: Column) -> Column:
-    return F.coalesce(F.lower(description).rlike(DISRUPTIVE), F.lit(False))
+    present = F.regexp_replace(F.lower(description), ABSENT, "")
+    return F.coalesce(present.rlike(DISRUPTIVE), F.lit(False))
 
 
 def trend(current: Column, forecast: Column) -> Column:

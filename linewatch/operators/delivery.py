@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -23,8 +25,10 @@ def notification_id(event: str = "event_id", user: str = "user_id") -> Column:
     return F.sha2(F.concat_ws("_", F.col(event), F.col(user)), 256)
 
 
-def draft_notifications(alerts: DataFrame, prefs: DataFrame, recent: DataFrame | None = None) -> DataFrame:
-    """``event_id, user_id, email, subject, message`` for every matched rider.
+def draft_notifications(
+    alerts: DataFrame, prefs: DataFrame, recent: DataFrame | None = None, carry: Sequence[str] = ()
+) -> DataFrame:
+    """``event_id, user_id, email, subject, message`` for every matched rider, and the alert columns to ``carry``.
 
     The text depends on the alert alone: it is written once per alert and rides
     along to the riders, so the many matched rows are not joined again.
@@ -33,13 +37,18 @@ def draft_notifications(alerts: DataFrame, prefs: DataFrame, recent: DataFrame |
         told = alerts.withColumn("recent_alerts", F.lit(0).cast("bigint"))
     else:
         told = alerts.join(recent, "event_id", "left")
-    return match_riders(add_draft(told), prefs, carry=["subject", "message"]).select(
-        "event_id", "user_id", "email", "subject", "message"
+    return match_riders(add_draft(told), prefs, carry=["subject", "message", *carry]).select(
+        "event_id", "user_id", "email", "subject", "message", *carry
     )
 
 
+def _day(df: DataFrame) -> list[str]:
+    """The day that a row belongs to, where it is known: logs are laid out by it."""
+    return ["event_date"] if "event_date" in df.columns else []
+
+
 def outbox_rows(drafts: DataFrame, at: Column | None = None) -> DataFrame:
-    """Rows for the dispatch outbox."""
+    """Rows for the dispatch outbox, with their ``event_date`` if the drafts have it."""
     return drafts.select(
         notification_id().alias("notification_id"),
         "event_id",
@@ -48,6 +57,7 @@ def outbox_rows(drafts: DataFrame, at: Column | None = None) -> DataFrame:
         "subject",
         "message",
         (F.current_timestamp() if at is None else at).alias("recorded_at"),
+        *_day(drafts),
     )
 
 
@@ -58,6 +68,26 @@ def cursor_rows(processed: DataFrame, at: Column | None = None) -> DataFrame:
     ).dropDuplicates(["event_id"])
 
 
+def cursor_days(processed: DataFrame, at: Column | None = None) -> DataFrame:
+    """:func:`cursor_rows` with the alerts' ``event_date``."""
+    return processed.groupBy("event_id").agg(
+        F.max(F.current_timestamp() if at is None else at).alias("dispatched_at"), F.max("event_date").alias("event_date")
+    )
+
+
+def outcomes(attempts: DataFrame) -> DataFrame:
+    """``notification_id, delivered, attempts, attempted_at`` from every try to deliver.
+
+    A notification is delivered once any try was, so tries may come in any order and
+    split over calls, and a repeated one changes nothing but ``attempts``. A try without a result failed.
+    """
+    return attempts.groupBy("notification_id").agg(
+        F.max(F.coalesce("delivered", F.lit(False))).alias("delivered"),
+        F.count(F.lit(1)).alias("attempts"),
+        F.max("attempted_at").alias("attempted_at"),
+    )
+
+
 def extract_drafts(traces: DataFrame) -> DataFrame:
     """Drafts per event from recorded responses (``trace_ts``, ``response`` JSON).
 
@@ -99,6 +129,7 @@ def delivery_log(
         "message",
         F.when(F.col("_delivered"), "SENT").otherwise("FAILED").alias("delivery_status"),
         (F.current_timestamp() if at is None else at).alias("created_at"),
+        *_day(outbox),
     )
 
 

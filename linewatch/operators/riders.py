@@ -31,15 +31,22 @@ def pending(
     cursor: DataFrame,
     as_of: Column | None = None,
     lookback_days: int = PENDING_DAYS,
+    large_cursor: bool = False,
 ) -> DataFrame:
     """Disrupted alerts of the last days whose ``event_id`` is not in ``cursor``.
 
     The date filter is a plain comparison on the partition column, so old
-    partitions are not read.
+    partitions are not read, nor those of a cursor that has its alerts' ``event_date``. With ``large_cursor``
+    only its rows of the alerts in question go on, by a semi join that Spark may turn into a
+    Bloom filter on the cursor's scan (it puts none on an anti join).
     """
     today = F.current_date() if as_of is None else as_of
-    recent = alerts.where((F.col("event_date") >= F.date_sub(today, lookback_days)) & is_disrupted())
-    return recent.join(cursor.select("event_id"), "event_id", "left_anti").select(alerts.columns)
+    in_reach = F.col("event_date") >= F.date_sub(today, lookback_days)
+    recent = alerts.where(in_reach & is_disrupted())
+    seen = (cursor.where(in_reach) if "event_date" in cursor.columns else cursor).select("event_id")
+    if large_cursor:
+        seen = seen.join(recent.select("event_id"), "event_id", "left_semi")
+    return recent.join(seen, "event_id", "left_anti").select(alerts.columns)
 
 
 def match_riders(alerts: DataFrame, prefs: DataFrame, carry: Sequence[str] = ()) -> DataFrame:

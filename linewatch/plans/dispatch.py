@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 
-from linewatch.operators.delivery import cursor_rows, draft_notifications, outbox_rows
+from linewatch.operators.delivery import cursor_days, cursor_rows, draft_notifications, outbox_rows
 from linewatch.operators.riders import HISTORY_DAYS, PENDING_DAYS, pending, recent_alert_counts
 
 
@@ -21,6 +21,15 @@ def notify(
     return outbox_rows(drafts, at), cursor_rows(waiting, at)
 
 
+def notify_by_day(
+    waiting: DataFrame, prefs: DataFrame, log: DataFrame, history_days: int = HISTORY_DAYS, at: Column | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """:func:`notify`, each row with its alert's ``event_date``."""
+    recent = recent_alert_counts(waiting, log, history_days)
+    drafts = draft_notifications(waiting, prefs, recent, carry=["event_date"])
+    return outbox_rows(drafts, at), cursor_days(waiting, at)
+
+
 def dispatch(
     alerts: DataFrame,
     prefs: DataFrame,

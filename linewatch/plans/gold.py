@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from linewatch.functions.calendar import add_calendar, add_disruption_flags
-from linewatch.operators.clean import dedupe, newest
 from linewatch.operators.reliability import reliability_metrics
 from linewatch.operators.temporal import asof_join
 from linewatch.plans.silver import zoned_as
@@ -36,17 +35,14 @@ def _prefixed(weather: DataFrame, ts: str, ts_name: str, prefix: str) -> DataFra
     )
 
 
-def _one_per_event(trains: DataFrame) -> DataFrame:
-    """Silver keeps one row per natural key; different keys may still spell the same id."""
-    return dedupe(trains, ["event_id"], newest("actual_timestamp", "train_id", "loc_stanox"))
+def with_current_weather(trains: DataFrame, weather: DataFrame) -> DataFrame:
+    """Each event with the newest observation of its city, calendar and flags.
 
-
-def with_current_weather(trains: DataFrame, weather: DataFrame, unique_events: bool = False) -> DataFrame:
-    """Each event with the newest observation of its city, calendar and flags."""
-    events = trains if unique_events else _one_per_event(trains)
+    ``trains`` has one row per event, as silver has.
+    """
     seen = _prefixed(weather, "weather_timestamp", "current_weather_timestamp", "current_")
     joined = asof_join(
-        events, seen, ["city_name"], "actual_timestamp", "current_weather_timestamp", WEATHER_REACH,
+        trains, seen, ["city_name"], "actual_timestamp", "current_weather_timestamp", WEATHER_REACH,
         right_unique=True, sub_second=False, instants=trains,
     )
     flagged = add_disruption_flags(add_calendar(joined, "actual_timestamp"))
@@ -56,10 +52,9 @@ def with_current_weather(trains: DataFrame, weather: DataFrame, unique_events: b
     return conform(stamped, zoned_as(trains, "actual_timestamp", TABLES["gold_weather_train"]))
 
 
-def with_forecast(trains: DataFrame, forecast: DataFrame, unique_events: bool = False) -> DataFrame:
-    """Each event with the first forecast of its city from the event on."""
-    narrow = trains.select("event_id", "train_id", "city_name", "actual_timestamp", "loc_stanox")
-    events = narrow if unique_events else _one_per_event(narrow)
+def with_forecast(trains: DataFrame, forecast: DataFrame) -> DataFrame:
+    """Each event of ``trains`` (one row per event) with the first forecast of its city from the event on."""
+    events = trains.select("event_id", "train_id", "city_name", "actual_timestamp")
     ahead = _prefixed(forecast, "forecast_timestamp", "forecast_weather_timestamp", "forecast_")
     joined = asof_join(
         events, ahead, ["city_name"], "actual_timestamp", "forecast_weather_timestamp", FORECAST_REACH,

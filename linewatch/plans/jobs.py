@@ -5,7 +5,7 @@ Every job takes the session and a :class:`Layout`; nothing happens on import.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 from datetime import date, timedelta
 
@@ -14,13 +14,14 @@ from pyspark.sql import functions as F
 
 from linewatch.functions.sql import create_alert_history, create_matching_preferences
 from linewatch.operators.context import alert_context
-from linewatch.operators.delivery import delivery_log, raise_on_failure
-from linewatch.operators.riders import PENDING_DAYS, pending
+from linewatch.operators.delivery import delivery_log, outcomes, raise_on_failure
+from linewatch.operators.riders import HISTORY_DAYS, PENDING_DAYS, pending
 from linewatch.operators.upsert import mark_notified
 from linewatch.plans import gold, silver
-from linewatch.plans.dispatch import notify
+from linewatch.plans.dispatch import notify_by_day
 from linewatch.schemas import CLUSTERS, KEYS, PARTITIONS, TABLES
 from linewatch.session import ensure_checkpoint_dir
+from linewatch.sinks import ledger
 from linewatch.sinks.tables import (
     append_table, create_table, ensure_database, merge_table, replace_partitions, replace_table,
 )
@@ -67,6 +68,11 @@ def run_bronze(spark: SparkSession, at: Layout, topics: Mapping[str, DataFrame])
         query.awaitTermination()
 
 
+def _noting(spark: SparkSession, at: Layout, table: str) -> Callable[[list[tuple]], None]:
+    """Notes the days of ``table`` that a merge is about to change."""
+    return lambda values: ledger.note_days(spark, at.name("touched_days"), table, [v[0] for v in values])
+
+
 def run_silver(spark: SparkSession, at: Layout) -> None:
     rail = silver.train_events(
         spark.table(at.name("rail_bronze")), read_stations(spark, at.lookups), read_routes(spark, at.lookups), ordered=True
@@ -74,7 +80,7 @@ def run_silver(spark: SparkSession, at: Layout) -> None:
     weather = silver.weather_current(spark.table(at.name("weather_bronze")), ordered=True)
     forecast = silver.weather_forecast(spark.table(at.name("forecast_bronze")), ordered=True)
     for table, rows in zip(SILVER, (rail, weather, forecast)):
-        merge_table(rows, at.name(table), KEYS[table], newer_by=silver.ORDER_COLUMN)
+        merge_table(rows, at.name(table), KEYS[table], newer_by=silver.ORDER_COLUMN, touching=_noting(spark, at, table))
 
 
 def stream_silver(spark: SparkSession, at: Layout) -> None:
@@ -82,7 +88,8 @@ def stream_silver(spark: SparkSession, at: Layout) -> None:
 
     The same cleaning per micro-batch, upserted by key, so corrected messages replace
     what was there unless the broker had that later, and the cost follows the new
-    rows alone. Batches in any order give what one batch would.
+    rows alone. Batches in any order give what one batch would, and one that was merged before a
+    break is not merged again.
     """
     stations, routes = read_stations(spark, at.lookups), read_routes(spark, at.lookups)
     steps = {
@@ -99,31 +106,40 @@ def stream_silver(spark: SparkSession, at: Layout) -> None:
             KEYS[table],
             prepare=step,
             newer_by=silver.ORDER_COLUMN,
+            touching=_noting(spark, at, table),
+            merged=at.name("merged_batches"),
         ).awaitTermination()
 
 
-def _from_day(df: DataFrame, since: date | None, margin: int = 0) -> DataFrame:
-    """Rows of the partitions from ``since`` (less ``margin`` days) on, and those without a day."""
-    if since is None:
-        return df
-    first = F.lit(since - timedelta(days=margin))
-    return df.where((F.col("event_date") >= first) | F.col("event_date").isNull())
+Days = Callable[[str, int, int], Column]
 
 
-def _from_metric_day(df: DataFrame, since: date | None) -> DataFrame:
-    """The metrics of the days that a run from ``since`` on can ask for."""
-    return df if since is None else df.where((F.col("date") >= F.lit(since)) | F.col("date").isNull())
+def _since(first: date) -> Days:
+    """Rows of the partitions from ``first`` (less a margin of days) on, and those without a day."""
+    return lambda c, before, after: (F.col(c) >= F.lit(first - timedelta(days=before))) | F.col(c).isNull()
 
 
-def run_gold(spark: SparkSession, at: Layout, since: date | None = None) -> None:
-    """Enrichment, metrics and alerts; with ``since`` only for that day and later.
+def _among(days: set[date | None]) -> Days:
+    """Rows of the partitions of ``days`` and as many days beside them as the margins say."""
+
+    def inside(c: str, before: int, after: int) -> Column:
+        wanted = {d + timedelta(days=i) for d in days if d is not None for i in range(-before, after + 1)}
+        hit = F.col(c).isin(sorted(wanted)) if wanted else F.lit(False)
+        return hit | F.col(c).isNull() if None in days else hit
+
+    return inside
+
+
+def _gold(spark: SparkSession, at: Layout, days: Days | None) -> None:
+    """Gold of the chosen days, or of all."""
+
+    def read(table: str, day: str = "event_date", before: int = 0, after: int = 0) -> DataFrame:
+        rows = spark.table(at.name(table))
+        return rows if days is None else rows.where(days(day, before, after))
 
-    Every gold row depends on its own day, and on weather at most hours away, so
-    a run over the newest days leaves the older partitions as they are.
-    """
     trains, seen, ahead = (
-        _from_day(spark.table(at.name(table)), since, margin).drop(silver.ORDER_COLUMN)
-        for table, margin in zip(SILVER, (0, 1, 0))
+        read(table, before=before, after=after).drop(silver.ORDER_COLUMN)
+        for table, (before, after) in zip(SILVER, ((0, 0), (1, 0), (0, 1)))
     )
     for table, rows in (
         ("gold_weather_train", gold.with_current_weather(trains, seen)),
@@ -134,19 +150,51 @@ def run_gold(spark: SparkSession, at: Layout, since: date | None = None) -> None
         ("gold_station_reliability", gold.station_reliability(trains)),
         ("gold_route_reliability", gold.route_reliability(trains)),
     ):
-        if since is None:
+        if days is None:
             replace_table(rows, at.name(table), PARTITIONS[table])
         else:
             replace_partitions(rows, at.name(table))
     context = alert_context(
-        _from_day(spark.table(at.name("gold_weather_train")), since),
-        _from_day(spark.table(at.name("gold_forecast_train")), since),
-        _from_metric_day(spark.table(at.name("gold_route_reliability")), since),
-        _from_metric_day(spark.table(at.name("gold_station_reliability")), since),
+        read("gold_weather_train"),
+        read("gold_forecast_train"),
+        read("gold_route_reliability", "date"),
+        read("gold_station_reliability", "date"),
     ).withColumn("ingest_timestamp", F.current_timestamp())
     merge_table(context, at.name("alerts"), KEYS["alerts"], preserve=ALERT_MARKS)
 
 
+def run_gold(spark: SparkSession, at: Layout, since: date | None = None) -> None:
+    """Enrichment, metrics and alerts; with ``since`` only for that day and later.
+
+    Every gold row depends on its own day, and on weather at most hours away, so
+    a run over the newest days leaves the older partitions as they are.
+    """
+    _gold(spark, at, None if since is None else _since(since))
+
+
+# A change of weather reaches movements up to a day later, one of forecasts those up to a day earlier.
+_REACHES = {"rail_silver": (0,), "weather_silver": (0, 1), "forecast_silver": (0, -1)}
+
+
+def run_gold_changes(spark: SparkSession, at: Layout) -> set[date | None]:
+    """Gold of exactly the days that silver has changed since the last call, however old they are.
+
+    Returns them. The days are those that silver's merges have noted, and count as done when all of gold is
+    written, so a run that breaks off is made up for by the next. Silver and gold take turns.
+    """
+    for table in ("touched_days", "consumed_days"):
+        spark.catalog.refreshTable(at.name(table))
+    notes = ledger.open_days(spark.table(at.name("touched_days")), spark.table(at.name("consumed_days")), "gold", SILVER)
+    ensure_checkpoint_dir(spark)
+    notes = notes.checkpoint()  # a merge may note more while this runs
+    found = notes.select("source", "event_date").distinct().collect()  # a row for each table and day
+    days = {r.event_date and r.event_date + timedelta(days=i) for r in found for i in _REACHES[r.source]}
+    if days:
+        _gold(spark, at, _among(days))
+        ledger.close_days(notes, at.name("consumed_days"), "gold")
+    return days
+
+
 def run_riders(spark: SparkSession, at: Layout, prefs: DataFrame) -> None:
     """Refresh the preference snapshot and the two SQL functions."""
     replace_table(prefs, at.name("rider_preferences"))
@@ -157,35 +205,67 @@ def run_riders(spark: SparkSession, at: Layout, prefs: DataFrame) -> None:
 def run_dispatch(
     spark: SparkSession, at: Layout, as_of: Column | None = None, lookback_days: int = PENDING_DAYS
 ) -> None:
-    """Draft pending notifications, then move the cursor past their alerts."""
+    """Draft pending notifications, then move the cursor past their alerts.
+
+    Alerts, cursor and outbox are read for the days that can matter: those looked back on, and for
+    the history of an alert the days before. An alert that concerns no rider is marked at once.
+    """
     ensure_checkpoint_dir(spark)
+    today = F.current_date() if as_of is None else as_of
     alerts = spark.table(at.name("alerts"))
+
+    def recent(df: DataFrame, more: int = 0) -> DataFrame:
+        return df.where(F.col("event_date") >= F.date_sub(today, lookback_days + more))
+
     # Settled once, so that outbox and cursor speak of the same alerts.
-    waiting = pending(alerts, spark.table(at.name("dispatch_cursor")), as_of, lookback_days).checkpoint()
-    outbox, cursor = notify(waiting, spark.table(at.name("rider_preferences")), alerts)
-    known = spark.table(at.name("dispatch_outbox")).select("notification_id")
+    waiting = pending(alerts, spark.table(at.name("dispatch_cursor")), today, lookback_days, large_cursor=True).checkpoint()
+    outbox, cursor = notify_by_day(waiting, spark.table(at.name("rider_preferences")), recent(alerts, HISTORY_DAYS))
+    known = recent(spark.table(at.name("dispatch_outbox"))).select("notification_id")
     append_table(outbox.join(known, "notification_id", "left_anti"), at.name("dispatch_outbox"))
+    spark.catalog.refreshTable(at.name("dispatch_outbox"))
+    told = recent(spark.table(at.name("dispatch_outbox"))).select("event_id")
+    unheard = waiting.where("notification_status IS NULL").join(told, "event_id", "left_anti")
+    merge_table(mark_notified(unheard, unheard), at.name("alerts"), KEYS["alerts"])
     append_table(cursor, at.name("dispatch_cursor"))
 
 
-def record_deliveries(spark: SparkSession, at: Layout, results: DataFrame, final: bool = False) -> None:
+def record_deliveries(
+    spark: SparkSession, at: Layout, results: DataFrame, final: bool = False, since: date | None = None
+) -> None:
     """Log delivery results (``notification_id, delivered``), mark alerts as sent,
-    then raise if any delivery failed.
+    then raise if any of these notifications is not delivered by now.
 
-    Results may come in parts: notifications without one wait for a later call, and an
+    Each result is a try; the log holds for each notification the outcome of all its tries, so results in any
+    order and split over calls end as one call would. Notifications without one wait for a later call, and an
     alert is marked once none of its notifications waits. ``final`` says that no
-    more will come, so that what waits has failed.
+    more will come, so that what waits has failed; a result that comes all the same still counts.
+
+    Results may carry the outbox's ``event_date``: then only days from their first on are read, or from
+    ``since`` on, if that is earlier. Without either all days are.
     """
     ensure_checkpoint_dir(spark)
-    outbox = spark.table(at.name("dispatch_outbox"))
-    logged = spark.table(at.name("delivery_log")).select("notification_id")
-    fresh = outbox.join(logged, "notification_id", "left_anti")
-    log = delivery_log(fresh, results, missing_fails=final).checkpoint()
-    append_table(log, at.name("delivery_log"))
-    spark.catalog.refreshTable(at.name("delivery_log"))
-    waiting = outbox.join(spark.table(at.name("delivery_log")).select("notification_id"), "notification_id", "left_anti")
-    alerts = spark.table(at.name("alerts"))
-    done = spark.table(at.name("dispatch_cursor")).select("event_id").join(waiting.select("event_id"), "event_id", "left_anti")
-    open_alerts = alerts.where("notification_status IS NULL").join(done, "event_id", "left_semi")
+    if "event_date" in results.columns:
+        oldest = results.agg(F.min("event_date")).first()[0]
+        since = min([d for d in (since, oldest) if d is not None], default=None)
+
+    def read(table: str) -> DataFrame:
+        spark.catalog.refreshTable(at.name(table))
+        rows = spark.table(at.name(table))
+        return rows if since is None else rows.where(F.col("event_date") >= F.lit(since))
+
+    outbox = read("dispatch_outbox")
+    tried_at = F.col("attempted_at").cast("timestamp") if "attempted_at" in results.columns else F.current_timestamp()
+    tries = results.select("notification_id", "delivered", tried_at.alias("attempted_at"))
+    tries = tries.join(outbox.select("notification_id", "event_date"), "notification_id").checkpoint()
+    append_table(tries, at.name("delivery_attempts"))
+    now = outbox.join(tries.select("notification_id"), "notification_id", "left_semi")
+    if final:
+        logged = read("delivery_log").select("notification_id")
+        now = now.unionByName(outbox.join(logged, "notification_id", "left_anti")).dropDuplicates(["notification_id"])
+    log = delivery_log(now, outcomes(read("delivery_attempts")), missing_fails=final).checkpoint()
+    merge_table(log, at.name("delivery_log"), KEYS["delivery_log"])
+    waiting = outbox.join(read("delivery_log").select("notification_id"), "notification_id", "left_anti")
+    done = read("dispatch_cursor").select("event_id").join(waiting.select("event_id"), "event_id", "left_anti")
+    open_alerts = read("alerts").where("notification_status IS NULL").join(done, "event_id", "left_semi")
     merge_table(mark_notified(open_alerts, done), at.name("alerts"), KEYS["alerts"])
     raise_on_failure(log)

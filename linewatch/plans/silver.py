@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linewatch.functions.keys import add_key
+from linewatch.functions.keys import plain_code, unique_key
 from linewatch.operators.clean import dedupe, newest, require
 from linewatch.operators.lookup import lookup, station_routes
 from linewatch.schemas import KEYS, TABLES, conform
@@ -51,6 +51,16 @@ MOVEMENT_TYPES = {
 }
 
 
+def _keyed(df: DataFrame, keys: list[str]) -> DataFrame:
+    return df.withColumn("event_id", unique_key(keys, dict(df.dtypes)))
+
+
+def _at_stations(bronze: DataFrame, here: DataFrame) -> DataFrame:
+    """Messages from stations that ``here`` knows; the others need not be sorted out later."""
+    codes = here.select(plain_code(F.col("code")).alias("_code")).distinct()
+    return bronze.join(codes, plain_code(F.col("loc_stanox")) == F.col("_code"), "left_semi")
+
+
 def clean_movements(bronze: DataFrame, ordered: bool = False) -> DataFrame:
     """Typed movements with known train and location, one per natural key."""
     kept = _latest_message(bronze, KEYS["rail_silver"], list(MOVEMENT_TYPES))
@@ -66,16 +76,17 @@ ORDER = {ORDER_COLUMN: "timestamp"}
 def train_events(bronze: DataFrame, stations: DataFrame, routes: DataFrame, ordered: bool = False) -> DataFrame:
     """Rail silver. Movements at stations without a known route and city are left out.
 
-    ``ordered`` keeps the broker's time as a last column.
+    They leave before messages are sorted for the last one per key: the station is part of the key, so the order
+    of the two steps changes no row. ``ordered`` keeps the broker's time as a last column.
     """
-    moves = clean_movements(bronze, ordered)
     here = station_routes(stations, routes)
+    moves = clean_movements(_at_stations(bronze, here), ordered)
     placed = lookup(
         moves, here, "loc_stanox", "code",
         {"current_station_name": "name", "route": "route", "city_name": "city"}, "inner",
     )
     towards = lookup(placed, stations, "next_report_stanox", "STANOX_NO", {"next_station_name": "FULL_NAME"})
-    keyed = add_key(towards, "event_id", KEYS["rail_silver"]).withColumns(
+    keyed = _keyed(towards, KEYS["rail_silver"]).withColumns(
         {
             "event_date": F.to_date("actual_timestamp"),
             "event_hour": F.hour("actual_timestamp"),
@@ -89,7 +100,7 @@ def train_events(bronze: DataFrame, stations: DataFrame, routes: DataFrame, orde
 def _weather(bronze: DataFrame, ts: str, schema: dict[str, str]) -> DataFrame:
     keys = ["city_name", ts]
     kept = _latest_message(bronze, keys, [c for c in schema if c in bronze.columns and c not in ORDER])
-    keyed = add_key(kept, "event_id", keys).withColumns({"event_date": F.to_date(ts), "event_hour": F.hour(ts)})
+    keyed = _keyed(kept, keys).withColumns({"event_date": F.to_date(ts), "event_hour": F.hour(ts)})
     return conform(keyed, zoned_as(bronze, ts, schema))
 
 

@@ -262,10 +262,12 @@ TABLES: dict[str, dict[str, str]] = {
         "message": "string",
         "delivery_status": "string",
         "created_at": "timestamp",
+        "event_date": "date",
     },
     "dispatch_cursor": {
         "event_id": "string",
         "dispatched_at": "timestamp",
+        "event_date": "date",
     },
     "dispatch_outbox": {
         "notification_id": "string",
@@ -275,6 +277,32 @@ TABLES: dict[str, dict[str, str]] = {
         "subject": "string",
         "message": "string",
         "recorded_at": "timestamp",
+        "event_date": "date",
+    },
+    # Every try to deliver a notification; the log holds the outcome of all tries.
+    "delivery_attempts": {
+        "notification_id": "string",
+        "delivered": "boolean",
+        "attempted_at": "timestamp",
+        "event_date": "date",
+    },
+    # Days that merges are about to change, and what has dealt with them.
+    "touched_days": {
+        "source": "string",
+        "event_date": "date",
+        "batch": "string",
+        "touched_at": "timestamp",
+    },
+    "consumed_days": {
+        "consumer": "string",
+        "batch": "string",
+        "consumed_at": "timestamp",
+    },
+    # Micro-batches of streams that are merged.
+    "merged_batches": {
+        "stream": "string",
+        "batch": "bigint",
+        "merged_at": "timestamp",
     },
     "rider_preferences": {
         "user_id": "string",
@@ -301,6 +329,11 @@ PARTITIONS = {
     "gold_station_reliability": ["date"],
     "gold_route_reliability": ["date"],
     "alerts": ["event_date"],
+    # A notification belongs to its alert's day, so jobs read the days they look back on.
+    "dispatch_cursor": ["event_date"],
+    "dispatch_outbox": ["event_date"],
+    "delivery_attempts": ["event_date"],
+    "delivery_log": ["event_date"],
 }
 
 CLUSTERS = {
@@ -316,6 +349,7 @@ KEYS = {
     "gold_weather_train": ["event_id"],
     "gold_forecast_train": ["event_id"],
     "alerts": ["event_id"],
+    "delivery_log": ["notification_id"],
 }
 
 

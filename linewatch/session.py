@@ -92,10 +92,15 @@ def staged(*frames: DataFrame, **options: str) -> DataFrame | list[DataFrame]:
 
 def drop_staged(spark: SparkSession) -> None:
     """Removes what :func:`staged` has written in this session; frames on it can't be read again."""
-    for entry in [e for e in _STAGED if e[0] is spark]:
-        _STAGED.remove(entry)
-        path = spark._jvm.org.apache.hadoop.fs.Path(entry[1])
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    for _, folder in [e for e in _STAGED if e[0] is spark]:
+        drop_folder(spark, folder)
+
+
+def drop_folder(spark: SparkSession, folder: str) -> None:
+    """Removes one folder that :func:`staging_folder` has named."""
+    _STAGED[:] = [e for e in _STAGED if e[1] != folder]
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def _drop_all() -> None:

@@ -7,7 +7,7 @@ partitions a batch touches. Tables of a format that supports MERGE take
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from contextlib import contextmanager
 from functools import reduce
 
@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from linewatch.operators.upsert import upsert
 from linewatch.schemas import conform
-from linewatch.session import ensure_checkpoint_dir
+from linewatch.session import drop_folder, ensure_checkpoint_dir, staging_folder
 
 
 def ensure_database(spark: SparkSession, name: str) -> None:
@@ -66,7 +66,7 @@ def replace_table(df: DataFrame, table: str, partition_by: Sequence[str] = ()) -
 
 
 def replace_partitions(df: DataFrame, table: str, cluster_by: Sequence[str] = ()) -> None:
-    """Overwrite only the partitions that ``df`` has rows for. ``df`` must not read the table.
+    """Overwrite only the partitions that ``df`` has rows for; ``df`` may read them, as they stay until the write is done.
 
     Rows with equal ``cluster_by`` share files, so filters on it skip the others.
     """
@@ -89,25 +89,38 @@ def merge_table(
     partition_is_stable: bool = True,
     cluster_by: Sequence[str] = (),
     newer_by: str | None = None,
+    touching: Callable[[list[tuple]], None] | None = None,
 ) -> None:
     """Upsert ``source`` into a parquet table, rewriting only touched partitions.
 
     ``partition_is_stable`` says that a key never changes its partition. If it
-    may, the partitions that hold a source key now are rewritten as well. What is
-    read is cut off by a reliable checkpoint before the overwrite starts, so a
-    lost executor only repeats tasks.
+    may, the partitions that hold a source key now are rewritten as well. ``touching`` is told the
+    values of the partitions before they change.
+
+    Two writes a merge: the source, which is read several times, is staged once, and
+    the merged partitions go to their table. There they take the place of the old files only when
+    the job is done, so a lost executor only repeats tasks. A table without partitions is
+    overwritten as a whole, and what it will hold is staged before.
     """
     spark = source.sparkSession
     ensure_checkpoint_dir(spark)
     spark.catalog.refreshTable(table)
     target = spark.table(table)
-    source = conform(source, dict(target.dtypes)).checkpoint()
+    source = conform(source, dict(target.dtypes))
     parts = partition_columns(spark, table)
+    folder = staging_folder(spark)
+
+    def settled(df: DataFrame) -> DataFrame:
+        df.write.parquet(folder)
+        return spark.read.schema(df.schema).parquet(folder)
+
     if not parts:
-        merged = upsert(target, source, keys, preserve=preserve, newer_by=newer_by).checkpoint()
+        merged = settled(upsert(target, source, keys, preserve=preserve, newer_by=newer_by))
         _balanced(merged, ()).write.mode("overwrite").insertInto(table)
+        drop_folder(spark, folder)
         return
 
+    source = settled(source)
     touched = source.select(*parts).distinct()
     if not partition_is_stable:
         marks = source.select(*keys)
@@ -115,22 +128,23 @@ def merge_table(
         touched = touched.unionByName(target.join(marks, match, "left_semi").select(*parts).distinct()).distinct()
     # Partition values only: as many as the catalog lists for this table.
     values = [tuple(r) for r in touched.collect()]
-    if not values:
-        return
-    # Column by column: with several this may take in more partitions than touched,
-    # which are then rewritten as they are.
-    inside = F.lit(True)
-    for i, c in enumerate(parts):
-        known = [v for v in {row[i] for row in values} if v is not None]
-        hit = target[c].isin(known)
-        inside = inside & ((hit | target[c].isNull()) if any(row[i] is None for row in values) else hit)
-    merged = upsert(target.where(inside), source, keys, preserve=preserve, newer_by=newer_by).checkpoint()
-    replace_partitions(merged, table, cluster_by)
-    if not partition_is_stable:
-        left = {tuple(r) for r in merged.select(*parts).distinct().collect()}
+    if values:
+        if touching:
+            touching(values)
+        # Column by column: with several this may take in more partitions than touched,
+        # which are then rewritten as they are.
+        inside = F.lit(True)
+        for i, c in enumerate(parts):
+            known = [v for v in {row[i] for row in values} if v is not None]
+            hit = target[c].isin(known)
+            inside = inside & ((hit | target[c].isNull()) if any(row[i] is None for row in values) else hit)
+        merged = upsert(target.where(inside), source, keys, preserve=preserve, newer_by=newer_by)
+        left = values if partition_is_stable else {tuple(r) for r in merged.select(*parts).distinct().collect()}
+        replace_partitions(merged, table, cluster_by)
         for gone in [v for v in values if v not in left and None not in v]:
             spec = ", ".join(f"{c} = {_literal(x)}" for c, x in zip(parts, gone))
             spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({spec})")
+    drop_folder(spark, folder)
 
 
 def merge_native(

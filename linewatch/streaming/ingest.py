@@ -9,6 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from linewatch.operators.clean import dedupe, newest
 from linewatch.session import staging_folder
+from linewatch.sinks import ledger
 from linewatch.sinks.tables import merge_table
 
 
@@ -54,6 +55,8 @@ def upsert_stream(
     preserve: Sequence[str] = (),
     partition_is_stable: bool = True,
     newer_by: str | None = None,
+    touching: Callable[[list[tuple]], None] | None = None,
+    merged: str | None = None,
 ) -> StreamingQuery:
     """Upsert each micro-batch into ``table``.
 
@@ -62,10 +65,16 @@ def upsert_stream(
 
     Within a batch the newest row per key by ``order`` wins; leave ``order`` out
     where ``prepare`` already returns one row per key. Repeating a batch
-    after a failure writes the same rows again, so nothing is counted twice.
+    after a failure writes the same rows again, so nothing is counted twice. With a table ``merged``
+    the batches that were merged are noted there, and one that is asked for again is
+    skipped. ``touching`` is that of :func:`~linewatch.sinks.tables.merge_table`.
     """
 
-    def write(batch: DataFrame, _: int) -> None:
+    def write(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        stream = ledger.stream_id(spark, checkpoint) if merged else ""
+        if merged and ledger.is_merged(spark, merged, stream, number):
+            return
         rows = prepare(batch) if prepare else batch
         merge_table(
             dedupe(rows, keys, newest(*order)) if order else rows,
@@ -74,7 +83,10 @@ def upsert_stream(
             preserve=preserve,
             partition_is_stable=partition_is_stable,
             newer_by=newer_by,
+            touching=touching,
         )
+        if merged:
+            ledger.note_merged(spark, merged, stream, number)
         # Batches run in a session of their own; let the caller's see the new files.
         df.sparkSession.catalog.refreshTable(table)
 
