@@ -41,7 +41,7 @@ def train_daily_status(
     return worst.withColumn("train_status", F.when(on_time, "ON_TIME").otherwise("LATE"))
 
 
-def _percent(part: Column, whole: Column) -> Column:
+def percent(part: Column, whole: Column) -> Column:
     return F.round(F.try_divide(part, whole) * 100, 2)
 
 
@@ -77,6 +77,6 @@ def reliability_metrics(df: DataFrame, dims: Sequence[str], train: str = "train_
             "on_time_trains",
             "late_trains",
             F.round(F.try_divide(F.col("_delay"), F.col("_delays")), 2).alias("avg_delay"),
-            _percent(F.col("on_time_trains"), F.col("scheduled_trains")).alias("reliability_index"),
+            percent(F.col("on_time_trains"), F.col("scheduled_trains")).alias("reliability_index"),
         )
     )

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from linewatch import operators
 from linewatch.functions import calendar, casts, keys, sql, texts, weather
-from linewatch.operators import clean, context, delivery, lookup, reliability, riders, temporal, upsert, windows
+from linewatch.operators import clean, context, delivery, lookup, reliability, riders, temporal, train_sets, upsert, windows
 from linewatch.plans import dispatch, gold, silver
 from linewatch.schemas import conform
 from linewatch.session import staged
@@ -395,6 +395,29 @@ def route_reliability_signed(spark, sf):
     return fx.plain(gold.route_reliability(fx.movement_history(spark, sf), on_time_rule="signed"))
 
 
+def _merged_sets(spark, sf, dims, **options):
+    """Movements in two deliveries, the second of late ones; each is summed up by itself."""
+    moves = fx.movement_history(spark, sf)
+    later = F.col("delay_minutes") >= 40
+    first, second = (train_sets.train_sets(moves.where(w), dims) for w in (~later | later.isNull(), later))
+    return train_sets.metrics_of_sets(train_sets.merge_sets(first, second), dims, **options)
+
+
+@query
+def station_reliability_merged(spark, sf):
+    return _merged_sets(spark, sf, gold.STATION_DIMS)
+
+
+@query
+def route_reliability_merged(spark, sf):
+    return _merged_sets(spark, sf, gold.ROUTE_DIMS)
+
+
+@query
+def route_reliability_merged_signed(spark, sf):
+    return _merged_sets(spark, sf, gold.ROUTE_DIMS, on_time_rule="signed")
+
+
 # --- upserts ----------------------------------------------------------------
 
 @query

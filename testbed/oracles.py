@@ -533,3 +533,7 @@ ORACLES: dict[str, str] = {
 }
 ORACLES["asof_backward_range"] = ORACLES["asof_backward"]
 ORACLES["asof_forward_range"] = ORACLES["asof_forward"]
+# merged from parts, but the same metrics
+for _name in ("station_reliability", "route_reliability"):
+    ORACLES[f"{_name}_merged"] = ORACLES[_name]
+ORACLES["route_reliability_merged_signed"] = ORACLES["route_reliability_signed"]
