@@ -193,6 +193,18 @@ def surrogate_key(spark, sf):
     return keyed.select("event_key", "event_id")
 
 
+@query
+def unique_surrogate_key(spark, sf):
+    """Parts with separators and backslashes in them, and unknown ones."""
+    parts = fx.table(spark, sf, "events").select(
+        "event_id",
+        "ts",
+        F.concat("event_type", F.when(F.col("user_id") % 2 == 0, "_").otherwise("\\")).alias("kind"),
+        F.when(F.col("value") > 20, F.col("user_id")).alias("rider"),
+    )
+    return parts.select("event_id", keys.unique_key(["kind", "ts", "rider"], dict(parts.dtypes)).alias("id"))
+
+
 # --- lookups and silver -----------------------------------------------------
 
 @query
@@ -573,6 +585,19 @@ def delivery_partial(spark, sf):
     return fx.plain(_simple_log(spark, sf, missing_fails=False))
 
 
+@query
+def delivery_outcomes(spark, sf):
+    """Three deliveries of results that contradict each other, folded and logged."""
+    outbox = _simple_outbox(spark, sf)
+    customer = fx.table(spark, sf, "customer").select(F.col("c_custkey").cast("string").alias("user_id"), "c_mktsegment")
+    tried = outbox.select("notification_id", "user_id").join(customer, "user_id")
+    at = lambda day: F.lit(f"2024-02-0{day} 00:00:00").cast("timestamp_ntz").alias("attempted_at")
+    first = tried.select("notification_id", (F.col("c_mktsegment") == "BUILDING").alias("delivered"), at(1))
+    second = tried.where("c_mktsegment <> 'FURNITURE'").select("notification_id", (F.col("c_mktsegment") == "MACHINERY").alias("delivered"), at(3))
+    third = tried.where("c_mktsegment = 'HOUSEHOLD'").select("notification_id", F.lit(None).cast("boolean").alias("delivered"), at(2))
+    return delivery.outcomes(third.unionByName(second).unionByName(first))
+
+
 @query
 def delivery_summary(spark, sf):
     return delivery.delivery_summary(_simple_log(spark, sf))

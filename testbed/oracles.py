@@ -533,6 +533,16 @@ ORACLES: dict[str, str] = {
 }
 ORACLES["asof_backward_range"] = ORACLES["asof_backward"]
 ORACLES["asof_forward_range"] = ORACLES["asof_forward"]
+ORACLES["unique_surrogate_key"] = r"""
+    SELECT event_id, replace(replace(event_type || CASE WHEN user_id % 2 = 0 THEN '_' ELSE '\' END, '\', '\\'), '_', '\_')
+           || '_' || rtrim(rtrim(strftime(ts, '%Y-%m-%d %H:%M:%S.%f'), '0'), '.')
+           || '_' || CASE WHEN value > 20 THEN CAST(user_id AS VARCHAR) ELSE '\N' END AS id
+    FROM events"""
+ORACLES["delivery_outcomes"] = with_ctes("""
+    SELECT notification_id, c_mktsegment IN ('BUILDING', 'MACHINERY') AS delivered,
+           1 + CAST(c_mktsegment <> 'FURNITURE' AS BIGINT) + CAST(c_mktsegment = 'HOUSEHOLD' AS BIGINT) AS attempts,
+           CASE WHEN c_mktsegment <> 'FURNITURE' THEN TIMESTAMP '2024-02-03 00:00:00' ELSE TIMESTAMP '2024-02-01 00:00:00' END AS attempted_at
+    FROM outbox JOIN customer ON user_id = CAST(c_custkey AS VARCHAR)""", "outbox")
 # merged from parts, but the same metrics
 for _name in ("station_reliability", "route_reliability"):
     ORACLES[f"{_name}_merged"] = ORACLES[_name]
