@@ -197,7 +197,8 @@ def format_chats(records: DataFrame, layouts: tuple[Layout, ...] = LAYOUTS, reco
     places and repeated rows keep a fixed order; a null place comes first. A conversation is one row, of any length that
     a row may have; one without turns has an empty text. An empty table gives no row. Other columns may have any name.
     """
-    turns = canonical_turns(records, layouts, record, conversation)
+    # dealt out before the texts are written with their marks, so that each text is shuffled once
+    turns = canonical_turns(records, layouts, record, conversation).repartition("conv_id", "own")
     role, text = _escaped(F.col("role"), IN_ROLE), _escaped(F.col("text"), IN_TEXT)
     head = F.concat(F.lit(OPEN), role, F.lit(COLON))
     turns = turns.select("conv_id", "own", "layout", "place", "role", "text", head.alias("head"), text.alias("body"))
