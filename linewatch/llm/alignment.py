@@ -33,9 +33,10 @@ from .common import bounds, ragged, text_chunks, utf8
 from .tokens import Encoder, PieceTable, byte_letters, tokenizer_path
 from .words import SPACE, Characters, char_kinds
 
+TEXT_BYTES = 400_000  # of texts aligned at once
 PART_BYTES = 1 << 16  # of a long text in one fragment
 FAN = 16  # fragments joined in one task of a round
-CHUNK_PAIRS = 500_000  # distinct pairs of texts, summed, that share a table of pairs
+CHUNK_PAIRS = 300_000  # distinct pairs of texts, summed, that share a table of pairs
 MANY = 256  # links of a group that are listed one by one
 ID_BITS = 20
 BLANK = 0x2581
@@ -341,8 +342,8 @@ class Chunk:
         names = [c.split()[0] for c in ALIGNED.split(", ")]
         table = (None,) * 6 + (self.number, None, distinct, in_docs.astype(np.int32))
         yield pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(table, kinds, strict=True)], names)
-        for a in range(0, len(self.rows), 1000):
-            rows = [(*r, self.number, x, None, None) for r, x in zip(self.rows[a : a + 1000], links[a : a + 1000], strict=True)]
+        for a in range(0, len(self.rows), 200):
+            rows = [(*r, self.number, x, None, None) for r, x in zip(self.rows[a : a + 200], links[a : a + 200], strict=True)]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names)
 
 
@@ -501,7 +502,7 @@ def align(docs: DataFrame, first: str | None = None, second: str | None = None,
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 33
         chunk = Chunk(number)
-        for batch in text_chunks(batches, "text"):
+        for batch in text_chunks(batches, "text", TEXT_BYTES):
             _align_whole(batch.column("text"), batch.column("doc_id").to_pylist(), chunk, first, second)
             if chunk.size >= CHUNK_PAIRS:
                 yield from chunk.batches()
