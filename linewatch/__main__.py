@@ -44,6 +44,9 @@ def arguments(argv: Sequence[str] | None = None) -> argparse.Namespace:
     gold.add_argument("--since", type=date.fromisoformat, help="first day to work on")
     gold.add_argument("--changes", action="store_true", help="only the days that silver has changed since the last such run")
 
+    cluster = steps.add_parser("cluster", help="rewrite settled days in curve order")
+    cluster.add_argument("--day", type=date.fromisoformat, action="append", help="a day to rewrite; all without one")
+
     riders = steps.add_parser("riders", help="refresh the preference snapshot")
     riders.add_argument("--url", required=True, help="JDBC address")
     riders.add_argument("--table", default=RIDER_TABLE)
@@ -81,6 +84,8 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
             jobs.run_gold_changes(spark, at)
         else:
             jobs.run_gold(spark, at, args.since)
+    elif args.step == "cluster":
+        jobs.run_clustering(spark, at, set(args.day) if args.day else None)
     elif args.step == "riders":
         options = dict(o.split("=", 1) for o in args.option)
         if args.password_conf:

@@ -19,9 +19,10 @@ from linewatch.operators.riders import HISTORY_DAYS, PENDING_DAYS, pending
 from linewatch.operators.upsert import mark_notified
 from linewatch.plans import gold, silver
 from linewatch.plans.dispatch import notify_by_day
-from linewatch.schemas import CLUSTERS, KEYS, PARTITIONS, TABLES
+from linewatch.schemas import CLUSTERS, CURVES, KEYS, PARTITIONS, TABLES
 from linewatch.session import ensure_checkpoint_dir
 from linewatch.sinks import ledger
+from linewatch.sinks.layout import cluster_days
 from linewatch.sinks.tables import (
     append_table, create_table, ensure_database, merge_table, replace_partitions, replace_table,
 )
@@ -195,6 +196,15 @@ def run_gold_changes(spark: SparkSession, at: Layout) -> set[date | None]:
     return days
 
 
+def run_clustering(spark: SparkSession, at: Layout, days: set[date | None] | None = None) -> None:
+    """Large files in curve order for the tables that are read by place and hour; of ``days`` or all.
+
+    Merges leave files by day; this is for days that have settled, and changes no row.
+    """
+    for table, columns in CURVES.items():
+        cluster_days(spark, at.name(table), columns, days)
+
+
 def run_riders(spark: SparkSession, at: Layout, prefs: DataFrame) -> None:
     """Refresh the preference snapshot and the two SQL functions."""
     replace_table(prefs, at.name("rider_preferences"))

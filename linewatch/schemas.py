@@ -341,6 +341,13 @@ CLUSTERS = {
     "gold_forecast_train": ["city_name"],
 }
 
+# The columns that queries filter by within a day, from the widest down.
+CURVES = {
+    "rail_silver": ["city_name", "current_station_name", "event_hour"],
+    "gold_weather_train": ["city_name", "current_station_name", "hour_of_day"],
+    "alerts": ["city_name", "current_station", "hour_of_day"],
+}
+
 # What identifies a row.
 KEYS = {
     "rail_silver": ["train_id", "actual_timestamp", "loc_stanox"],

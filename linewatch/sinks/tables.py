@@ -41,7 +41,7 @@ def _balanced(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
 
 
 @contextmanager
-def _dynamic_overwrite(spark: SparkSession) -> Iterator[None]:
+def dynamic_overwrite(spark: SparkSession) -> Iterator[None]:
     key = "spark.sql.sources.partitionOverwriteMode"
     before = spark.conf.get(key)
     spark.conf.set(key, "dynamic")
@@ -73,7 +73,7 @@ def replace_partitions(df: DataFrame, table: str, cluster_by: Sequence[str] = ()
     target = df.sparkSession.table(table)
     parts = partition_columns(df.sparkSession, table)
     rows = _balanced(conform(df, dict(target.dtypes)), [*parts, *cluster_by])
-    with _dynamic_overwrite(df.sparkSession):
+    with dynamic_overwrite(df.sparkSession):
         rows.write.mode("overwrite").insertInto(table)
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from linewatch import operators
 from linewatch.functions import calendar, casts, keys, sql, texts, weather
-from linewatch.operators import clean, context, delivery, lookup, reliability, riders, temporal, train_sets, upsert, windows
+from linewatch.operators import clean, context, delivery, lookup, ranges, reliability, riders, temporal, train_sets, upsert, windows
 from linewatch.plans import dispatch, gold, silver
 from linewatch.schemas import conform
 from linewatch.session import staged
@@ -637,3 +637,20 @@ def geo_enrich(spark, sf):
     )
     events = fx.table(spark, sf, "events").select("event_id", F.col("user_id").alias("ip"))
     return fx.plain(windows.geo_enrich(events, geo))
+
+
+@query
+def locate_by_range(spark, sf):
+    """Ranges that nest and overlap: one for each customer, as wide as the balance, and one for each supplier's block."""
+    customer, supplier = fx.table(spark, sf, "customer"), fx.table(spark, sf, "supplier")
+    own = customer.select(
+        F.col("c_custkey").alias("range_start"),
+        (F.col("c_custkey") + F.floor(F.col("c_acctbal") / 100)).alias("range_end"),
+        F.col("c_name").alias("holder"),
+        F.col("c_mktsegment").alias("kind"),
+    )
+    blocks = supplier.select(
+        (F.col("s_suppkey") * 64).alias("range_start"), (F.col("s_suppkey") * 64 + 63).alias("range_end"), F.col("s_name").alias("holder"), F.lit(None).cast("string").alias("kind")
+    )
+    events = fx.table(spark, sf, "events").select("event_id", (F.col("user_id") * 40 + F.floor("value")).alias("address"))
+    return ranges.locate(events, own.unionByName(blocks), "address", ["holder", "kind"])

@@ -543,6 +543,13 @@ ORACLES["delivery_outcomes"] = with_ctes("""
            1 + CAST(c_mktsegment <> 'FURNITURE' AS BIGINT) + CAST(c_mktsegment = 'HOUSEHOLD' AS BIGINT) AS attempts,
            CASE WHEN c_mktsegment <> 'FURNITURE' THEN TIMESTAMP '2024-02-03 00:00:00' ELSE TIMESTAMP '2024-02-01 00:00:00' END AS attempted_at
     FROM outbox JOIN customer ON user_id = CAST(c_custkey AS VARCHAR)""", "outbox")
+ORACLES["locate_by_range"] = """
+    WITH r AS (
+        SELECT c_custkey AS a, c_custkey + CAST(floor(c_acctbal / 100) AS BIGINT) AS b, c_name AS holder, c_mktsegment AS kind FROM customer
+        UNION ALL SELECT s_suppkey * 64, s_suppkey * 64 + 63, s_name, NULL FROM supplier
+    ), e AS (SELECT event_id, user_id * 40 + CAST(floor(value) AS BIGINT) AS address FROM events)
+    SELECT event_id, address, holder, kind FROM e LEFT JOIN r ON address BETWEEN a AND b
+    QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY b - a, a DESC, holder, kind) = 1"""
 # merged from parts, but the same metrics
 for _name in ("station_reliability", "route_reliability"):
     ORACLES[f"{_name}_merged"] = ORACLES[_name]
