@@ -173,3 +173,38 @@ def test_top_k_of_odd_vectors(spark, monkeypatch):
     assert topk.top_k(table.limit(0), F.col("vec_id") % 20 == 0).collect() == []
 
 
+
+
+@pytest.mark.parametrize(("spread", "most"), [(1.0, 0.25), (2.0, 0.1)])
+def test_products_are_few_where_lengths_differ(spark, spread, most):
+    """Thresholds pass between parts: shares of the products that all pairs would take."""
+    rng = np.random.default_rng(2)
+    vectors = rng.standard_normal((9_000, 16)) * np.exp(rng.normal(0, spread, (9_000, 1)))
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>")
+    taken = spark.sparkContext.accumulator(0)
+    got = {}
+    for r in topk.top_k(table, F.col("vec_id") % 20 == 0, products=taken).collect():
+        got.setdefault(r.query_id, []).append((r["rank"], r.vec_id, r.score))
+    whole = np.floor(64 * vectors).astype(np.int64)
+    assert len(got) == 450 and taken.value < most * 9_000 * 450
+    for q, rows in got.items():
+        scores = whole @ whole[q]
+        best = sorted((-int(s), i) for i, s in enumerate(scores) if i != q)[:20]
+        assert sorted(rows) == [(n + 1, i, -s) for n, (s, i) in enumerate(best)]
+
+
+@pytest.mark.parametrize("biggest", [1.0, 5e2, 3e7, 1e14])
+def test_top_k_of_large_numbers_is_exact(spark, monkeypatch, biggest):
+    monkeypatch.setattr(topk, "PART_ROWS", 30)
+    monkeypatch.setattr(topk, "QUERY_BLOCK", 4)
+    rng = np.random.default_rng(3)
+    vectors = {i: (rng.standard_normal(4) * biggest / 4 / (1 + i % 9)).tolist() for i in range(200)}
+    table = spark.createDataFrame(list(vectors.items()), "vec_id long, embedding array<double>")
+    scale = 64.0 if biggest < 1e9 else 2**-16
+    whole = {i: [int(np.floor(scale * x)) for x in v] for i, v in vectors.items()}
+    got = {}
+    for r in topk.top_k(table, F.col("vec_id") % 20 == 0, k=6, scale=scale).collect():
+        got.setdefault(r.query_id, []).append((r["rank"], r.vec_id, r.score))
+    for q in range(0, 200, 20):
+        best = sorted((-sum(a * b for a, b in zip(whole[q], whole[i], strict=True)), i) for i in whole if i != q)[:6]
+        assert sorted(got[q]) == [(n + 1, i, -s) for n, (s, i) in enumerate(best)]
