@@ -46,15 +46,17 @@ def whole_numbers(vector: str, scale: float) -> Column:
     return F.when(~bad & (F.size(vector) > 0), numbers)
 
 
+NOTHING = np.iinfo(np.int64).min
+
+
 class Best:
     """The k best of each query so far: scores, owners, and the least score that still counts."""
 
     def __init__(self, k: int, least: np.ndarray):
         self.k = k
-        self.floor = least  # -inf where nothing is known
-        self.score = np.full((len(least), k), -math.inf)
+        self.floor = least  # NOTHING where nothing is known
+        self.score = np.full((len(least), k), NOTHING)
         self.owner = np.full((len(least), k), np.iinfo(np.int64).max)
-        self.exact = np.zeros((len(least), k), np.int64)
 
     def least(self) -> np.ndarray:
         return np.maximum(self.floor, self.score[:, -1])
@@ -65,11 +67,10 @@ class Best:
         rows, products, keep = rows[hit], products[hit], keep[hit]
         if not len(rows):
             return
-        score = np.concatenate((self.score[rows], np.where(keep, products, -math.inf)), axis=1)
+        score = np.concatenate((self.score[rows], np.where(keep, products, NOTHING)), axis=1)
         owner = np.concatenate((self.owner[rows], np.broadcast_to(own, products.shape)), axis=1)
-        exact = np.concatenate((self.exact[rows], products), axis=1)
-        first = np.lexsort((owner, -score), axis=1)[:, : self.k]
-        self.score[rows], self.owner[rows], self.exact[rows] = (np.take_along_axis(m, first, 1) for m in (score, owner, exact))
+        first = np.lexsort((owner, ~score), axis=1)[:, : self.k]
+        self.score[rows], self.owner[rows] = (np.take_along_axis(m, first, 1) for m in (score, owner))
 
 
 def search_block(
@@ -86,7 +87,7 @@ def search_block(
     exact = len(q_len) and len(v_len) and q_len.max() * v_len.max() < 2**52
     kind = np.float64 if exact else np.int64
     queries_k, vectors_k = queries.astype(kind), vectors.astype(kind)
-    best = Best(k, np.full(len(queries), -math.inf) if least is None else least.astype(float))
+    best = Best(k, np.full(len(queries), NOTHING) if least is None else least)
     focus = np.argsort(-np.abs(queries), axis=1, kind="stable")[:, :COORDINATES]
     taken = 0
     for a in range(0, len(ids), BUCKET):
@@ -116,8 +117,8 @@ def search_block(
                 products[:, some] = (queries_k[rows] @ block[some].T).astype(np.int64)
                 taken += len(rows) * int(some.sum())
             best.add(rows, products, keep & (products >= best.least()[rows][:, None]), own[:wide])
-    found = best.score > -math.inf
-    return np.nonzero(found)[0], best.owner[found], best.exact[found], taken
+    found = best.score > NOTHING
+    return np.nonzero(found)[0], best.owner[found], best.score[found], taken
 
 
 def _needed(least: np.ndarray, q_len: np.ndarray) -> np.ndarray:
@@ -258,7 +259,7 @@ def _others(started: DataFrame, candidates: DataFrame, parts: int, blocks: int,
     c = spread(candidates.where("part > 0"), "block", 0, F.get(F.array(*map(F.lit, of_part)), F.col("part")) - 1).select("part", "block", "id", "v")
 
     def cell(q: pa.Table, c: pa.Table) -> pa.Table:
-        least = pa.compute.fill_null(q["least"].cast(pa.float64()), -math.inf).to_numpy()
+        least = pa.compute.fill_null(q["least"], int(NOTHING)).to_numpy()
         row, who, score = search(q, c, least) if len(q) and len(c) else [np.zeros(0, np.int64)] * 3
         return pa.table([q["id"].to_numpy()[row] if len(row) else row, who, score], names=[c.split()[0] for c in FOUND.split(", ")])
 
