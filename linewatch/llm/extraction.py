@@ -4,8 +4,9 @@ Pages are sorted by host and path, so a page's neighbours have the nearest URLs
 host. A page's blocks are aligned with those of the nearer neighbour by longest
 common subsequence, and shared blocks go, as templates repeat them. Blocks inside the
 page's own ``article`` or ``main`` are its text and never go: passages and copies are
-shared by rightful articles too. Elements that are menus, forms, adverts, comments
-and the like by their tag or class go first. Where what is left outside of ``article`` and
+shared by rightful articles too. Before that, elements go that are menus, forms, adverts,
+comments and the like by their tag, or by a class, id or role; the less a name says, the smaller
+an element must be to go, and none goes that holds the article. Where what is left outside of ``article`` and
 ``main`` after differencing is longer than they are, or a page has neither, it is
 text too; else they are the text alone.
 """
@@ -14,6 +15,7 @@ from __future__ import annotations
 
 import html as references
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -25,12 +27,14 @@ from .common import text_chunks
 PAGES = "page_id long, url string, text string"
 
 # Elements by their meaning in HTML.
-RAW = {"script", "style", "noscript", "template", "textarea", "title", "iframe", "svg", "math", "object", "canvas"}
-DROPPED = {"nav", "footer", "aside", "form", "head", "button", "select", "dialog", "menu", "fieldset", "audio", "video"} | RAW
+RAW = {"script", "style", "noscript", "template", "textarea", "title", "iframe", "object", "canvas", "svg"}
+DROPPED = {"nav", "footer", "aside", "form", "head", "button", "select", "dialog", "menu", "fieldset", "audio", "video"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
-INLINE = {
-    "a", "abbr", "acronym", "b", "bdi", "bdo", "big", "br", "cite", "code", "data", "del", "dfn", "em", "font", "i", "img", "ins", "kbd", "label", "mark",
-    "q", "rp", "rt", "ruby", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var", "wbr",
+BLOCK = {
+    "address", "article", "aside", "blockquote", "body", "caption", "center", "dd", "details", "dialog", "dir", "div", "dl", "dt", "fieldset", "figcaption",
+    "figure", "footer", "form", "frameset", "h1", "h2", "h3", "h4", "h5", "h6", "head", "header", "hgroup", "hr", "html", "legend", "li", "listing", "main",
+    "menu", "nav", "ol", "optgroup", "option", "p", "plaintext", "pre", "search", "section", "summary", "table", "tbody", "td", "tfoot", "th", "thead", "title",
+    "tr", "ul", "xmp",
 }
 # Words of class, id and role names that mark what is not the article.
 MARKS = {
@@ -38,67 +42,146 @@ MARKS = {
     "footer", "masthead", "menu", "modal", "nav", "navbar", "navigation", "newsletter", "notice", "notices", "popup", "promo", "related", "share", "sharing",
     "sidebar", "social", "sponsor", "sponsored", "subscribe", "toolbar", "widget",
 }
-
-TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>?", re.S)
-NAMES = re.compile(r"(?:^|\s)(?:class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)", re.I)
+PLAIN, HINTED, NAMED, MEANT = range(4)  # no mark, a mark within a longer name, a mark as whole name, a tag of DROPPED
+MOST_NAMED, MOST_HINTED = 1 / 2, 1 / 4  # of the text around it that a marked element may hold and go
+
+TAG = re.compile(r"<!--(?:-?>|.*?(?:--!?>|\Z))|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:=\s*\"[^\"]*\"|=\s*'[^']*'|[^>])*+)>?", re.S)
+ATTRIBUTE = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?")
+
+
+def _mark(attributes: str) -> int:
+    """How surely the class, id or role of an element says that it is not the article."""
+    found = PLAIN
+    for m in ATTRIBUTE.finditer(attributes.lower()):
+        if m[1] in ("class", "id", "role") and m[2]:
+            for name in m[2].strip("\"'").split():
+                words = [w for w in re.split(r"[^a-z0-9]+", name) if w]
+                if name in MARKS:
+                    return NAMED
+                if words and (words[0] in MARKS or words[-1] in MARKS):
+                    found = HINTED
+    return found
 
 
-def _marked(attributes: str) -> bool:
-    return any(w in MARKS for m in NAMES.finditer(attributes) for w in re.split(r"[^a-z]+", m[1].lower()))
+class Page:
+    """Elements of a page with their parents, marks and sizes, and its text in pieces."""
+
+    def __init__(self, page: str):
+        self.names, self.parents, self.marks, self.sizes = [""], [-1], [PLAIN], [0]
+        self.pieces: list[tuple[int, str] | None] = []  # element and text; None where a block ends
+        self._read(page)
+        for e in range(len(self.names) - 1, 0, -1):  # children come after their parents
+            self.sizes[self.parents[e]] += self.sizes[e]
+
+    def _read(self, page: str) -> None:
+        names, pieces, at, n, here = self.names, self.pieces, 0, len(page), 0
+        while at < n:
+            m = TAG.search(page, at)
+            text = page[at : m.start() if m else n]
+            if text:
+                pieces.append((here, text))
+                self.sizes[here] += len(text) - text.count(" ") - text.count("\n")
+            if not m:
+                break
+            at = m.end()
+            if not m[2]:
+                continue
+            name = m[2].lower()
+            if name in BLOCK:
+                pieces.append(None)
+            if name == "br":
+                pieces.append((here, " "))
+            if m[1]:
+                here = self._closed(here, name)
+            elif name in RAW:
+                end = re.compile(rf"</{re.escape(name)}\b[^>]*>?", re.I).search(page, at)
+                at = end.end() if end else n
+            elif name not in VOID and not m[3].endswith("/"):
+                if name in BLOCK:
+                    here = self._implied(here, name)
+                names.append(name)
+                self.parents.append(here)
+                self.marks.append(MEANT if name in DROPPED else _mark(m[3]) if m[3] and name not in ("body", "html") else PLAIN)
+                self.sizes.append(0)
+                here = len(names) - 1
+
+    def _closed(self, here: int, name: str) -> int:
+        """Where an end tag leads to; one that was never opened changes nothing."""
+        e = here
+        while e > 0 and self.names[e] != name:
+            e = self.parents[e]
+        if e <= 0:
+            return here
+        if any(n in BLOCK for n in self._up(here, e)):
+            self.pieces.append(None)
+        return self.parents[e]
+
+    def _up(self, here: int, to: int) -> Iterator[str]:
+        while here != to:
+            yield self.names[here]
+            here = self.parents[here]
+
+    def _implied(self, here: int, name: str) -> int:
+        """A block ends an open paragraph, and a list item the one before it."""
+        e = here
+        while e > 0 and self.names[e] not in BLOCK:
+            e = self.parents[e]
+        if self.names[e] == "p" or (name == "li" and self.names[e] == "li"):
+            return self.parents[e]
+        return here
+
+    def _kept(self) -> tuple[list[bool], list[bool]]:
+        """Of each element, whether it stays, and whether it lies in an article."""
+        n = len(self.names)
+        anchor = [self.names[e] in ("article", "main") and self.marks[e] != NAMED for e in range(n)]
+        shadowed = [False] * n  # in an element that would go whatever it holds
+        for e in range(1, n):
+            shadowed[e] = shadowed[self.parents[e]] or (self.marks[e] >= NAMED and not anchor[e])
+        if any(a and not s for a, s in zip(anchor, shadowed, strict=True)):
+            anchor = [a and not s for a, s in zip(anchor, shadowed, strict=True)]
+        holds = anchor[:]
+        for e in range(n - 1, 0, -1):
+            holds[self.parents[e]] |= holds[e]
+        kept, inside, around = [True] * n, [False] * n, [self.sizes[0]] * n
+        for e in range(1, n):
+            up, mark = self.parents[e], self.marks[e]
+            inside[e] = inside[up] or anchor[e]
+            around[e] = self.sizes[e] if anchor[e] else around[up]
+            share = self.sizes[e] / max(around[up], 1)
+            if holds[e]:
+                goes = False
+            elif self.names[e] == "header" and not inside[e]:
+                goes = True
+            elif mark == MEANT:  # a form may be the whole of a page without article
+                goes = self.names[e] != "form" or holds[0] or share <= MOST_NAMED
+            elif mark == NAMED:
+                goes = (holds[0] and not inside[e]) or share <= MOST_NAMED
+            else:
+                goes = mark == HINTED and not inside[e] and share <= MOST_HINTED
+            kept[e] = kept[up] and not goes
+        return kept, inside
+
+    def blocks(self) -> list[tuple[str, bool]]:
+        kept, inside = self._kept()
+        found: list[tuple[str, bool]] = []
+        text: list[str] = []
+        article = False
+        for piece in [*self.pieces, None]:
+            if piece is None:
+                line = " ".join(references.unescape("".join(text)).split())
+                text.clear()
+                if line:
+                    found.append((line, article))
+                article = False
+            elif kept[piece[0]]:
+                text.append(piece[1])
+                article |= inside[piece[0]]
+        return found
 
 
 def blocks(page: str) -> list[tuple[str, bool]]:
-    """The blocks of a page in order, and whether each lies in an article; marked elements left out."""
-    found: list[tuple[str, bool]] = []
-    open_tags: list[tuple[str, bool, bool]] = []  # name, dropped, article: of the element or one around it
-    text: list[str] = []
-    dropped = article = False
-    at, n = 0, len(page)
-
-    def close() -> None:
-        if text:
-            line = " ".join(references.unescape("".join(text)).split())
-            text.clear()
-            if line:
-                found.append((line, article))
-
-    while at < n:
-        m = TAG.search(page, at)
-        if not dropped:
-            text.append(page[at : m.start() if m else n])
-        if not m:
-            break
-        at = m.end()
-        if not m[2]:
-            continue
-        name = m[2].lower()
-        if name not in INLINE:
-            close()
-        elif name == "br":
-            text.append(" ")
-        if m[1]:
-            for i in range(len(open_tags) - 1, -1, -1):
-                if open_tags[i][0] == name:
-                    if not dropped and any(t[0] not in INLINE for t in open_tags[i:]):
-                        close()
-                    del open_tags[i:]
-                    break
-            _, dropped, article = open_tags[-1] if open_tags else ("", False, False)
-        elif name not in VOID and not m[3].endswith("/"):
-            if name in RAW:
-                end = re.compile(rf"</{re.escape(name)}\b[^>]*>?", re.I).search(page, at)
-                at = end.end() if end else n
-                continue
-            if name == "p" and open_tags and any(t[0] == "p" for t in open_tags):
-                i = max(i for i, t in enumerate(open_tags) if t[0] == "p")
-                if all(t[0] in INLINE for t in open_tags[i + 1 :]):
-                    del open_tags[i:]
-            inside = article or name in ("article", "main")
-            out = dropped or name in DROPPED or (name == "header" and not article) or (name not in ("body", "html") and bool(m[3]) and _marked(m[3]))
-            open_tags.append((name, out, inside))
-            dropped, article = out, inside
-    close()
-    return found
+    """The blocks of a page in order, and whether each lies in an article; what is not the article by its elements left out."""
+    return Page(page).blocks()
 
 
 def _lengths(a: list, b: list) -> list[int]:
@@ -139,15 +222,16 @@ def shared(a: list, b: list, start: int = 0) -> set[int]:
 
 
 def main_text(page: list[tuple[str, bool]], neighbour: list[tuple[str, bool]] | None) -> str:
+    """The text of a page; what lies outside of its articles counts only if it was set against a neighbour."""
     lines = [line for line, _ in page]
     common = shared(lines, [line for line, _ in neighbour]) if neighbour else set()
     own = [line for i, (line, inside) in enumerate(page) if inside or i not in common]
     articles = [line for line, inside in page if inside]
     rest = [line for i, (line, inside) in enumerate(page) if not inside and i not in common]
-    if not articles and not own:  # a copy of its neighbour: nothing tells text from template
-        own = lines
+    if not articles:
+        return "\n".join(own or lines)  # a copy of its neighbour: nothing tells text from template
     # a teaser beside the text: what is left outside is longer than the article
-    return "\n".join(own if sum(map(len, rest)) > sum(map(len, articles)) else articles or own)
+    return "\n".join(own if neighbour and sum(map(len, rest)) > sum(map(len, articles)) else articles)
 
 
 def _alike(a: str, b: str) -> int:
@@ -156,26 +240,36 @@ def _alike(a: str, b: str) -> int:
     return next((i for i in range(n) if a[i] != b[i]), n)
 
 
+def _ordered(key: tuple) -> tuple:
+    """A key as Spark orders it, nulls first."""
+    return tuple((v is not None, v) for v in key)
+
+
 def _places(keys: DataFrame, parts: int) -> tuple[Column, Column]:
     """The range that a ``key`` belongs to, and an array of those beside it that need a copy of its page; the array may have nulls.
 
     Ranges are at most ``parts``, of about as many keys each, and none is empty.
     """
     ranged = keys.repartitionByRange(parts, "key").withColumn("part", F.spark_partition_id())
-    edges = ranged.groupBy("part").agg(F.min("key").alias("first"), F.max("key").alias("last")).orderBy("first").select(F.to_json("first"), F.to_json("last"), "first.host", "last.host").collect()
+    edges = ranged.groupBy("part").agg(F.min("key").alias("first"), F.max("key").alias("last")).orderBy("first").select(F.to_json("first"), F.to_json("last"), "first.host", "last.host", F.col("first").alias("begin")).collect()
     kind = f"array<{keys.schema['key'].dataType.simpleString()}>"
 
     def literal(found: list[str]) -> Column:
         return F.from_json(F.lit(f"[{','.join(found)}]"), kind)
 
-    part = F.size(F.filter(literal([e[0] for e in edges[1:]]), lambda first: first <= F.col("key")))
+    starts = [_ordered(e["begin"]) for e in edges[1:]]
+
+    @F.arrow_udf("int")
+    def part(host: pa.Array, path: pa.Array, page_id: pa.Array, tie: pa.Array) -> pa.Array:
+        return pa.array([bisect_right(starts, _ordered(key)) for key in zip(*(c.to_pylist() for c in (host, path, page_id, tie)), strict=True)], pa.int32())
+
     cut = [bool(a[3]) and a[3] == b[2] for a, b in zip(edges, edges[1:], strict=False)]  # through a host
 
     def beside(side: int, crossed: list[bool], step: int) -> Column:
         there = F.get(literal([e[side] if c else "null" for e, c in zip(edges, crossed, strict=True)]), F.col("own"))
         return F.when(there.eqNullSafe(F.col("key")), F.col("own") + step)
 
-    return part, F.array(beside(0, [False, *cut][: len(edges)], -1), beside(1, [*cut, False][: len(edges)], 1))
+    return part(*(F.col(f"key.{c}") for c in ("host", "path", "page_id", "tie"))), F.array(beside(0, [False, *cut][: len(edges)], -1), beside(1, [*cut, False][: len(edges)], 1))
 
 
 def extract(pages: DataFrame) -> DataFrame:
@@ -185,8 +279,10 @@ def extract(pages: DataFrame) -> DataFrame:
     size spreads over tasks. A first pass over the keys finds the ranges and their
     edges (two keys a range reach the driver); the page at either side of a cut is
     copied over it, so the texts don't depend on where the cuts lie. A null or empty
-    html has the empty text; a null url has no host and no neighbour; pages whose html
-    is the same, and repeated rows, keep their text. An empty table gives no row.
+    html has the empty text; a null url has no host and no neighbour; of two neighbours whose paths
+    begin alike over the same length the earlier one counts; pages whose html
+    is the same, and repeated rows, keep their text. A page of any length is read whole, in memory of some
+    times its size. An empty table gives no row.
     Other columns may have any name.
     """
     pages = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))

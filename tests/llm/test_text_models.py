@@ -317,3 +317,77 @@ def test_a_teaser_is_not_the_text():
     assert extraction.main_text(page, page) == "Teaser 1"
     whole = extraction.blocks(f"<p>Top</p><main>{text}</main><p>End")
     assert extraction.main_text(whole, beside) == extraction.main_text(whole, None) == text
+
+
+WORDS = " ".join(f"word{i}" for i in range(60))
+
+
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        (f'<div class="layout with-sidebar"><article><p>{WORDS}</p></article></div>', WORDS),
+        (f'<div class="page no-comments"><p>{WORDS}</p><p>more</p></div>', f"{WORDS}\nmore"),
+        (f'<article class="post share-enabled"><p>{WORDS}</p></article>', WORDS),
+        (f'<main><section class="notice-board"><p>{WORDS}</p></section></main>', WORDS),
+        ("<p title=it's>Hello</p><p>don't</p>", "Hello\ndon't"),
+        (f"<!--><p>{WORDS}</p><!-- x -->", WORDS),
+        (f"<!---><p>{WORDS}</p>", WORDS),
+        ("<p>Let <math><mi>x</mi></math> be <svg><text>no</text></svg>a <button>press</button>number <iframe src=x></iframe>here</p>", "Let x be a number here"),
+        (f"<form id=aspnet><article>{WORDS}</article></form>", WORDS),
+        (f"<form><p>{WORDS}</p></form><p>tail</p>", f"{WORDS}\ntail"),
+        (f'<article>{WORDS}</article><section id="comments"><article class="comment">{WORDS} {WORDS}</article></section>', WORDS),
+        (f"<article>{WORDS}</article><aside><article>Another story</article></aside>", WORDS),
+        (f'<article>{WORDS}<div class="promo">Buy</div><p>end</article>', f"{WORDS}\nend"),
+        (f'<div class="site-footer">small</div><p>{WORDS}</p><div class="sidebar-left">small</div>', WORDS),
+        (f'<p data-x="class=ad">{WORDS}</p>', WORDS),
+        (f'<p class=ad>Buy<div>{WORDS}</div>', WORDS),
+        (f'<ul><li class="ad">Buy<li>{WORDS}</ul>', WORDS),
+        (f'<a href="x>y">{WORDS}</a> <x-own>z</x-own>', f"{WORDS} z"),
+        (f"<article>short</article><div>{WORDS}</div>", "short"),
+    ],
+)
+def test_markup_that_hides_articles(page, text):
+    assert extraction.main_text(extraction.blocks(page), None) == text
+
+
+def plain_difference(own, other):
+    """Blocks of ``own`` that no longest common subsequence with ``other`` holds, by dynamic programming."""
+    n, m = len(own), len(other)
+    best = [[0] * (m + 1) for _ in range(n + 1)]
+    for i in range(n - 1, -1, -1):
+        for j in range(m - 1, -1, -1):
+            best[i][j] = best[i + 1][j + 1] + 1 if own[i] == other[j] else max(best[i + 1][j], best[i][j + 1])
+    return n - best[0][0]
+
+
+def test_pages_without_article_by_a_plain_version(spark):
+    """Three templates, hosts of many pages, no article or main anywhere: differencing decides."""
+    rng = random.Random(8)
+    top = {"a": ["Logo", "Menu line"], "b": ["Welcome", "Login", "Archive"], "c": []}
+    pages, own = [], {}
+    for i in range(120):
+        kind = rng.choice("abc")
+        lines = [f"{rng.choice('xyz')} text {i} {j} of its own" for j in range(rng.randint(1, 6))]
+        body = [*top[kind], *lines, *([f"Contact {kind}"] if kind != "c" else [])]
+        pages.append((i, f"http://{kind}.org/{i:04d}", "".join(f"<div>{x}</div>" for x in body)))
+        own[i] = (kind, body, lines)
+    rows = {r.page_id: r.text.split("\n") for r in extraction.extract(spark.createDataFrame(pages, "page_id long, url string, html string").repartition(3)).collect()}
+    for i, (kind, body, lines) in own.items():
+        beside = [j for j in own if own[j][0] == kind and j != i]
+        near = min((j for j in (max((j for j in beside if j < i), default=None), min((j for j in beside if j > i), default=None)) if j is not None), key=lambda j: (-extraction._alike(f"/{i:04d}", f"/{j:04d}"), j))
+        assert rows[i] == lines and len(rows[i]) == plain_difference(body, own[near][1])
+
+
+def test_many_ranges_place_pages_alike(spark):
+    pages = [(i % 97 or None, None if i % 11 == 0 else f"http://h{i % 5}.org/{i * 7919 % 1000}/é", f"<p>{i}</p>") for i in range(400)]
+    table = spark.createDataFrame(pages, "page_id long, url string, html string")
+    setting = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(setting)
+    found = []
+    try:
+        for parts in (1, 90):
+            spark.conf.set(setting, parts)
+            found.append(sorted(map(str, extraction.extract(table).collect())))
+    finally:
+        spark.conf.set(setting, before)
+    assert found[0] == found[1] and len(found[0]) == 400
