@@ -40,11 +40,17 @@ _PARSERS = {"rail_bronze": parse_rail, "weather_bronze": parse_weather, "forecas
 
 @dataclass(frozen=True)
 class Layout:
-    """Where tables, lookup files and stream checkpoints live."""
+    """Where tables, lookup files and stream checkpoints live, and how much a micro-batch may be.
+
+    ``bronze_files`` is the number of files that one of bronze writes a day: one for each 128 MB
+    of it. ``silver_bytes`` bounds what one of silver reads.
+    """
 
     database: str
     lookups: str = ""
     checkpoints: str = ""
+    bronze_files: int = 1
+    silver_bytes: int = 8 << 30
 
     def name(self, table: str) -> str:
         return f"{self.database}.{table}"
@@ -59,10 +65,16 @@ def create_tables(spark: SparkSession, at: Layout) -> None:
 
 
 def run_bronze(spark: SparkSession, at: Layout, topics: Mapping[str, DataFrame]) -> None:
-    """Drain the given topics (bronze table: stream) side by side."""
+    """Drain the given topics (bronze table: stream) side by side, into partitions by the broker's day."""
     ensure_database(spark, at.database)
     running = [
-        append_stream(_PARSERS[table](stream), f"{at.checkpoints}/bronze/{table}", table=at.name(table))
+        append_stream(
+            _PARSERS[table](stream).withColumn("kafka_date", F.to_date("kafka_timestamp")),
+            f"{at.checkpoints}/bronze/{table}",
+            table=at.name(table),
+            partition_by=["kafka_date"],
+            files=at.bronze_files,
+        )
         for table, stream in topics.items()
     ]
     for query in running:
@@ -101,7 +113,7 @@ def stream_silver(spark: SparkSession, at: Layout) -> None:
     for name, step in steps.items():
         table = f"{name}_silver"
         upsert_stream(
-            spark.readStream.table(at.name(f"{name}_bronze")),
+            spark.readStream.option("maxBytesPerTrigger", str(at.silver_bytes)).table(at.name(f"{name}_bronze")),
             f"{at.checkpoints}/silver/{name}",
             at.name(table),
             KEYS[table],

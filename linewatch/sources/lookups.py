@@ -39,8 +39,18 @@ def rider_query(table: str = RIDER_TABLE) -> str:
 
 
 def read_riders_jdbc(spark: SparkSession, url: str, table: str = RIDER_TABLE, **options: str) -> DataFrame:
-    """Preferences from a database. For large tables pass ``partitionColumn``,
-    ``lowerBound``, ``upperBound`` and ``numPartitions`` so that tasks share the read."""
-    source = f"({rider_query(table)}) p"
-    reader = spark.read.format("jdbc").option("url", url).option("dbtable", source).options(**options)
-    return rider_preferences(reader.load())
+    """Preferences from a database.
+
+    For large tables name a number, date or timestamp column as ``partitionColumn``, and ``numPartitions``, so that
+    tasks share the read. Its bounds are asked for, by one aggregate that the database answers, unless they are given
+    (``lowerBound``, ``upperBound``). Without a column one task reads all.
+    """
+    reader = spark.read.format("jdbc").option("url", url)
+    column = options.get("partitionColumn")
+    if column and "lowerBound" not in options:
+        plain = {k: v for k, v in options.items() if k not in ("partitionColumn", "numPartitions")}
+        bounds = f"(SELECT min({column}) AS low, max({column}) AS high FROM {table}) b"
+        low, high = spark.read.format("jdbc").option("url", url).option("dbtable", bounds).options(**plain).load().first()
+        known = {"lowerBound": str(low), "upperBound": str(high)} if low is not None else {}
+        options = {**options, **known} if known else plain  # an empty table has no bounds and needs no parts
+    return rider_preferences(reader.option("dbtable", f"({rider_query(table)}) p").options(**options).load())

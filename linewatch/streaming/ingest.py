@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from linewatch.operators.clean import dedupe, newest
@@ -20,8 +21,17 @@ def append_stream(
     path: str | None = None,
     partition_by: Sequence[str] = (),
     fmt: str = "parquet",
+    files: int | None = None,
 ) -> StreamingQuery:
-    """Append everything available now, then stop; a restart goes on where it ended."""
+    """Append everything available now, then stop; a restart goes on where it ended.
+
+    With ``files`` each micro-batch writes so many files a partition, or fewer, however many splits
+    its source has; without it each split writes its own.
+    """
+    if files:
+        # a stream has no run-time rebalance: rows of one partition value and salt share a task
+        salt = F.pmod(F.xxhash64(*[c for c, t in df.dtypes if t in ("string", "timestamp", "bigint")]), F.lit(files))
+        df = df.withColumn("_salt", salt).repartition(*partition_by, "_salt").drop("_salt")
     writer = (
         df.writeStream.format(fmt)
         .outputMode("append")

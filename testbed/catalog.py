@@ -449,6 +449,15 @@ def upsert_out_of_order(spark, sf):
     return upsert(orders.where("o_orderkey % 7 > 0"), conform(late, dict(orders.dtypes)), ["o_orderkey"], newer_by="o_orderdate")
 
 
+@query
+def upsert_by_time(spark, sf):
+    """Corrections of open and pending orders, earlier or later than the finished and open ones they meet: every order is on a side."""
+    orders = fx.table(spark, sf, "orders")
+    shift = (F.col("o_custkey") % 5 - 2).cast("int")
+    late = orders.where("o_orderstatus <> 'F'").withColumns({"o_orderdate": F.col("o_orderdate") + F.make_dt_interval(shift), "o_totalprice": F.col("o_totalprice") + 1})
+    return upsert(orders.where("o_orderstatus <> 'P'"), conform(late, dict(orders.dtypes)), ["o_orderkey"], newer_by="o_orderdate")
+
+
 @query
 def upsert_composite_key(spark, sf):
     """The third key part is unknown for undiscounted items."""

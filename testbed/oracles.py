@@ -455,6 +455,12 @@ ORACLES: dict[str, str] = {
                CASE WHEN k IS NULL OR (o_orderkey % 7 > 0 AND d < o_orderdate) THEN o_totalprice ELSE p END AS o_totalprice,
                CASE WHEN k IS NULL OR (o_orderkey % 7 > 0 AND d < o_orderdate) THEN o_orderdate ELSE d END AS o_orderdate
         FROM orders LEFT JOIN s ON o_orderkey = k WHERE o_orderkey % 7 > 0 OR k IS NOT NULL""",
+    "upsert_by_time": """
+        WITH s AS (SELECT o_orderkey AS k, o_orderdate + to_days(CAST(o_custkey % 5 - 2 AS INTEGER)) AS d, o_totalprice + 1 AS p FROM orders WHERE o_orderstatus <> 'F')
+        SELECT o_orderkey, o_custkey, o_orderstatus, o_orderpriority,
+               CASE WHEN k IS NULL OR (o_orderstatus <> 'P' AND d < o_orderdate) THEN o_totalprice ELSE p END AS o_totalprice,
+               CASE WHEN k IS NULL OR (o_orderstatus <> 'P' AND d < o_orderdate) THEN o_orderdate ELSE d END AS o_orderdate
+        FROM orders LEFT JOIN s ON o_orderkey = k""",
     "upsert_composite_key": f"""
         SELECT coalesce(s.l_orderkey, t.l_orderkey) AS l_orderkey,
                coalesce(s.l_linenumber, t.l_linenumber) AS l_linenumber,

@@ -259,6 +259,35 @@ def test_gold_of_changes_equals_gold_of_everything(spark, db, line):
     assert content() == changed
 
 
+# --- files ------------------------------------------------------------------
+
+def test_fifty_small_batches_write_fifty_files(spark, db, tmp_path):
+    """Each micro-batch has four splits and two days; without dealing each would write eight files."""
+    source = tmp_path / "rail"
+    for i in range(200):
+        topic_file(source, f"{i:03d}.json", (f"2024-01-{1 + i % 2:02d}T08:00:00Z", move(f"t{i}", i % 60)), (f"2024-01-0{2 - i % 2}T09:00:00Z", move(f"u{i}", i % 60)))
+    at = Layout(db, "", str(tmp_path / "marks"))
+    stream = read_topic(spark, {"maxFilesPerTrigger": "4"}, "json", path=str(source))
+    jobs.run_bronze(spark, at, {"rail_bronze": stream})
+    table = spark.table(f"{db}.rail_bronze")
+    assert table.count() == 400 and table.where("kafka_date = '2024-01-01'").count() == 200
+    assert len(table.inputFiles()) == 100  # 50 batches, 2 days
+    assert "kafka_date=2024-01-02" in "".join(table.where("kafka_date = '2024-01-02'").inputFiles())
+
+
+def test_silver_takes_bounded_batches(spark, db, line, monkeypatch):
+    at, feed = line
+    feed(1, rail=[on_day(5, "a")])
+    feed(2, rail=[on_day(5, "b")])
+    merges = []
+    plain = ingest.merge_table
+    monkeypatch.setattr(ingest, "merge_table", lambda *a, **k: (merges.append(a[1]), plain(*a, **k)))
+    tight = Layout(at.database, at.lookups, str(at.checkpoints) + "/tight", silver_bytes=1)
+    jobs.stream_silver(spark, tight)
+    assert merges.count(f"{db}.rail_silver") == 2
+    assert sorted(r.train_id for r in spark.table(f"{db}.rail_silver").collect()) == ["a", "b"]
+
+
 # --- deliveries -------------------------------------------------------------
 
 def test_tries_fold_in_any_order(table):

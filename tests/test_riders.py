@@ -8,6 +8,7 @@ from linewatch.functions.sql import create_alert_history, create_matching_prefer
 from linewatch.operators.delivery import (
     DispatchFailed, cursor_rows, delivery_log, delivery_summary, extract_drafts, outbox_rows, raise_on_failure,
 )
+from linewatch.sources.lookups import read_riders_jdbc, rider_query
 from linewatch.operators.riders import alert_history, match_riders, pending, recent_alert_counts
 from linewatch.plans.dispatch import dispatch
 
@@ -203,3 +204,48 @@ def test_delivery_log_and_failures(table):
         raise_on_failure(log)
     raise_on_failure(log.where("delivery_status = 'SENT'"))
     assert cursor_rows(drafts).count() == 2
+
+
+class Database:
+    """Stands for a session's reader: notes what is asked, answers bounds and rows."""
+
+    def __init__(self, bounds, rows):
+        self.bounds, self.rows, self.asked, self.read = bounds, rows, [], self
+
+    def format(self, name):
+        assert name == "jdbc"
+        self.now = {}
+        self.asked.append(self.now)
+        return self
+
+    def option(self, name, value):
+        return self.options(**{name: value})
+
+    def options(self, **more):
+        reader = Database(self.bounds, self.rows)
+        reader.now, reader.asked = self.now, self.asked
+        self.now.update(more)
+        return reader
+
+    def load(self):
+        return self if "min(" in self.now["dbtable"] else self.rows
+
+    def first(self):
+        return self.bounds
+
+
+def test_riders_are_read_in_parts(table):
+    rows = table("user_id int, email string, route string, station string, delay_threshold_minute int, notify_delay boolean, notify_cancellation boolean, is_active boolean", (7, "e", "r", "s", 5, True, True, True))
+    parts = {"partitionColumn": "user_id", "numPartitions": "8"}
+
+    def asked(bounds, **options):
+        source = Database(bounds, rows)
+        assert read_riders_jdbc(source, "jdbc:x", "riders", **options).first().user_id == "7"
+        return [a for a in source.asked if a.get("dbtable")]
+
+    bounds, read = sorted(asked((1, 90), user="u", **parts), key=lambda a: "min(" not in a["dbtable"])
+    assert bounds == {"url": "jdbc:x", "dbtable": "(SELECT min(user_id) AS low, max(user_id) AS high FROM riders) b", "user": "u"}
+    assert read == {"url": "jdbc:x", "dbtable": f"({rider_query('riders')}) p", "user": "u", **parts, "lowerBound": "1", "upperBound": "90"}
+    assert asked((1, 90), **parts, lowerBound="3", upperBound="4") == [{"url": "jdbc:x", "dbtable": f"({rider_query('riders')}) p", **parts, "lowerBound": "3", "upperBound": "4"}]
+    assert "partitionColumn" not in asked((None, None), **parts)[-1]
+    assert len(asked(None)) == 1
