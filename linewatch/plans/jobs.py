@@ -24,7 +24,7 @@ from linewatch.session import ensure_checkpoint_dir
 from linewatch.sinks import ledger
 from linewatch.sinks.layout import cluster_days
 from linewatch.sinks.tables import (
-    append_table, create_table, ensure_database, merge_table, replace_partitions, replace_table,
+    append_table, create_table, ensure_database, merge_native, merge_table, replace_partitions, replace_table,
 )
 from linewatch.sources.lookups import read_routes, read_stations
 from linewatch.streaming.ingest import append_stream, upsert_stream
@@ -43,7 +43,8 @@ class Layout:
     """Where tables, lookup files and stream checkpoints live, and how much a micro-batch may be.
 
     ``bronze_files`` is the number of files that one of bronze writes a day: one for each 128 MB
-    of it. ``silver_bytes`` bounds what one of silver reads.
+    of it. ``silver_bytes`` bounds what one of silver reads. Keyed tables are made in ``table_format``; in
+    one other than parquet they are upserted by MERGE.
     """
 
     database: str
@@ -51,17 +52,23 @@ class Layout:
     checkpoints: str = ""
     bronze_files: int = 1
     silver_bytes: int = 8 << 30
+    table_format: str = "parquet"
 
     def name(self, table: str) -> str:
         return f"{self.database}.{table}"
 
+    def merge(self, rows: DataFrame, table: str, keys: list[str], **how: object) -> None:
+        """Upsert into a full table name."""
+        (merge_table if self.table_format == "parquet" else merge_native)(rows, table, keys, **how)
+
 
 def create_tables(spark: SparkSession, at: Layout) -> None:
     ensure_database(spark, at.database)
     for table, schema in TABLES.items():
         if not table.endswith("_bronze"):  # a bronze table is made by its stream
             order = silver.ORDER if table in SILVER else {}
-            create_table(spark, at.name(table), schema | order, PARTITIONS.get(table, ()))
+            fmt = at.table_format if table in KEYS else "parquet"
+            create_table(spark, at.name(table), schema | order, PARTITIONS.get(table, ()), fmt)
 
 
 def run_bronze(spark: SparkSession, at: Layout, topics: Mapping[str, DataFrame]) -> None:
@@ -93,7 +100,7 @@ def run_silver(spark: SparkSession, at: Layout) -> None:
     weather = silver.weather_current(spark.table(at.name("weather_bronze")), ordered=True)
     forecast = silver.weather_forecast(spark.table(at.name("forecast_bronze")), ordered=True)
     for table, rows in zip(SILVER, (rail, weather, forecast)):
-        merge_table(rows, at.name(table), KEYS[table], newer_by=silver.ORDER_COLUMN, touching=_noting(spark, at, table))
+        at.merge(rows, at.name(table), KEYS[table], newer_by=silver.ORDER_COLUMN, touching=_noting(spark, at, table))
 
 
 def stream_silver(spark: SparkSession, at: Layout) -> None:
@@ -121,6 +128,7 @@ def stream_silver(spark: SparkSession, at: Layout) -> None:
             newer_by=silver.ORDER_COLUMN,
             touching=_noting(spark, at, table),
             merged=at.name("merged_batches"),
+            merge=None if at.table_format == "parquet" else at.merge,
         ).awaitTermination()
 
 
@@ -158,7 +166,7 @@ def _gold(spark: SparkSession, at: Layout, days: Days | None) -> None:
         ("gold_weather_train", gold.with_current_weather(trains, seen)),
         ("gold_forecast_train", gold.with_forecast(trains, ahead)),
     ):
-        merge_table(rows, at.name(table), KEYS[table], cluster_by=CLUSTERS[table])
+        at.merge(rows, at.name(table), KEYS[table], cluster_by=CLUSTERS[table])
     for table, rows in (
         ("gold_station_reliability", gold.station_reliability(trains)),
         ("gold_route_reliability", gold.route_reliability(trains)),
@@ -173,7 +181,7 @@ def _gold(spark: SparkSession, at: Layout, days: Days | None) -> None:
         read("gold_route_reliability", "date"),
         read("gold_station_reliability", "date"),
     ).withColumn("ingest_timestamp", F.current_timestamp())
-    merge_table(context, at.name("alerts"), KEYS["alerts"], preserve=ALERT_MARKS)
+    at.merge(context, at.name("alerts"), KEYS["alerts"], preserve=ALERT_MARKS)
 
 
 def run_gold(spark: SparkSession, at: Layout, since: date | None = None) -> None:
@@ -247,7 +255,7 @@ def run_dispatch(
     spark.catalog.refreshTable(at.name("dispatch_outbox"))
     told = recent(spark.table(at.name("dispatch_outbox"))).select("event_id")
     unheard = waiting.where("notification_status IS NULL").join(told, "event_id", "left_anti")
-    merge_table(mark_notified(unheard, unheard), at.name("alerts"), KEYS["alerts"])
+    at.merge(mark_notified(unheard, unheard), at.name("alerts"), KEYS["alerts"])
     append_table(cursor, at.name("dispatch_cursor"))
 
 
@@ -285,9 +293,9 @@ def record_deliveries(
         logged = read("delivery_log").select("notification_id")
         now = now.unionByName(outbox.join(logged, "notification_id", "left_anti")).dropDuplicates(["notification_id"])
     log = delivery_log(now, outcomes(read("delivery_attempts")), missing_fails=final).checkpoint()
-    merge_table(log, at.name("delivery_log"), KEYS["delivery_log"])
+    at.merge(log, at.name("delivery_log"), KEYS["delivery_log"])
     waiting = outbox.join(read("delivery_log").select("notification_id"), "notification_id", "left_anti")
     done = read("dispatch_cursor").select("event_id").join(waiting.select("event_id"), "event_id", "left_anti")
     open_alerts = read("alerts").where("notification_status IS NULL").join(done, "event_id", "left_semi")
-    merge_table(mark_notified(open_alerts, done), at.name("alerts"), KEYS["alerts"])
+    at.merge(mark_notified(open_alerts, done), at.name("alerts"), KEYS["alerts"])
     raise_on_failure(log)

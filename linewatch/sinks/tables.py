@@ -148,11 +148,29 @@ def merge_table(
 
 
 def merge_native(
-    source: DataFrame, table: str, keys: Sequence[str], preserve: Sequence[str] = ()
+    source: DataFrame,
+    table: str,
+    keys: Sequence[str],
+    preserve: Sequence[str] = (),
+    newer_by: str | None = None,
+    touching: Callable[[list[tuple]], None] | None = None,
+    **layout: object,
 ) -> None:
-    """The same upsert through MERGE, for table formats that support it."""
+    """The same upsert through MERGE, for table formats that support it.
+
+    The source is read more than once where ``touching`` asks for its days, so it should be settled then. ``layout``
+    takes the options of :func:`merge_table` that only concern files.
+    """
     target = source.sparkSession.table(table)
-    staged = conform(source, dict(target.dtypes)).alias("s")
+    staged = conform(source, dict(target.dtypes))
+    parts = partition_columns(source.sparkSession, table) if touching else []
+    if parts and (values := [tuple(r) for r in staged.select(*parts).distinct().collect()]):
+        touching(values)
+    staged = staged.alias("s")
     match = reduce(lambda a, b: a & b, [F.col(f"{table}.{k}").eqNullSafe(F.col(f"s.{k}")) for k in keys])
     changes = {c: F.col(f"s.{c}") for c in target.columns if c not in preserve}
-    staged.mergeInto(table, match).whenMatched().update(changes).whenNotMatched().insertAll().merge()
+    newer = None
+    if newer_by:
+        held, new = F.col(f"{table}.{newer_by}"), F.col(f"s.{newer_by}")
+        newer = held.isNull() | F.coalesce(new >= held, F.lit(False))
+    staged.mergeInto(table, match).whenMatched(newer).update(changes).whenNotMatched().insertAll().merge()

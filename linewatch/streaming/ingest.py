@@ -67,6 +67,7 @@ def upsert_stream(
     newer_by: str | None = None,
     touching: Callable[[list[tuple]], None] | None = None,
     merged: str | None = None,
+    merge: Callable[..., None] | None = None,
 ) -> StreamingQuery:
     """Upsert each micro-batch into ``table``.
 
@@ -77,7 +78,7 @@ def upsert_stream(
     where ``prepare`` already returns one row per key. Repeating a batch
     after a failure writes the same rows again, so nothing is counted twice. With a table ``merged``
     the batches that were merged are noted there, and one that is asked for again is
-    skipped. ``touching`` is that of :func:`~linewatch.sinks.tables.merge_table`.
+    skipped. ``touching`` is that of :func:`~linewatch.sinks.tables.merge_table`, which ``merge`` may replace.
     """
 
     def write(batch: DataFrame, number: int) -> None:
@@ -86,7 +87,7 @@ def upsert_stream(
         if merged and ledger.is_merged(spark, merged, stream, number):
             return
         rows = prepare(batch) if prepare else batch
-        merge_table(
+        (merge or merge_table)(
             dedupe(rows, keys, newest(*order)) if order else rows,
             table,
             keys,

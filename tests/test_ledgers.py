@@ -135,6 +135,16 @@ def test_merges_tell_the_days_before_they_change_them(spark, table, db):
     assert told == [([(D1,), (D3,)], 0)]
 
 
+def test_a_layout_chooses_how_to_merge(spark, table, monkeypatch):
+    called = []
+    monkeypatch.setattr(jobs, "merge_table", lambda *a, **k: called.append(("files", a[1:], k)))
+    monkeypatch.setattr(jobs, "merge_native", lambda *a, **k: called.append(("native", a[1:], k)))
+    rows = table("k string", ("a",))
+    Layout("d").merge(rows, "d.t", ["k"], preserve=["m"])
+    Layout("d", table_format="other").merge(rows, "d.t", ["k"], newer_by="v")
+    assert called == [("files", ("d.t", ["k"]), {"preserve": ["m"]}), ("native", ("d.t", ["k"]), {"newer_by": "v"})]
+
+
 # --- days and batches -------------------------------------------------------
 
 def test_open_days_are_closed_once_per_consumer(spark, db):
