@@ -24,6 +24,43 @@ def id_text_crc(column: str) -> Column:
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary"))
 
 
+def row_hash(df: DataFrame) -> Column:
+    """A hash of all columns; those that Spark hashes only in other forms, such as maps, as JSON."""
+    columns = []
+    for field in df.schema.fields:
+        column = F.col(f"`{field.name}`")
+        plain = not any(kind in field.dataType.simpleString() for kind in ("map<", "variant"))
+        columns.append(column if plain else F.to_json(F.struct(column)))
+    return F.xxhash64(*columns)
+
+
+MOST_HOT = 4_096
+LEAST_HOT = 1_000
+
+
+def join_unique(left: DataFrame, right: DataFrame, key: str, rows: int) -> DataFrame:
+    """``left`` and the columns of ``right``, which has one row a ``key``, joined without a hot key.
+
+    ``rows`` is the number of rows of ``left``. Keys with more than a ``MOST_HOT``-th of them, so
+    fewer than ``MOST_HOT``, are broadcast with their counts; their rows are dealt over
+    several salts by their hash, and their row of ``right`` is copied to each.
+    """
+    limit = max(LEAST_HOT, rows // MOST_HOT)
+    salts, salt, hot_key = free_name(left, "salts"), free_name(left, "salt"), free_name(left, "hot")
+    hot = left.groupBy(F.col(key).alias(hot_key)).count().where(F.col("count") > limit)
+    hot = F.broadcast(hot.select(hot_key, F.ceil(F.col("count") / limit).alias(salts)))
+
+    def salted(df: DataFrame, number: Column) -> DataFrame:
+        known = df.join(hot, F.col(key).eqNullSafe(F.col(hot_key)), "left")
+        return known.withColumn(salt, F.when(F.col(salts).isNull(), F.array(F.lit(0).cast("long"))).otherwise(number)).drop(salts, hot_key)
+
+    one = F.array(F.pmod(row_hash(left), F.col(salts)))
+    every = F.sequence(F.lit(0).cast("long"), F.col(salts) - 1)
+    a = salted(left, one).withColumn(salt, F.get(salt, F.lit(0)))
+    b = salted(right, every).withColumn(salt, F.explode(salt))
+    return a.join(b, [key, salt]).drop(salt)
+
+
 def text_chunks(batches: Iterable[pa.RecordBatch], column: str, limit: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
     """Runs of rows whose texts hold about ``limit`` bytes; a longer text is a run of its own."""
     for batch in batches:

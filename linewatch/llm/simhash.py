@@ -1,8 +1,9 @@
 """SimHash near duplicates with a Gray-ordered hierarchical index.
 
-Fingerprints that differ in at most ``distance`` bits agree on one of
-``distance + 1`` blocks of bits, so each distinct fingerprint goes to the bucket of
-each of its blocks. Within a bucket fingerprints are sorted by Gray rank, runs of
+Fingerprints that differ in at most ``distance`` bits agree on all but ``distance`` of
+some blocks of bits, so each distinct fingerprint goes to the bucket of each choice
+of so many blocks. There are the more blocks, and the more bits tell a bucket, the more fingerprints
+there are. Within a bucket fingerprints are sorted by Gray rank, runs of
 neighbours become leaves and runs of nodes become upper nodes; a node keeps the bits
 that all below it share as a mask and a pattern. Two nodes are compared on the
 masked bits their parents did not share yet, differences add up on the way down,
@@ -15,19 +16,21 @@ exceeds its rows. The links are then contracted to components.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import staged
-from .common import bounds, free_name, ragged, text_chunks, utf8
+from .common import bounds, free_name, join_unique, ragged, row_hash, text_chunks, utf8
 
 LEAF = 16
 FAN = 8
 BUCKET_ROWS = 20_000
+BUCKET_MEAN = 2_000
 BATCH_ROWS = 200_000
 PAIRS = 20_000
 VOTES = 1 << 17
@@ -200,16 +203,43 @@ def _bucket_links(batches: Iterator[pa.RecordBatch], distance: int) -> Iterator[
         yield solve(waiting)
 
 
-def links(fps: DataFrame, distance: int = 4) -> DataFrame:
+def block_count(fingerprints: int, distance: int) -> int:
+    """The fewest blocks with which a bucket holds ``BUCKET_MEAN`` evenly spread fingerprints or fewer."""
+    for blocks in range(distance + 1, 16):
+        bits = sum(sorted(_widths(blocks))[: blocks - distance])
+        if fingerprints <= BUCKET_MEAN << bits:
+            return blocks
+    return 16
+
+
+def _widths(blocks: int) -> list[int]:
+    edges = [64 * i // blocks for i in range(blocks + 1)]
+    return [b - a for a, b in zip(edges, edges[1:], strict=False)]
+
+
+def bucket_keys(fp: str, blocks: int, distance: int) -> Column:
+    """The buckets of a fingerprint: the bits of each choice of ``blocks - distance`` blocks, and the number of the choice."""
+    edges = [64 * i // blocks for i in range(blocks + 1)]
+    keys = []
+    for number, chosen in enumerate(combinations(range(blocks), blocks - distance)):
+        bits = F.lit(0).cast("long")
+        for i in chosen:
+            width = edges[i + 1] - edges[i]
+            bits = F.shiftleft(bits, width).bitwiseOR(F.shiftrightunsigned(fp, edges[i]).bitwiseAND(F.lit((1 << width) - 1)))
+        keys.append(F.struct(F.lit(number).alias("choice"), bits.alias("bits")))
+    return F.array(*keys)
+
+
+def links(fps: DataFrame, distance: int = 4, blocks: int | None = None) -> DataFrame:
     """(fp, to): enough pairs of distinct fingerprints within ``distance`` bits to connect all that are linked.
 
-    A bucket of more than ``BUCKET_ROWS`` rows is dealt into runs, and each pair of runs
+    A bucket of more than ``BUCKET_ROWS`` rows, which only unevenly spread fingerprints fill, is dealt into runs, and each pair of runs
     is a group of its own, so that no group outgrows a task and no pair is missed.
     """
-    blocks = distance + 1
-    edges = [64 * i // blocks for i in range(blocks + 1)]
-    keys = [F.shiftrightunsigned("fp", edges[i]).bitwiseAND(F.lit((1 << (edges[i + 1] - edges[i])) - 1)) * F.lit(blocks) + F.lit(i) for i in range(blocks)]
-    rows = fps.select("fp", F.explode(F.array(*keys)).alias("key"))
+    blocks = blocks or block_count(fps.count(), distance)
+    # one number a bucket; two that share it by chance are a larger group, in which each pair is verified all the same
+    rows = fps.select("fp", F.explode(bucket_keys("fp", blocks, distance)).alias("bucket"))
+    rows = rows.select("fp", F.xxhash64("bucket.choice", "bucket.bits").alias("key"))
     large = rows.groupBy("key").count().where(F.col("count") > BUCKET_ROWS).select("key", F.ceil(F.col("count") / BUCKET_ROWS).alias("runs"))
     rows = rows.join(large, "key", "left").withColumn("runs", F.coalesce("runs", F.lit(1)))
     rows = rows.withColumn("own", F.pmod(F.xxhash64("fp"), F.col("runs"))).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("runs") - 1)))
@@ -234,9 +264,9 @@ def contract(edges: DataFrame) -> DataFrame:
         last = state
         both = edges.union(edges.select("v", "u"))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+        large = join_unique(both, least, "u", 2 * state[0]).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").union(least).distinct()
+        small = join_unique(large, least, "u", 2 * state[0]).select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").union(least).distinct()
         edges = staged(small)
     return edges.groupBy("u").agg(F.min("v").alias("v")).select(F.col("u").alias("node"), F.col("v").alias("root"))
 
@@ -248,22 +278,22 @@ def classes(rows: DataFrame, distance: int = 4) -> DataFrame:
     """
     distinct = staged(rows.groupBy("fp").agg(F.min("doc_id").alias("doc_id")))
     roots = contract(links(distinct, distance))
-    rooted = distinct.join(roots.select(F.col("node").alias("fp"), "root"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    rooted = staged(distinct.join(roots.select(F.col("node").alias("fp"), "root"), "fp", "left").withColumn("root", F.coalesce("root", "fp")))
     least = rooted.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    return rooted.join(least, "root").select("fp", "root", "component_id")
+    return join_unique(rooted, least, "root", rooted.count()).select("fp", "root", "component_id")
 
 
 def near_duplicates(docs: DataFrame, width: int = 4, distance: int = 4) -> DataFrame:
     """doc_id, fingerprint (16 hex digits) and component_id of every row.
 
-    Documents whose fingerprints differ in at most ``distance`` bits are linked;
-    a component's id is its smallest ``doc_id``. Null and wordless texts have
+    Documents whose fingerprints differ in at most ``distance`` bits are linked, equal ones
+    among them; a text of any length is hashed whole. A component's id is its smallest ``doc_id``. Null and wordless texts have
     fingerprint zero and are linked like any other. Rows with a null id belong to
     a component but never name it; one made only of them has a null id. Repeated
     rows stay. An empty table gives no row. Other columns may have any name.
     """
     rows = staged(fingerprints(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), width))
-    found = rows.join(classes(rows, distance), "fp")
+    found = join_unique(rows, classes(rows, distance), "fp", rows.count())
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
@@ -277,8 +307,10 @@ def keep_first(docs: DataFrame, width: int = 4, distance: int = 4) -> DataFrame:
     """
     mark = free_name(docs, "row")
     own_id = free_name(docs, "id")
-    marked = docs.withColumns({mark: F.xxhash64(*docs.columns), own_id: F.coalesce(F.col("doc_id").cast("long"), F.lit(0))})
+    marked = docs.withColumns({mark: row_hash(docs), own_id: F.coalesce(F.col("doc_id").cast("long"), F.lit(0))})
     rows = staged(fingerprints(marked.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.col(mark).alias("mark")), width, keep=("doc_id", "mark")))
-    named = rows.join(classes(rows, distance).select("fp", "root"), "fp")
-    first = named.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "mark")).alias("first")).select(F.col("first.mark").alias(mark), F.coalesce("first.doc_id", F.lit(0)).alias(own_id))
+    # the first row of each fingerprint meets its class, so copies of one text never do
+    firsts = rows.groupBy("fp").agg(F.min(F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "mark")).alias("first"))
+    named = firsts.join(classes(rows, distance).select("fp", "root"), "fp")
+    first = named.groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.mark").alias(mark), F.coalesce("first.doc_id", F.lit(0)).alias(own_id))
     return marked.join(first, [mark, own_id], "left_semi").dropDuplicates([mark, own_id]).drop(mark, own_id)

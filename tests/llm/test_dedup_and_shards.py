@@ -11,7 +11,7 @@ import xxhash
 from compare import connect, difference
 from pyspark.sql import functions as F
 
-from linewatch.llm import queries, sharding, simhash, topk
+from linewatch.llm import common, queries, sharding, simhash, topk
 
 
 def plain_fingerprint(text, width=4) -> int:
@@ -208,3 +208,37 @@ def test_top_k_of_large_numbers_is_exact(spark, monkeypatch, biggest):
     for q in range(0, 200, 20):
         best = sorted((-sum(a * b for a, b in zip(whole[q], whole[i], strict=True)), i) for i in whole if i != q)[:6]
         assert sorted(got[q]) == [(n + 1, i, -s) for n, (s, i) in enumerate(best)]
+
+
+@pytest.mark.parametrize(("blocks", "limit"), [(5, 30), (6, 20_000), (7, 40), (8, 20_000)])
+def test_finer_buckets_find_the_same_classes(spark, monkeypatch, blocks, limit):
+    monkeypatch.setattr(simhash, "BUCKET_ROWS", limit)
+    monkeypatch.setattr(simhash, "block_count", lambda n, distance: blocks)
+    fps = clustered(200, 6)
+    rows = spark.createDataFrame([(i, int(np.array(f, np.uint64).view(np.int64))) for i, f in enumerate(fps)], "doc_id long, fp long")
+    got = {r.fp: r.component_id for r in simhash.classes(rows).collect()}
+    assert [got[int(np.array(f, np.uint64).view(np.int64))] for f in fps] == plain_components(fps)
+
+
+def test_buckets_grow_in_bits_and_not_in_rows():
+    for n in (10, 10**6, 10**8, 10**10, 10**12):
+        blocks = simhash.block_count(n, 4)
+        bits = sum(sorted(simhash._widths(blocks))[: blocks - 4])
+        assert n <= simhash.BUCKET_MEAN << bits
+    assert [simhash.block_count(n, 4) for n in (10, 8 * 10**6, 10**9)] == [5, 5, 6]
+
+
+def test_a_hot_key_is_dealt_over_salts(spark, monkeypatch):
+    monkeypatch.setattr(common, "LEAST_HOT", 50)
+    left = spark.range(2000).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 500).alias("k"), F.create_map(F.lit("id"), F.col("id")).alias("m"), F.lit("x").alias("salt"))
+    right = spark.range(0, 500, 7).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
+    got = common.join_unique(left, right, "k", 2000)
+    assert got.columns == ["k", "m", "salt", "v"]
+    want = sorted((r.k, r.m["id"], r.v) for r in left.join(right, "k").collect())
+    assert sorted((r.k, r.m["id"], r.v) for r in got.collect()) == want and len(want) > 600
+
+
+def test_columns_that_have_no_hash(spark, odd_docs):
+    extra = odd_docs.withColumn("m", F.create_map(F.lit("a"), F.col("doc_id"))).withColumn("v", F.to_variant_object(F.struct("doc_id"))).withColumn("deep", F.array(F.struct("m")))
+    assert simhash.keep_first(extra).count() == simhash.keep_first(odd_docs).count()
+    assert sorted(r.slot for r in sharding.shard(extra, 1).select("slot").collect()) == list(range(odd_docs.count()))
