@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from itertools import count
 
 import numpy as np
 import pandas as pd
@@ -18,17 +19,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounds, free_name
+from .common import bounds, free_name, row_hash
 
 RANGES_PER_SHARD = 64
 RANGE_BYTES = 256_000_000
 SAMPLES_PER_RANGE = 16
 OVERFULL = 2.0
-ROUNDS = 4
 
 
 def _key(text: str, record_id: str) -> Column:
-    """40 bits of the text's hash, then 23 bits of the id's."""
+    """39 bits of the text's hash, then 24 bits of the id's."""
     high = F.shiftright(F.xxhash64(text), 24).bitwiseAND(F.lit((1 << 39) - 1))
     return F.shiftleft(high, 24).bitwiseOR(F.xxhash64(record_id, text).bitwiseAND(F.lit((1 << 24) - 1)))
 
@@ -62,7 +62,7 @@ def splitters(keys: DataFrame, shards: int) -> tuple[np.ndarray, np.ndarray, np.
     """Range boundaries, and the bytes and rows of the ranges between them.
 
     ``keys`` has key, tie and size. The driver holds at most ``SAMPLES_PER_RANGE``
-    keys a range; there are ``RANGES_PER_SHARD`` ranges a shard, or one for each
+    keys a range, so its share grows with the bytes, by 16 numbers for each ``RANGE_BYTES``; there are ``RANGES_PER_SHARD`` ranges a shard, or one for each
     ``RANGE_BYTES``. A range of one key (repeated rows) can't be divided further.
     """
     total = keys.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
@@ -72,7 +72,7 @@ def splitters(keys: DataFrame, shards: int) -> tuple[np.ndarray, np.ndarray, np.
     drawn = np.array(_sample(keys, ranges * SAMPLES_PER_RANGE / total, 1), np.int64)
     cuts = np.unique(drawn[(np.arange(1, ranges) * len(drawn)) // ranges]) if len(drawn) else np.zeros(0, np.int64)
     size, rows = _totals(keys, cuts)
-    for again in range(ROUNDS):
+    for again in count():  # until no range can be divided
         overfull = np.flatnonzero((size > OVERFULL * total / ranges) & (rows > 1))
         if not len(overfull):
             break
@@ -130,7 +130,7 @@ def shard(records: DataFrame, shards: int = 16, text: str = "text", record_id: s
 
     parts = max(len(total), int(records.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     parts = min(parts, int(records.sparkSession.conf.get("spark.sql.shuffle.partitions")) * 4)
-    moved = table.withColumn(rng, _range_of(cuts, key)).repartition(parts, rng).sortWithinPartitions(rng, key, tie, record_id, F.xxhash64(*records.columns))
+    moved = table.withColumn(rng, _range_of(cuts, key)).repartitionById(parts, F.col(rng)).sortWithinPartitions(rng, key, tie, record_id, row_hash(records))
     out = rest.schema.add("size", "long").add("shard", "integer").add("slot", "long")
     return moved.mapInArrow(number, out)
 
