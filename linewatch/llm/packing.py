@@ -98,10 +98,12 @@ def pack(docs: DataFrame, length: int = 2048, tokenizer: str | None = None, end_
     is empty and gives one id, the end. Rows with a null or repeated ``doc_id`` are
     documents of their own. An empty table gives no piece. ``ids`` holds each
     piece's ids as little-endian unsigned 32-bit integers; ``start`` counts its document's
-    ids before it, ``sequence_id`` and ``offset`` say where it lies.
+    ids before it, ``sequence_id`` and ``offset`` say where it lies. Documents of one place on the curve follow each other
+    by a hash, then by id and content; a text of any length is encoded whole and cut at sequences.
 
     Ids are written once to the shared folder. The driver sees grid quantiles, at
-    most ``MOST_PARTS`` sort boundaries and as many sums.
+    most ``MOST_PARTS`` sort boundaries and as many sums; beyond ``MOST_PARTS * PART_IDS`` ids (65 thousand million) parts
+    grow instead of their number. A task streams its part, so that costs time and sort spills, not memory.
     """
     tokenizer = tokenizer or tokenizer_path()
     kind = id_type(max(end_id, encoder(tokenizer).tokenizer.get_vocab_size()))
@@ -160,5 +162,5 @@ def pack(docs: DataFrame, length: int = 2048, tokenizer: str | None = None, end_
                 ["doc_id", "start", "length", "doc_tokens", "sequence_id", "offset", "ids"],
             )
 
-    ordered = table.repartition(parts, "part").sortWithinPartitions("part", "key", "doc_id", F.xxhash64("ids"), "ids")
+    ordered = table.repartitionById(parts, F.col("part")).sortWithinPartitions("part", "key", "doc_id", F.xxhash64("ids"), "ids")
     return ordered.select("doc_id", "n", "ids", "part").mapInArrow(cut, PIECES)
