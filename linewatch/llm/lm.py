@@ -4,7 +4,9 @@ Texts are kept as chunks of token numbers with a dictionary of word hashes. Coun
 that a chunk needs are asked for by a shuffle: each chunk sends its distinct words
 and bigrams with its own counts to their hash bucket, the bucket adds up what all
 chunks sent and answers each with the corpus counts of just its keys. A word in every
-document thus costs one key a chunk, whatever its frequency. The mixture weights, one set for
+document thus costs one key a chunk, whatever its frequency. A chunk never sends more than ``MOST_FAN`` rows:
+where there are more buckets, teams of chunks first add up each of ``MOST_FAN`` segments of the keys, ask the buckets
+in their chunks' place, and hand the answers on. The mixture weights, one set for
 each bucket of context frequency, are learned by expectation-maximisation on the
 counts of a held-out part of the training texts, with that part's counts deleted.
 """
@@ -25,11 +27,12 @@ from ..session import staged
 from .common import bounds, per_run, text_chunks, utf8
 from .words import BASE, byte_hashes, lower_ascii, mix, plain_words
 
-CHUNK_TOKENS = 1_500_000
+CHUNK_TOKENS = 1_000_000
 HELD_ONE_IN = 16
 CONTEXTS = 32
 MOST_ROUNDS = 30
-BUCKET_TOKENS = 4_000_000
+BUCKET_TOKENS = 2_500_000
+MOST_FAN = 256
 SETTLED = 1e-4
 END, START = np.uint64(0x5851F42D4C957F2D), np.uint64(0x14057B7EF767814F)
 CHUNKS = "chunk long, held boolean, n long, words binary, tokens binary, lengths binary, doc_ids binary, known binary, learns binary"
@@ -135,44 +138,101 @@ class Chunk:
         return np.bincount(self.word[learned], minlength=len(self.words)), np.bincount(self.pair[learned], minlength=len(self.pairs))
 
 
+def _edges(buckets: int) -> np.ndarray:
+    """Where the buckets' ranges of keys begin, but for the first."""
+    return (np.arange(1, buckets, dtype=object) * (1 << 64) // buckets).astype(np.uint64)
+
+
+def _split(rows: dict[str, list], head: list, first: int, edges: np.ndarray, keys: np.ndarray, counts: np.ndarray, held: np.ndarray) -> None:
+    """Adds a row for each bucket, from ``first`` on, that sorted ``keys`` fall into."""
+    cuts = [0, *np.searchsorted(keys, edges).tolist(), len(keys)]
+    for bucket, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False), first):
+        if a < b:
+            for values, v in zip(rows.values(), [*head, bucket, _squeeze_sorted(keys[a:b]), _squeeze(_small(counts[a:b])), _squeeze(_small(held[a:b]))], strict=True):
+                values.append(v)
+
+
+def _columns(schema: str) -> list[str]:
+    return [c.split()[0] for c in schema.split(", ")]
+
+
+PARTIAL_KINDS = [pa.int64(), pa.bool_(), pa.int32(), pa.int32(), *[pa.binary()] * 3]
+ANSWER_KINDS = [pa.int64(), pa.bool_(), pa.int32(), pa.int32(), pa.binary(), pa.binary()]
+
+
+def _summed(table: pa.Table) -> tuple[list[np.ndarray], np.ndarray, list[np.ndarray]]:
+    """The keys of each row, all distinct ones in order, and the sums of their counts and held counts."""
+    keys = [_expand_sorted(v) for v in table["keys"].to_pylist()]
+    which, distinct = pd.factorize(np.concatenate(keys))
+    order = np.argsort(distinct)
+    sums = []
+    for name in ("counts", "held_counts"):
+        own = np.concatenate([_expand(v).astype(np.int64) for v in table[name].to_pylist()])
+        total = np.zeros(len(distinct), np.int64)
+        np.add.at(total, which, own)
+        sums.append(total[order])
+    return keys, distinct[order], sums
+
+
+def _replies(table: pa.Table, keys: list[np.ndarray], distinct: np.ndarray, sums: list[np.ndarray], tell: bool) -> pa.Table:
+    """:data:`ANSWERS` to the rows of ``table``; with ``tell`` a first row of chunk -1 has the totals."""
+    out: list[list] = [[], []]
+    for own in keys:
+        at = np.searchsorted(distinct, own)
+        for values, total in zip(out, sums, strict=True):
+            values.append(_squeeze(_small(total[at])))
+    rows = [table[c].to_pylist() for c in ("chunk", "held", "kind", "bucket")] + out
+    if tell:
+        totals = _squeeze(np.array([sums[0].sum(), sums[1].sum(), (sums[0] > 0).sum()], np.int64))
+        rows = [[f, *r] for f, r in zip([-1, False, table["kind"][0].as_py(), table["bucket"][0].as_py(), totals, b""], rows, strict=True)]
+    return pa.table([pa.array(r, k) for r, k in zip(rows, ANSWER_KINDS, strict=True)], names=_columns(ANSWERS))
+
+
 def answers(stored: DataFrame, buckets: int) -> DataFrame:
-    """For each chunk and bucket the corpus counts, and the held-out part of them, of the chunk's keys."""
+    """For each chunk and bucket, or segment, the corpus counts, and the held-out part of them, of the chunk's keys."""
+    fan = min(buckets, MOST_FAN)
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        edges = (np.arange(1, buckets, dtype=object) * (1 << 64) // buckets).astype(np.uint64)
+        edges = _edges(fan)
         for batch in batches:
             for row in batch.to_pylist():
                 chunk = Chunk(row)
-                out: dict[str, list] = {c.split()[0]: [] for c in PARTIAL.split(", ")}
+                out: dict[str, list] = {c: [] for c in _columns(PARTIAL)}
                 for kind, keys, n in zip((0, 1), (chunk.words, chunk.pairs), chunk.counts(), strict=True):
-                    cuts = [0, *np.searchsorted(keys, edges).tolist(), len(keys)]
-                    for bucket, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)):
-                        if a < b:
-                            none = np.zeros(b - a, np.uint8)
-                            row_out = [row["chunk"], row["held"], kind, bucket, _squeeze_sorted(keys[a:b]), _squeeze(_small(n[a:b])), _squeeze(_small(n[a:b]) if row["held"] else none)]
-                            for values, v in zip(out.values(), row_out, strict=True):
-                                values.append(v)
-                yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(out.values(), [pa.int64(), pa.bool_(), pa.int32(), pa.int32(), *[pa.binary()] * 3], strict=True)], list(out))
+                    _split(out, [row["chunk"], row["held"], kind], 0, edges, keys, n, n if row["held"] else np.zeros(len(n), np.uint8))
+                yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(out.values(), PARTIAL_KINDS, strict=True)], list(out))
 
     def add(table: pa.Table) -> pa.Table:
-        keys = [_expand_sorted(v) for v in table["keys"].to_pylist()]
-        edges = bounds(np.array([len(k) for k in keys], np.int64))
-        which, distinct = pd.factorize(np.concatenate(keys))
-        sums = []
-        for name in ("counts", "held_counts"):
-            own = np.concatenate([_expand(v).astype(np.int64) for v in table[name].to_pylist()])
-            total = np.zeros(len(distinct), np.int64)
-            np.add.at(total, which, own)
-            sums.append(total)
-        out = [[_squeeze(_small(s[which[a:b]])) for a, b in zip(edges, edges[1:], strict=False)] for s in sums]
-        size = [pa.array([v.sum()] if len(v) else [0]) for v in sums] + [pa.array([(sums[0] > 0).sum()])]
-        tell = _squeeze(np.array([int(s[0].as_py()) for s in size], np.int64))
-        first = [-1, False, table["kind"][0].as_py(), table["bucket"][0].as_py(), tell, b""]
-        rows = [table[c].to_pylist() for c in ("chunk", "held", "kind", "bucket")] + out
-        kinds = [pa.int64(), pa.bool_(), pa.int32(), pa.int32(), pa.binary(), pa.binary()]
-        return pa.table([pa.array([f, *r], k) for f, r, k in zip(first, rows, kinds, strict=True)], names=[c.split()[0] for c in ANSWERS.split(", ")])
-
-    return stored.mapInArrow(ask, PARTIAL).groupBy("bucket", "kind").applyInArrow(add, ANSWERS)
+        return _replies(table, *_summed(table), tell=True)
+
+    asked = stored.mapInArrow(ask, PARTIAL)
+    if buckets <= fan:
+        return asked.groupBy("bucket", "kind").applyInArrow(add, ANSWERS)
+    return _answers_by_teams(asked, fan, math.ceil(buckets / fan), add)
+
+
+def _answers_by_teams(asked: DataFrame, segments: int, each: int, add) -> DataFrame:
+    """The same through teams of chunks, as many as a segment has buckets, so that what a team adds up is a bucket's size."""
+
+    def ask_together(table: pa.Table) -> pa.Table:
+        segment, kind, team = (table[c][0].as_py() for c in ("bucket", "kind", "team"))
+        _, keys, sums = _summed(table)
+        out: dict[str, list] = {c: [] for c in _columns(PARTIAL)}
+        edges = _edges(segments * each)[segment * each : (segment + 1) * each - 1]
+        _split(out, [team, False, kind], segment * each, edges, keys, *sums)
+        return pa.table([pa.array(v, k) for v, k in zip(out.values(), PARTIAL_KINDS, strict=True)], names=list(out))
+
+    def hand_on(asked: pa.Table, told: pa.Table) -> pa.Table:
+        keys, distinct, _ = _summed(asked)
+        rows = sorted(told.select(["bucket", "counts", "held_counts"]).to_pylist(), key=lambda r: r["bucket"])
+        sums = [np.concatenate([_expand(r[c]).astype(np.int64) for r in rows]) for c in ("counts", "held_counts")]
+        return _replies(asked, keys, distinct, sums, tell=False)
+
+    asked = staged(asked.withColumn("team", F.pmod(F.xxhash64("chunk"), F.lit(each))), compression="uncompressed")
+    told = staged(asked.groupBy("bucket", "kind", "team").applyInArrow(ask_together, PARTIAL).groupBy("bucket", "kind").applyInArrow(add, ANSWERS), compression="uncompressed")
+    of_teams = told.where("chunk >= 0").withColumn("segment", F.floor(F.col("bucket") / each).cast("int"))
+    handed = asked.groupBy("bucket", "kind", "team").cogroup(of_teams.groupBy("segment", "kind", "chunk")).applyInArrow(hand_on, ANSWERS)
+    return told.where("chunk < 0").unionByName(handed)
 
 
 def _with_answers(stored: DataFrame, replies: DataFrame) -> DataFrame:
@@ -262,7 +322,7 @@ def score(docs: DataFrame, learns: Column) -> DataFrame:
     and one end a text; a null text is empty. Words and pairs are known by 64-bit
     hashes, dealt into as many buckets as there are shuffle partitions, or one for each
     ``BUCKET_TOKENS`` tokens if those are more, so that a bucket's size is bounded
-    under any setting. Without training texts all weight lies on the uniform
+    under any setting. Texts of any length are counted whole; one longer than a chunk is a chunk of its own. Without training texts all weight lies on the uniform
     estimate. Repeated rows count as often as they stand, an empty table gives no
     row, and other columns may have any name.
     """
