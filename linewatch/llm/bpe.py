@@ -135,7 +135,7 @@ class SpeculativeBPE(PieceTable):
         self.token_edges = bounds(np.array([len(r) for r in raw], np.int64))
         self.token_bytes = np.frombuffer(b"".join(raw), np.uint8)
         self.pair_codes, self.pair_fine = np.zeros(0, np.int64), np.zeros(0, bool)
-        self.own_fine: dict[int, bool] = {}
+        self.own_fine = np.full(size, -1, np.int8)  # 0 or 1 once known
         self.low = np.arange(0x110000, dtype=np.uint32)
         for c in range(0x110000):
             low = chr(c).lower()
@@ -156,10 +156,11 @@ class SpeculativeBPE(PieceTable):
             self.pair_codes, self.pair_fine = np.insert(self.pair_codes, at, new), np.insert(self.pair_fine, at, fine)
         return self.pair_fine[np.searchsorted(self.pair_codes, codes)]
 
-    def _alone_fine(self, token: int) -> bool:
-        if token not in self.own_fine:
-            self.own_fine[token] = self.merges.exact(self.merges.token_symbols(token)) == [token]
-        return self.own_fine[token]
+    def _alone_fine(self, tokens: np.ndarray) -> np.ndarray:
+        """Whether each token is what its characters merge to."""
+        new = np.unique(tokens[self.own_fine[tokens] < 0])
+        self.own_fine[new] = [self.merges.exact(self.merges.token_symbols(t)) == [t] for t in new.tolist()]
+        return self.own_fine[tokens] == 1
 
     def words(self, words: list[str]) -> list[list[int]]:
         """The ids of words, speculated and verified together."""
@@ -174,7 +175,7 @@ class SpeculativeBPE(PieceTable):
         at = np.flatnonzero(inner)
         wrong = np.zeros(len(flat), np.int64)
         wrong[at] = ~self._pairs_fine(flat[at] << 32 | flat[at + 1])
-        wrong += [not self._alone_fine(t) for t in flat.tolist()]
+        wrong += ~self._alone_fine(flat)
         failing = np.flatnonzero(per_run(wrong, bounds(sizes)))
         for i in failing.tolist():
             found[i] = self.merges.exact(self.merges.symbols(spelled[i]))
