@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir, staged
+from ..session import staged, staging_folder
 from . import language, repair
 from .alignment import align, with_link_counts
 from .bpe import encode_decode
@@ -53,7 +52,7 @@ def op4_language_bitmask(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_repair_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = f"{ensure_checkpoint_dir(spark)}/ids-{uuid.uuid4().hex}"
+    path = staging_folder(spark)
     repair.write(table(spark, sf_dir, "documents", "doc_id", "text"), path)
     return repair.read(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 

@@ -391,3 +391,71 @@ def test_many_ranges_place_pages_alike(spark):
     finally:
         spark.conf.set(setting, before)
     assert found[0] == found[1] and len(found[0]) == 400
+
+
+def plain_mix(h):
+    m = (1 << 64) - 1
+    h ^= h >> 31
+    h = h * 0xBF58476D1CE4E5B9 & m
+    h ^= h >> 29
+    h = h * 0x94D049BB133111EB & m
+    return h ^ (h >> 32)
+
+
+def plain_ngrams(text):
+    """Each letter in lower case with its neighbours, blanks for what is no letter."""
+    import regex
+
+    chars = [(c.lower() if len(c.lower()) == 1 else c) if regex.match(r"\p{L}", c) else " " for c in text or ""]
+    padded = [" ", *chars, " "]
+    return ["".join(padded[i : i + 3]) for i in range(len(chars)) if padded[i + 1] != " "]
+
+
+def test_languages_and_scores_by_a_plain_recount(spark, sf_dir, sf_docs):
+    rows = sf_docs.select("doc_id", "text", "lang").collect()
+    counts = collections.defaultdict(collections.Counter)
+    for r in rows:
+        if r.lang is not None and zlib.crc32(str(r.doc_id).encode()) % 4 != 2:
+            counts[r.lang].update(plain_ngrams(r.text))
+    languages = sorted(counts)
+    rate = {k: {g: n / sum(counts[k].values()) for g, n in counts[k].items()} for k in languages}
+    rate = {k: {g: x for g, x in v.items() if x >= language.LEAST_RATE} for k, v in rate.items()}
+    most = collections.defaultdict(float)
+    for v in rate.values():
+        for g, x in v.items():
+            most[g] = max(most[g], x)
+
+    def places(gram):
+        h = plain_mix(ord(gram[0]) << 42 | ord(gram[1]) << 21 | ord(gram[2]))
+        step = plain_mix(h) | 1
+        return [(h + i * step) % (1 << 64) % language.POSITIONS for i in range(language.HASHES)]
+
+    filled = {k: {p for g, x in v.items() if x * language.WITHIN >= most[g] for p in places(g)} for k, v in rate.items()}
+    false = {k: (len(p) / language.POSITIONS) ** language.HASHES for k, p in filled.items()}
+    found = {r.doc_id: r for r in queries.op4_language_bitmask(spark, sf_dir).collect()}
+    assert len(found) == len(rows) and len(languages) == 4
+    for r in rows:
+        grams = collections.Counter(plain_ngrams(r.text))
+        n = sum(grams.values())
+        corrected = []
+        for k in languages:
+            hits = sum(c for g, c in grams.items() if all(p in filled[k] for p in places(g)))
+            corrected.append((hits - n * false[k]) / (1 - false[k]))
+        best = max(range(4), key=lambda i: corrected[i]) if n else None
+        got = found[r.doc_id]
+        assert got.lang_pred == (languages[best] if n else "und")
+        assert got.score == pytest.approx(min(1, max(0, corrected[best] / n)) if n else 0)
+
+
+def test_teams_of_chunks_get_the_same_answers(spark, sf_docs, monkeypatch):
+    docs = sf_docs.select("doc_id", "text").repartition(12).cache()  # a chunk or two each
+    rows = [sorted(map(tuple, lm.score(docs, id_text_crc("doc_id") % 5 != 1).collect()))]
+    monkeypatch.setattr(lm, "MOST_FAN", 3)
+    monkeypatch.setattr(lm, "BUCKET_TOKENS", 9_000)
+    rows.append(sorted(map(tuple, lm.score(docs, id_text_crc("doc_id") % 5 != 1).collect())))
+    assert len(rows[0]) == len(rows[1]) == docs.count()
+    for a, b in zip(*rows, strict=True):
+        assert a[:3] == b[:3] and a[5] == b[5] and a[3:5] == pytest.approx(b[3:5], rel=1e-9)
+    stored = lm.chunks(docs.withColumns({"learns": F.lit(True), "held": F.lit(False)})).cache()
+    asked = lm.answers(stored, 20).where("chunk >= 0").groupBy("chunk", "kind").count().collect()
+    assert len(asked) >= 20 and all(r["count"] <= 3 for r in asked)
