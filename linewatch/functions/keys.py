@@ -29,11 +29,11 @@ def unique_key(cols: Sequence[str], types: dict[str, str]) -> Column:
 
     def part(c: str) -> Column:
         if types[c].startswith("timestamp"):
-            # ends where the fraction has no digit but zeros; the pattern's own dot goes with them
-            text = F.regexp_replace(F.date_format(c, f"{KEY_TIME_FORMAT}.SSSSSS"), r"\.?0+$", "")
             whole = F.date_format(c, KEY_TIME_FORMAT)
-            return F.when(F.date_format(c, "SSSSSS") == "000000", whole).otherwise(text)
-        return F.regexp_replace(F.col(c).cast("string"), r"([_\\])", r"\\$1")
+            fraction = F.rtrim(F.date_format(c, "SSSSSS"), F.lit("0"))
+            return F.when(F.date_trunc("second", c) == F.col(c), whole).otherwise(F.concat(whole, F.lit("."), fraction))
+        text = F.replace(F.col(c).cast("string"), F.lit("\\"), F.lit("\\\\"))
+        return F.replace(text, F.lit("_"), F.lit("\\_"))
 
     return F.concat_ws("_", *[F.coalesce(part(c), F.lit(r"\N")) for c in cols])
 
