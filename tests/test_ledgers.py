@@ -330,8 +330,7 @@ def test_alerts_without_riders_are_marked_at_once(spark, db):
     assert {k for k, v in marks.items() if v == "SENT"} == {f"{D1}quiet", f"{D2}quiet"}
 
 
-@pytest.mark.parametrize("split", [[0, 1, 2, 3], [[0, 1, 2, 3]], [3, 2, 1, 0], [[1, 2], [0, 3]]])
-@pytest.mark.parametrize("by_day", [False, True])
+@pytest.mark.parametrize(("split", "by_day"), [([0, 1, 2, 3], False), ([[0, 1, 2, 3]], True), ([3, 2, 1, 0], True), ([[1, 2], [0, 3]], False)])
 def test_results_in_any_split_end_alike(spark, table, db, split, by_day):
     at = dispatched(spark, db, (D1,))
     ids = [r.notification_id for r in spark.table(f"{db}.dispatch_outbox").orderBy("event_id", "user_id").collect()]
