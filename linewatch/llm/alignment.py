@@ -33,10 +33,10 @@ from .common import bounds, ragged, text_chunks, utf8
 from .tokens import Encoder, PieceTable, byte_letters, tokenizer_path
 from .words import SPACE, Characters, char_kinds
 
-TEXT_BYTES = 400_000  # of texts aligned at once
+TEXT_BYTES = 150_000  # of texts aligned at once
 PART_BYTES = 1 << 16  # of a long text in one fragment
 FAN = 16  # fragments joined in one task of a round
-CHUNK_PAIRS = 300_000  # distinct pairs of texts, summed, that share a table of pairs
+CHUNK_PAIRS = 200_000  # distinct pairs of texts, summed, that share a table of pairs
 MANY = 256  # links of a group that are listed one by one
 ID_BITS = 20
 BLANK = 0x2581
@@ -60,6 +60,8 @@ class PlainEncoder(Encoder):
         for t in tokens:
             raw = [back.get(c, 0) for c in t]
             self.beside[raw[:-1], raw[1:]] = True
+        if self.merge:
+            self.tokenizer = None  # merges go by its ranks alone
 
     def cuts(self, chars: Characters) -> np.ndarray:
         """Before which characters a text may be cut: no piece or merge can reach over."""
@@ -164,11 +166,15 @@ def second_encoder(path: str) -> PieceEncoder:
 
 
 @cache
-def _decimals() -> tuple[np.ndarray, np.ndarray]:
-    """Eight bytes with the decimal digits of every id, and how many they are."""
-    width = [len(str(i)) for i in range(1 << ID_BITS)]
-    digits = np.array([str(i).ljust(8, ",") for i in range(1 << ID_BITS)], "S8").view(np.uint64)
-    return digits, np.array(width, np.uint8)
+def _decimals(count: int) -> tuple[np.ndarray, np.ndarray]:
+    """Eight bytes with the decimal digits of each number below ``count``, commas after them, and how many digits it has."""
+    numbers = np.arange(count)
+    width = 1 + sum((numbers >= 10**i).astype(np.uint8) for i in range(1, 7))
+    digits = np.full((count, 8), ord(","), np.uint8)
+    for i in range(7):
+        has = width > i
+        digits[has, i] = ord("0") + numbers[has] // 10 ** (width[has].astype(np.int64) - 1 - i) % 10
+    return digits.view(np.uint64)[:, 0], width
 
 
 @dataclass
@@ -209,7 +215,7 @@ class Groups:
         ids = np.empty(len(self.a) + len(self.b), np.int64)
         ids[np.arange(len(self.a)) + b_edges[self.a_group]] = self.a
         ids[np.arange(len(self.b)) + a_edges[self.b_group + 1]] = self.b
-        digits, width = _decimals()
+        digits, width = _decimals(1 << max(16, int(ids.max(initial=0)).bit_length()))
         rows, width = digits[ids].view(np.uint8).reshape(-1, 8), width[ids]
         for last, mark in ((a_edges[1:] + b_edges[:-1] - 1, b"|"), (a_edges[1:] + b_edges[1:] - 1, b";")):
             rows[last, width[last]] = mark[0]
