@@ -84,3 +84,24 @@ def test_sets_combine_before_they_are_shuffled(table):
     df = table(MOVES, *random_moves(50))
     plan = merge_sets(train_sets(df, ["route"], number_trains(df)))._jdf.queryExecution().executedPlan().toString()
     assert "partial_bitmap_or_agg" in plan and "partial_bitmap_construct_agg" in plan and "Expand" not in plan
+
+
+def test_sets_are_short_and_bitmaps_of_spark_are_not_shuffled(table):
+    df = table(MOVES, *random_moves(300))
+    summary = merge_sets(*(train_sets(df.where(w), ["route"], number_trains(df)) for w in ("delay_minutes < 20", "delay_minutes >= 20")))
+    assert {r[0] for r in summary.select(F.length("trains")).collect()} == {64}
+    plan = metrics_of_sets(summary, ["route"])._jdf.queryExecution().executedPlan().toString().splitlines()
+    partial = [i for i, line in enumerate(plan) if "partial_bitmap_" in line]
+    assert len(partial) >= 3 and all("SortAggregate" in plan[i - 1] for i in partial)
+
+
+def test_each_bit_of_a_set_is_met(spark, rows):
+    """Both ends of words, sets and buckets; every train has two delays of a status, a word of its own or a full one."""
+    ends = [x + d for x in (0, 64, 512, 32768, 65536, -512, -32768) for d in range(-2, 3)] + [*range(1025, 1090)]
+    moves = spark.createDataFrame([(n,) for n in sorted(set(ends))], "train_id long").select(
+        "train_id", F.lit("R").alias("route"), F.lit(datetime(2024, 5, 1)).alias("actual_timestamp"),
+        F.explode(F.array(*[F.pmod("train_id", F.lit(n)).cast("int") for n in (13, 4)])).alias("delay_minutes"),
+        F.element_at(F.array(F.lit("LATE"), F.lit("EARLY"), F.lit(None)), (F.pmod("train_id", F.lit(3)) + 1).cast("int")).alias("variation_status"),
+    )
+    for rule in ("reference", "signed"):
+        assert rows(metrics_of_sets(train_sets(moves, ["route"]), ["route"], rule)) == rows(reliability_metrics(moves, ["route"], on_time_rule=rule))
