@@ -38,6 +38,22 @@ def unique_key(cols: Sequence[str], types: dict[str, str]) -> Column:
     return F.concat_ws("_", *[F.coalesce(part(c), F.lit(r"\N")) for c in cols])
 
 
+# Before ids that are not digests, so that their bytes are never as many as a digest's.
+_NO_DIGEST = bytearray(33)
+
+
+def short_id(c: Column) -> Column:
+    """An id as bytes, 32 where it is a digest of 64 hex digits, which no codec shortens; :func:`long_id` gives it back."""
+    digest = c.rlike(r"\A[0-9a-f]{64}\z")
+    return F.when(digest, F.unhex(c)).otherwise(F.concat(F.lit(_NO_DIGEST), c.cast("binary")))
+
+
+def long_id(c: Column) -> Column:
+    """The id of :func:`short_id`'s bytes."""
+    other = F.substring(c, len(_NO_DIGEST) + 1, 2**31 - 1).cast("string")
+    return F.when(F.octet_length(c) == 32, F.lower(F.hex(c))).otherwise(other)
+
+
 def plain_code(c: Column) -> Column:
     """A location code without blanks and leading zeros (``' 00123'`` = ``'123'``)."""
     return F.regexp_replace(F.trim(c.cast("string")), r"^0+(?=.)", "")

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from linewatch.functions.keys import long_id, short_id
 from linewatch.functions.texts import add_draft
 from linewatch.operators.clean import dedupe
 from linewatch.operators.riders import match_riders
@@ -80,12 +81,17 @@ def outcomes(attempts: DataFrame) -> DataFrame:
 
     A notification is delivered once any try was, so tries may come in any order and
     split over calls, and a repeated one changes nothing but ``attempts``. A try without a result failed.
+
+    Most notifications are tried a few times only, so tries are brought together before they are folded: a map of
+    all ids that one task meets would outgrow its memory.
     """
-    return attempts.groupBy("notification_id").agg(
+    tries = attempts.select(short_id(F.col("notification_id")).alias("_id"), "delivered", "attempted_at").repartition("_id")
+    folded = tries.groupBy("_id").agg(
         F.max(F.coalesce("delivered", F.lit(False))).alias("delivered"),
         F.count(F.lit(1)).alias("attempts"),
         F.max("attempted_at").alias("attempted_at"),
     )
+    return folded.select(long_id(F.col("_id")).alias("notification_id"), "delivered", "attempts", "attempted_at")
 
 
 def extract_drafts(traces: DataFrame) -> DataFrame:

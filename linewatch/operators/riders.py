@@ -49,11 +49,13 @@ def pending(
     return recent.join(seen, "event_id", "left_anti").select(alerts.columns)
 
 
-def match_riders(alerts: DataFrame, prefs: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
+def match_riders(
+    alerts: DataFrame, prefs: DataFrame, carry: Sequence[str] = (), of_rider: Sequence[str] = ()
+) -> DataFrame:
     """One row per alert and active rider whose route or station it touches.
 
     The rider must want delays of that length, or cancellations. ``event_id``
-    comes first, then the rider's columns, then the alert columns to ``carry``.
+    comes first, then the rider's columns, then the alert columns to ``carry`` and further columns ``of_rider``.
     "Route or station" is split into two equi joins that cannot produce the same
     pair (the second leaves out pairs with equal routes), so neither a nested loop
     nor a distinct is needed.
@@ -69,6 +71,7 @@ def match_riders(alerts: DataFrame, prefs: DataFrame, carry: Sequence[str] = ())
     )
     riders = prefs.where(F.col("is_active") & (F.col("notify_delay") | F.col("notify_cancellation"))).select(
         *RIDER_COLUMNS,
+        *[F.col(c).alias(f"_rider_{c}") for c in of_rider],
         same_text(F.col("route")).alias("_p_route"),
         same_text(F.col("station")).alias("_p_station"),
         "notify_delay",
@@ -80,7 +83,7 @@ def match_riders(alerts: DataFrame, prefs: DataFrame, carry: Sequence[str] = ())
     one_route = F.col("_a_route") == F.col("_p_route")
     one_station = F.col("_a_station") == F.col("_p_station")
     other_route = ~F.coalesce(one_route, F.lit(False))
-    out = ["event_id", *RIDER_COLUMNS, *[F.col(f"_carry_{c}").alias(c) for c in carry]]
+    out = ["event_id", *RIDER_COLUMNS, *[F.col(f"_carry_{c}").alias(c) for c in carry], *[F.col(f"_rider_{c}").alias(c) for c in of_rider]]
     on_route = disrupted.join(riders, one_route & wanted).select(*out)
     at_station = disrupted.join(riders, one_station & other_route & wanted).select(*out)
     return on_route.unionByName(at_station)

@@ -573,14 +573,20 @@ def cursor_append(spark, sf):
     return cursor.unionByName(fx.plain(delivery.cursor_rows(waiting)))
 
 
+def _simple_tries(spark, sf):
+    """The outbox's ids with their riders' segments, which join the riders before these become many matches."""
+    customer = fx.table(spark, sf, "customer").select(F.col("c_custkey").cast("string").alias("user_id"), "c_mktsegment")
+    known = prefs(spark, sf).join(customer, "user_id")
+    matched = riders.match_riders(fx.simple_alerts(spark, sf), known, of_rider=["c_mktsegment"])
+    return matched.select(delivery.notification_id().alias("notification_id"), "c_mktsegment")
+
+
 def _simple_log(spark, sf, **how):
     """Riders in furniture report nothing, those in automobile report a failure."""
-    outbox = _simple_outbox(spark, sf)
-    customer = fx.table(spark, sf, "customer").where("c_mktsegment <> 'FURNITURE'")
-    results = outbox.join(customer, F.col("user_id") == F.col("c_custkey").cast("string")).select(
+    results = _simple_tries(spark, sf).where("c_mktsegment <> 'FURNITURE'").select(
         "notification_id", (F.col("c_mktsegment") != "AUTOMOBILE").alias("delivered")
     )
-    return delivery.delivery_log(outbox, results, **how)
+    return delivery.delivery_log(_simple_outbox(spark, sf), results, **how)
 
 
 @query
@@ -597,14 +603,13 @@ def delivery_partial(spark, sf):
 @query
 def delivery_outcomes(spark, sf):
     """Three deliveries of results that contradict each other, folded and logged."""
-    outbox = _simple_outbox(spark, sf)
-    customer = fx.table(spark, sf, "customer").select(F.col("c_custkey").cast("string").alias("user_id"), "c_mktsegment")
-    tried = outbox.select("notification_id", "user_id").join(customer, "user_id")
     at = lambda day: F.lit(f"2024-02-0{day} 00:00:00").cast("timestamp_ntz").alias("attempted_at")
-    first = tried.select("notification_id", (F.col("c_mktsegment") == "BUILDING").alias("delivered"), at(1))
-    second = tried.where("c_mktsegment <> 'FURNITURE'").select("notification_id", (F.col("c_mktsegment") == "MACHINERY").alias("delivered"), at(3))
-    third = tried.where("c_mktsegment = 'HOUSEHOLD'").select("notification_id", F.lit(None).cast("boolean").alias("delivered"), at(2))
-    return delivery.outcomes(third.unionByName(second).unionByName(first))
+    segment = F.col("c_mktsegment")
+    first = F.struct((segment == "BUILDING").alias("delivered"), at(1))
+    second = F.when(segment != "FURNITURE", F.struct((segment == "MACHINERY").alias("delivered"), at(3)))
+    third = F.when(segment == "HOUSEHOLD", F.struct(F.lit(None).cast("boolean").alias("delivered"), at(2)))
+    tries = F.inline(F.array_compact(F.array(third, second, first)))
+    return delivery.outcomes(_simple_tries(spark, sf).select("notification_id", tries))
 
 
 @query
