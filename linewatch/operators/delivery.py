@@ -123,9 +123,13 @@ def delivery_log(
     may still come (``missing_fails=False``). Route and station are not part of a
     draft and stay NULL.
     """
-    outcome = results.groupBy("notification_id").agg(F.max("delivered").alias("_delivered"))
-    return outbox.join(outcome, "notification_id", "left" if missing_fails else "inner").select(
-        "notification_id",
+    # where a missing result fails, those that failed change nothing
+    told = results.where("delivered") if missing_fails else results
+    told = told.select(short_id(F.col("notification_id")).alias("_id"), "delivered").repartition("_id")
+    outcome = told.groupBy("_id").agg(F.max("delivered").alias("_delivered"))
+    due = outbox.withColumn("_id", short_id(F.col("notification_id"))).drop("notification_id")
+    return due.join(outcome, "_id", "left" if missing_fails else "inner").select(
+        long_id(F.col("_id")).alias("notification_id"),
         "event_id",
         "user_id",
         "email",
