@@ -22,24 +22,21 @@ def prefix_blocks(start: Column, end: Column, bits: int = BITS) -> Column:
     """The range ``start`` to ``end``, both within, as an array of the fewest blocks.
 
     A block of ``level`` k holds the 2**k addresses whose number without the last k bits is ``prefix``.
-    From single addresses up, an odd block at either edge is cut off, and what is left is halved: at most two blocks a level.
+    At each level that is not wider than the range, an odd block at either edge is one of them: at most two a level.
+    What is left there begins at the start's prefix, rounded up, and ends before that of the address after the end.
     """
+    low, after = start.cast("bigint"), end.cast("bigint") + 1
     block = "array<struct<level:int,prefix:bigint>>"
-    state = F.struct(start.cast("bigint").alias("low"), (end.cast("bigint") + 1).alias("high"), F.array().cast(block).alias("found"))
 
-    def cut(s: Column, level: Column) -> Column:
-        def taken(when: Column, prefix: Column) -> Column:
-            one = F.array(F.struct(level.cast("int").alias("level"), prefix.alias("prefix")))
-            return F.when(when & (s["low"] < s["high"]), one).otherwise(F.array().cast(block))
+    def at(level: Column) -> Column:
+        first = F.call_function("shiftright", low + F.call_function("shiftleft", F.lit(1).cast("bigint"), level) - 1, level)
+        last = F.call_function("shiftright", after, level)
+        one = lambda when, prefix: F.when(when & (first < last), F.struct(level.alias("level"), prefix.alias("prefix")))
+        return F.array(one(first % 2 == 1, first), one(last % 2 == 1, last - 1))
 
-        low_odd, high_odd = s["low"] % 2 == 1, s["high"] % 2 == 1
-        # where the two edges meet in one odd block, the lower one takes it
-        both = low_odd & high_odd & (s["high"] - s["low"] < 2)
-        found = F.concat(s["found"], taken(low_odd, s["low"]), taken(high_odd & ~both, s["high"] - 1))
-        low, high = F.shiftright(s["low"] + F.when(low_odd, 1).otherwise(0), 1), F.shiftright(s["high"], 1)
-        return F.struct(low.alias("low"), high.alias("high"), found.cast(block).alias("found"))
-
-    return F.aggregate(F.sequence(F.lit(0), F.lit(bits)), state, cut, lambda s: s["found"])
+    levels = F.sequence(F.lit(0), F.least(F.lit(bits), F.length(F.bin(after - low)) - 1))
+    found = F.array_compact(F.flatten(F.transform(levels, at)))
+    return F.when(low < after, found).otherwise(F.array()).cast(block)
 
 
 def locate(
@@ -61,11 +58,12 @@ def locate(
     looked up once, and candidates combine before they are shuffled.
     """
     known = ranges.select(F.col(start).cast("bigint").alias("_start"), F.col(end).cast("bigint").alias("_end"), *take)
-    known = known.where(f"_start >= 0 AND _start <= _end AND _end < {1 << bits}")
+    # a file's ranges are few bytes, but many blocks: all tasks cut them
+    known = known.where(f"_start >= 0 AND _start <= _end AND _end < {1 << bits}").repartition("_start", "_end")
     place = F.struct((F.col("_end") - F.col("_start")).alias("width"), (-F.col("_start")).alias("start"), *take)
     blocks = known.select(place.alias("_place"), F.explode(prefix_blocks(F.col("_start"), F.col("_end"), bits)).alias("b"))
+    levels = sorted(r[0] for r in blocks.select("b.level").distinct().collect())  # at most one for each bit
     blocks = blocks.groupBy(F.col("b.level").alias("_level"), F.col("b.prefix").alias("_prefix")).agg(F.min("_place").alias("_place"))
-    levels = sorted(r[0] for r in blocks.select("_level").distinct().collect())  # at most one for each bit
     asked = df.select(F.col(address).cast("bigint").alias("_address")).where(f"_address >= 0 AND _address < {1 << bits}").distinct()
     by_prefix = asked.select(
         "_address",
